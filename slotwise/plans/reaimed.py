@@ -9,13 +9,15 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from slotwise.operators.dims import second_dim
 from slotwise.operators.upsert import in_range
 from slotwise.plans.warehouse import SECOND_DIM
 from slotwise.sources.readers import read_csv
-from slotwise.sources.tables import overwrite_table, replace_range_in_table, upsert_table
+from slotwise.sources.schemas import ORDER_PROMOTION, ORDER_PROMOTION_TABLE
+from slotwise.sources.tables import overwrite_table, read_table, replace_range_in_table, upsert_table
 
 
 def current_slice(log: DataFrame, low: datetime, high: datetime, column: str = "start_time") -> DataFrame:
@@ -54,5 +56,21 @@ def run_range_load(
 ) -> None:
     """Stage a CSV, then replace ``[low, high)`` of ``column`` in the table by the staged rows."""
     overwrite_table(read_csv(spark, source, schema), stage)
-    staged = spark.read.schema(schema).parquet(stage)
+    staged = read_table(spark, stage, schema)
     replace_range_in_table(spark, table, schema, staged, column, low, high, partition)
+
+
+def run_promotion_load(
+    spark: SparkSession, source: str, stage: str, table: str, low: datetime, high: datetime
+) -> None:
+    """Stage promotions, then replace those inserted in ``[low, high)``."""
+    overwrite_table(read_csv(spark, source, ORDER_PROMOTION), stage)
+    staged = promotion_rows(read_table(spark, stage, ORDER_PROMOTION))
+    replace_range_in_table(
+        spark, table, ORDER_PROMOTION_TABLE, staged, "insert_date", low, high, "insert_month"
+    )
+
+
+def promotion_rows(promotions: DataFrame) -> DataFrame:
+    """Promotions with the month they are stored under."""
+    return promotions.withColumn("insert_month", F.substring(F.col("insert_date").cast("string"), 1, 7))

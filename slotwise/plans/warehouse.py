@@ -27,6 +27,8 @@ class LoadSpec:
     key: str
     partition: str | None = None
     source: str = "csv"
+    # Every value of the file is quoted, so an empty one stands for null.
+    all_quoted: bool = False
     # SQL text of the rows that are inserted; what is deleted does not depend on it.
     insert_where: str | None = None
 
@@ -36,7 +38,7 @@ MINUTE_DIM = LoadSpec(schemas.MINUTE_DIM, key="mi")
 SEC_DIM = LoadSpec(schemas.SEC_DIM, key="sec")
 SECOND_DIM = LoadSpec(schemas.SECOND_DIM, key="dhms", partition="date")
 CALENDAR = LoadSpec(schemas.CALENDAR, key="date")
-PROGRAMME = LoadSpec(schemas.PROGRAMME, key="seq_frame_no", partition="bd_date")
+PROGRAMME = LoadSpec(schemas.PROGRAMME, key="seq_frame_no", partition="bd_date", all_quoted=True)
 COMPETITOR_SCHEDULE = LoadSpec(
     schemas.COMPETITOR_SCHEDULE,
     key="brd_dt",
@@ -55,9 +57,9 @@ def load_stage(
     The count comes from the footers of the staged files.
     """
     if spec.source == "parquet":
-        rows = read_day_folder(spark, source, day, spec.schema) if day else spark.read.schema(spec.schema).parquet(source)
+        rows = read_day_folder(spark, source, day, spec.schema)
     else:
-        rows = read_csv(spark, source, spec.schema)
+        rows = read_csv(spark, source, spec.schema, empty_as_null=spec.all_quoted)
     overwrite_table(rows, stage)
     return read_table(spark, stage, spec.schema).count()
 

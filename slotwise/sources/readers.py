@@ -19,22 +19,25 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     multi_line: bool = False,
+    empty_as_null: bool = False,
 ) -> DataFrame:
     """Delimited text, gzip by file name, quotes removed and doubled quotes undone.
 
-    An unquoted empty field is null, a quoted empty one is the empty text: what the writer in
-    ``sources.writers`` produces comes back unchanged.  A malformed row fails the read instead of
-    turning into nulls.  ``multi_line`` is needed only for line breaks inside quotes; it stops
-    Spark from splitting a file, so large inputs should arrive as many files.
+    Columns are taken by position; a header line is skipped, not read.  An unquoted empty field
+    is null, a quoted empty one is the empty text: what ``export_csv`` writes comes back
+    unchanged.  Files in which *every* value is quoted cannot tell the two apart; read them with
+    ``empty_as_null``.  A malformed row fails the read instead of turning into nulls.
+    ``multi_line`` is needed only for line breaks inside quotes; it stops Spark from splitting a
+    file, so large inputs should arrive as many files.
     """
     return (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", header)
-        .option("enforceSchema", not header)
+        .option("enforceSchema", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("nullValue", None)
+        .option("nullValue", "" if empty_as_null else None)
         .option("emptyValue", "")
         .option("mode", "FAILFAST")
         .option("multiLine", multi_line)

@@ -7,28 +7,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+
+MONEY = DecimalType(18, 2)
+RATE = DecimalType(18, 6)
+CLOCK = TimestampNTZType()
+DAY = DateType()
+TEXT = StringType()
 
 
-def _schema(columns: str, **types: str) -> StructType:
+def _schema(columns: str, **types: DataType) -> StructType:
     """Text columns named in ``columns``, except those given a type."""
     names = columns.split()
     unknown = set(types) - set(names)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    return StructType.fromDDL(", ".join(f"`{n}` {types.get(n, 'string')}" for n in names))
+    return StructType([StructField(n, types.get(n, TEXT)) for n in names])
 
 
-def _typed(ddl: str, names: str) -> dict[str, str]:
-    return dict.fromkeys(names.split(), ddl)
+def _typed(data_type: DataType, names: str) -> dict[str, DataType]:
+    return dict.fromkeys(names.split(), data_type)
 
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(18,6)"
-CLOCK = "timestamp_ntz"
-
 SESSION_LOG = _schema(
-    "log_dt pn sid start_time end_time ec_type", log_dt="date", start_time=CLOCK, end_time=CLOCK
+    "log_dt pn sid start_time end_time ec_type", log_dt=DAY, start_time=CLOCK, end_time=CLOCK
 )
 CONNECTION_LOG = _schema("log_time pn uid status st", log_time=CLOCK, st=CLOCK)
 ORDER_LINES = _schema(
@@ -44,7 +57,7 @@ PROGRAMME = _schema(
     lmsd_code main_yn analysis_contract_amt infimum_amt supremum_amt weights_time goods_rate
     real_plan_sale_amt real_plan_margin_amt pgm_plan_order_amt pgm_plan_margin_amt change_rate
     auto_plan_sale_amt auto_plan_margin_amt modify_date md_kind""",
-    bd_date="date", **_typed(CLOCK, "bd_btime bd_etime modify_date"),
+    bd_date=DAY, **_typed(CLOCK, "bd_btime bd_etime modify_date"),
     **_typed(
         MONEY,
         """sale_price dc_price analysis_contract_amt infimum_amt supremum_amt real_plan_sale_amt
@@ -60,7 +73,7 @@ SCHEDULE_FRAME = _schema(
     main_pd_rate sub_pd_rate model guest broad_fixed_amt_yn broad_fixed_amt subtitle_yn insert_date
     modify_date analysis_contract_amt broad_display_yn channel_code seq_testtape_no callmulti
     infimum_amt supremum_amt etc sub_pd2""",
-    bd_date="date", **_typed(CLOCK, "bd_btime bd_etime insert_date modify_date"),
+    bd_date=DAY, **_typed(CLOCK, "bd_btime bd_etime insert_date modify_date"),
     **_typed(
         MONEY,
         """plan_amt plan_order_amt plan_margin_amt broad_fixed_amt analysis_contract_amt infimum_amt
@@ -74,7 +87,7 @@ BROADCAST_GOODS = _schema(
     goods_code bd_flag main_yn broad_yn pdin_yn sale_tg_qty insert_date modify_date weights_time
     goods_rate real_plan_sale_amt real_plan_margin_amt pgm_plan_order_amt pgm_plan_margin_amt
     change_rate channel_code auto_plan_sale_amt""",
-    bd_date="date", sale_tg_qty="bigint", **_typed(CLOCK, "bd_btime insert_date modify_date"),
+    bd_date=DAY, sale_tg_qty=LongType(), **_typed(CLOCK, "bd_btime insert_date modify_date"),
     **_typed(
         MONEY,
         """real_plan_sale_amt real_plan_margin_amt pgm_plan_order_amt pgm_plan_margin_amt
@@ -86,7 +99,7 @@ BROADCAST_GOODS = _schema(
 BROADCAST_NO_GOODS = _schema(
     """seq_frame_no seq_no bd_date media_code bd_btime btime etime goods_code tape_code channel_code
     change_rate seq_testtape_no insert_id insert_date modify_id modify_date""",
-    bd_date="date", change_rate=RATE, **_typed(CLOCK, "bd_btime insert_date modify_date"),
+    bd_date=DAY, change_rate=RATE, **_typed(CLOCK, "bd_btime insert_date modify_date"),
 )
 
 ORDER_PROMOTION = _schema(
@@ -101,7 +114,12 @@ ORDER_PROMOTION = _schema(
     ),
 )
 
-SECOND_DIM = _schema("dhms date hms hh mi sec load_dt", dhms=CLOCK, date="date", load_dt=CLOCK)
+# Promotions as stored: partitioned by the month of their insertion.
+ORDER_PROMOTION_TABLE = StructType(
+    [*ORDER_PROMOTION.fields, StructField("insert_month", TEXT)]
+)
+
+SECOND_DIM = _schema("dhms date hms hh mi sec load_dt", dhms=CLOCK, date=DAY, load_dt=CLOCK)
 HOUR_DIM = _schema("hh load_dt", load_dt=CLOCK)
 MINUTE_DIM = _schema("mi load_dt", load_dt=CLOCK)
 SEC_DIM = _schema("sec load_dt", load_dt=CLOCK)
@@ -109,7 +127,7 @@ SEC_DIM = _schema("sec load_dt", load_dt=CLOCK)
 CALENDAR = _schema(
     """date_id date sday year month day quarter week_ori week month_week day_name month_name month_id
     week_ori_id week_id holiday_flag weekend_flag day_no""",
-    date="date",
+    date=DAY,
 )
 
 COMPETITOR_SCHEDULE = _schema(
@@ -133,9 +151,13 @@ AUDIENCES = (
 
 # --- end of fixed values ----------------------------------------------------------
 
-RATINGS = StructType.fromDDL(
-    "ch_nm string, ch string, pgm_nm string, start_time string, end_time string, "
-    + ", ".join(f"`{a}_viewership` double, `{a}_viewers` bigint" for a in AUDIENCES)
+RATINGS = StructType(
+    [StructField(n, TEXT) for n in ("ch_nm", "ch", "pgm_nm", "start_time", "end_time")]
+    + [
+        StructField(f"{audience}_{measure}", data_type)
+        for audience in AUDIENCES
+        for measure, data_type in (("viewership", DoubleType()), ("viewers", LongType()))
+    ]
 )
 
 LIVE_STAT = _schema(

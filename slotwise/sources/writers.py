@@ -20,6 +20,7 @@ def export_csv(
 ) -> None:
     """Header CSV in UTF-8, gzip by default, replacing what was there.
 
+    Null is written as nothing and the empty text as ``""``; with ``quote_all`` both are ``""``.
     ``one_file`` sends everything through one task; it exists for consumers that demand a single
     file and should stay off for large results.
     """
@@ -33,6 +34,8 @@ def export_csv(
         .option("escape", '"')
         .option("emptyValue", '""')
         .option("nullValue", None)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("encoding", "UTF-8")
         .option("compression", "gzip" if compress else "none")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
