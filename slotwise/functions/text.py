@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 
 def strip_newlines(df: DataFrame) -> DataFrame:
-    """Remove line breaks inside every text column.
-
-    Spark's multi-line CSV reader hands a quoted ``\\r\\n`` over as ``\\n``, so both forms are
-    removed; a lone ``\\n`` in the source therefore goes too.
-    """
+    """Remove ``\\r\\n`` inside every text column; a lone ``\\n`` stays."""
     text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     return df.select(
-        [F.regexp_replace(_name(c), "\r?\n", "").alias(c) if c in text else _name(c) for c in df.columns]
+        [F.replace(_name(c), F.lit("\r\n"), F.lit("")).alias(c) if c in text else _name(c) for c in df.columns]
     )
 
 

@@ -11,36 +11,45 @@ from slotwise.functions.timeops import ntz
 
 
 def second_dim(spark: SparkSession, start: date, end: date, load_dt: datetime) -> DataFrame:
-    """Every second of the days ``[start, end)``."""
-    days = spark.range((end - start).days).select(
-        F.date_add(F.lit(start), F.col("id").cast("int")).alias("date")
+    """Every second of the days ``[start, end)``, generated in parallel without a shuffle."""
+    day = F.date_add(F.lit(start), F.floor(F.col("id") / 24).cast("int"))
+    hours = spark.range((end - start).days * 24).select(
+        day.alias("date"), (F.col("id") % 24).cast("int").alias("h")
     )
-    return seconds_of_days(days, ntz(load_dt))
+    return _seconds_of_hours(hours, ntz(load_dt))
 
 
 def seconds_of_days(days: DataFrame, load_dt: Column) -> DataFrame:
     """Every second of the distinct days in ``days.date``.
 
-    Two expansions (24 hours, then 3,600 seconds) keep the arrays short; the repartition between
-    them spreads a few days over all cores.
+    A few days make few rows before they are expanded, which adaptive execution would put in one
+    task; the explicit partition count keeps the expansion on all cores.
     """
+    tasks = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hours = (
-        days.select("date").distinct()
+        days.select("date")
+        .distinct()
         .select("date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
-        .repartition("date", "h")
+        .repartition(tasks, "date", "h")
+    )
+    return _seconds_of_hours(hours, load_dt)
+
+
+def _seconds_of_hours(hours: DataFrame, load_dt: Column) -> DataFrame:
+    begins = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h"))
+    every_second = F.sequence(
+        F.col("begins"), F.col("begins") + F.expr("INTERVAL 3599 SECONDS"), F.expr("INTERVAL 1 SECOND")
     )
-    moment = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h"), secs=F.col("s"))
-    text = F.col("dhms").cast("string")
     return (
-        hours.select("date", "h", F.explode(F.sequence(F.lit(0), F.lit(3599))).alias("s"))
-        .select(moment.alias("dhms"), "date")
+        hours.withColumn("begins", begins)
+        .select("date", _two_digits(F.col("h")).alias("hh"), F.explode(every_second).alias("dhms"))
+        .withColumn("mi", _two_digits(F.minute("dhms")))
+        .withColumn("sec", _two_digits(F.second("dhms")))
         .select(
-            "dhms",
-            "date",
-            F.translate(F.substring(text, 12, 8), ":", "").alias("hms"),
-            F.substring(text, 12, 2).alias("hh"),
-            F.substring(text, 15, 2).alias("mi"),
-            F.substring(text, 18, 2).alias("sec"),
-            load_dt.alias("load_dt"),
+            "dhms", "date", F.concat("hh", "mi", "sec").alias("hms"), "hh", "mi", "sec", load_dt.alias("load_dt")
         )
     )
+
+
+def _two_digits(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.fixed import ORDER_EVENTS
-from slotwise.functions.timeops import duration_class, epoch_hours, minutes_between, seconds_between
+from slotwise.functions.timeops import duration_class, epoch_hours, minutes_between, ntz, seconds_between
 from slotwise.operators.sizing import broadcast_if_small, fits_broadcast
 
 SESSION_KEY = ("log_dt", "pn", "sid")
@@ -96,7 +96,7 @@ def _match_by_hour_cell(
         .drop("used_day", "first_cell", "last_cell", "from_cell", "to_cell")
     )
     same_cell = spread["cell"] == starts["cell"]
-    return spread.join(starts, same_cell & overlaps).drop("cell")
+    return spread.join(starts.hint("merge"), same_cell & overlaps).drop("cell")
 
 
 def base_minute() -> Column:
@@ -113,10 +113,11 @@ def view_time_histogram(
 ) -> DataFrame:
     """Sessions per programme start, tape, minute of the programme and viewing-time class."""
     log, schedule = _for_days(log, schedule, days)
+    listed = _listed_seconds(log, seconds_dim, days is not None, broadcast_limit)
     sessions = fold_sessions(log).withColumn(
         "view_time_cd", duration_class(seconds_between("enter_time", "exit_time"))
     )
-    return _histogram(sessions, schedule, seconds_dim, "view_time_cd", "view_cnt", broadcast_limit)
+    return _histogram(sessions, schedule, listed, "view_time_cd", "view_cnt", broadcast_limit)
 
 
 def order_time_histogram(
@@ -133,6 +134,7 @@ def order_time_histogram(
     in their first second are left out.
     """
     log, schedule = _for_days(log, schedule, days)
+    listed = _listed_seconds(log, seconds_dim, days is not None, broadcast_limit)
     waited = seconds_between("enter_time", F.coalesce("order_time", "enter_time"))
     sessions = (
         fold_sessions(log, order_events)
@@ -140,13 +142,13 @@ def order_time_histogram(
         .where(F.col("waited") > 0)
         .withColumn("dif_order_time_cd", duration_class("waited"))
     )
-    return _histogram(sessions, schedule, seconds_dim, "dif_order_time_cd", "order_cnt", broadcast_limit)
+    return _histogram(sessions, schedule, listed, "dif_order_time_cd", "order_cnt", broadcast_limit)
 
 
 def _histogram(
     sessions: DataFrame,
     schedule: DataFrame,
-    seconds_dim: DataFrame,
+    listed: DataFrame,
     class_column: str,
     count_column: str,
     broadcast_limit: int | None,
@@ -162,7 +164,6 @@ def _histogram(
         .groupBy(*keys, "enter_time")
         .agg(F.sum("n").alias("n"))
     )
-    listed = seconds_dim.select("dhms")
     return (
         per_second.join(listed, per_second["enter_time"] == listed["dhms"])
         .groupBy(*keys)
@@ -170,6 +171,23 @@ def _histogram(
     )
 
 
+def _listed_seconds(
+    log: DataFrame, seconds_dim: DataFrame, few_days: bool, broadcast_limit: int | None
+) -> DataFrame:
+    """The seconds of the dimension, as one side of an equi join.
+
+    A year has 31.5 million of them.  A run over few days therefore first asks the log for its
+    earliest and latest start, which bound every entry, and keeps the seconds in between.
+    """
+    listed = seconds_dim.select("dhms")
+    if few_days and not fits_broadcast(listed, broadcast_limit):
+        span = log.agg(F.min("start_time").alias("first"), F.max("start_time").alias("last")).first()
+        if span["first"] is None:
+            return listed.where(F.lit(False))
+        listed = listed.where(F.col("dhms").between(ntz(span["first"]), ntz(span["last"])))
+    return broadcast_if_small(listed, broadcast_limit)
+
+
 def programme_viewers(
     log: DataFrame,
     schedule: DataFrame,

@@ -27,5 +27,10 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast if it fits; otherwise leave the join strategy to Spark."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    """Mark ``df`` for broadcast if it fits, otherwise for sort-merge.
+
+    Without the second mark a side that was measured as too large could still be broadcast on
+    Spark's own estimate, which knows nothing of compression or of rows yet to be expanded.
+    Sort-merge spills, and adaptive execution splits its skewed partitions.
+    """
+    return F.broadcast(df) if fits_broadcast(df, limit) else df.hint("merge")

@@ -55,6 +55,8 @@ def store_stats(stats: DataFrame, table: str, mode: str = "append") -> None:
     if mode == "append":
         append_table(stats, table, STAT_PARTITION)
     elif mode == "upsert":
-        upsert_table(stats.sparkSession, table, LIVE_STAT, stats, STAT_KEY, STAT_PARTITION)
+        upsert_table(
+            stats.sparkSession, table, LIVE_STAT, stats, STAT_KEY, STAT_PARTITION, key_in_partition=True
+        )
     else:
         raise ValueError(f"unknown mode {mode!r}")

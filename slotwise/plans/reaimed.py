@@ -17,7 +17,12 @@ from slotwise.operators.upsert import in_range
 from slotwise.plans.warehouse import SECOND_DIM
 from slotwise.sources.readers import read_csv
 from slotwise.sources.schemas import ORDER_PROMOTION, ORDER_PROMOTION_TABLE
-from slotwise.sources.tables import overwrite_table, read_table, replace_range_in_table, upsert_table
+from slotwise.sources.tables import (
+    overwrite_partitions,
+    overwrite_table,
+    read_table,
+    replace_range_in_table,
+)
 
 
 def current_slice(log: DataFrame, low: datetime, high: datetime, column: str = "start_time") -> DataFrame:
@@ -38,9 +43,12 @@ def run_history_days(
 
 
 def run_second_dim(spark: SparkSession, table: str, start: date, end: date, load_dt: datetime) -> None:
-    """Generate the seconds of ``[start, end)`` and upsert them."""
-    rows = second_dim(spark, start, end, load_dt)
-    upsert_table(spark, table, SECOND_DIM.schema, rows, SECOND_DIM.key, SECOND_DIM.partition)
+    """Generate the seconds of ``[start, end)`` and replace them in the table.
+
+    The generated days are whole and the table is partitioned by day, so the keyed replacement
+    is a replacement of partitions.
+    """
+    overwrite_partitions(second_dim(spark, start, end, load_dt), table, SECOND_DIM.partition)
 
 
 def run_range_load(

@@ -26,6 +26,8 @@ class LoadSpec:
     schema: StructType
     key: str
     partition: str | None = None
+    # Rows with the same key always lie in the same partition.
+    key_in_partition: bool = False
     source: str = "csv"
     # Every value of the file is quoted, so an empty one stands for null.
     all_quoted: bool = False
@@ -36,7 +38,7 @@ class LoadSpec:
 HOUR_DIM = LoadSpec(schemas.HOUR_DIM, key="hh")
 MINUTE_DIM = LoadSpec(schemas.MINUTE_DIM, key="mi")
 SEC_DIM = LoadSpec(schemas.SEC_DIM, key="sec")
-SECOND_DIM = LoadSpec(schemas.SECOND_DIM, key="dhms", partition="date")
+SECOND_DIM = LoadSpec(schemas.SECOND_DIM, key="dhms", partition="date", key_in_partition=True)
 CALENDAR = LoadSpec(schemas.CALENDAR, key="date")
 PROGRAMME = LoadSpec(schemas.PROGRAMME, key="seq_frame_no", partition="bd_date", all_quoted=True)
 COMPETITOR_SCHEDULE = LoadSpec(
@@ -69,7 +71,9 @@ def apply_stage(spark: SparkSession, spec: LoadSpec, stage: str, targets: Sequen
     work = read_table(spark, stage, spec.schema)
     where = None if spec.insert_where is None else F.expr(spec.insert_where)
     for target in targets:
-        upsert_table(spark, target, spec.schema, work, spec.key, spec.partition, where)
+        upsert_table(
+            spark, target, spec.schema, work, spec.key, spec.partition, where, spec.key_in_partition
+        )
 
 
 def load(

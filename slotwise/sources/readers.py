@@ -7,11 +7,49 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from slotwise.functions.text import strip_newlines
 
 
+def csv_options(
+    sep: str = ",", header: bool = True, multi_line: bool = False, empty_as_null: bool = False
+) -> dict[str, str | bool | None]:
+    """Options that undo what ``export_csv`` does, for batch and streaming readers."""
+    options = {
+        "sep": sep,
+        "header": header,
+        "enforceSchema": True,
+        "quote": '"',
+        "escape": '"',
+        "nullValue": "" if empty_as_null else None,
+        "emptyValue": "",
+        "mode": "FAILFAST",
+        "multiLine": multi_line,
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+        "dateFormat": "yyyy-MM-dd",
+    }
+    if multi_line:
+        # Left to itself, the multi-line reader takes the first line break it meets for the row
+        # end, even one inside quotes, and then finds no further rows.
+        options["lineSep"] = "\n"
+    return options
+
+
+def multi_line_schema(schema: StructType) -> StructType:
+    """``schema`` with its last column as text; see :func:`finish_multi_line`."""
+    *others, last = schema.fields
+    return StructType([*others, StructField(last.name, StringType())])
+
+
+def finish_multi_line(df: DataFrame, schema: StructType) -> DataFrame:
+    """Take the ``\\r`` of a ``\\r\\n`` row end off the last column and give it its type."""
+    *others, last = schema.fields
+    text = F.col(f"`{last.name}`")
+    cut = F.when(text != "\r", F.regexp_replace(text, "\r$", ""))
+    return df.select(*[f"`{f.name}`" for f in others], cut.cast(last.dataType).alias(last.name))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -30,27 +68,16 @@ def read_csv(
     ``multi_line`` is needed only for line breaks inside quotes; it stops Spark from splitting a
     file, so large inputs should arrive as many files.
     """
-    return (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", header)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "" if empty_as_null else None)
-        .option("emptyValue", "")
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+    reader = spark.read.options(**csv_options(sep, header, multi_line, empty_as_null))
+    if multi_line:
+        return finish_multi_line(reader.schema(multi_line_schema(schema)).csv(path), schema)
+    return reader.schema(schema).csv(path)
 
 
 def read_ratings(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
     """Ratings file without a header line; names come from ``schema``.
 
-    As names are given, a header line would be read as data.  Line breaks inside text are removed.
+    As names are given, a header line would be read as data.  ``\\r\\n`` inside text is removed.
     """
     return strip_newlines(read_csv(spark, path, schema, header=False, multi_line=True))
 

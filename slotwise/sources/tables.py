@@ -62,10 +62,14 @@ def upsert_table(
     key: str | Sequence[str],
     partition: str | None = None,
     insert_filter: Column | None = None,
+    key_in_partition: bool = False,
 ) -> None:
     """Keyed delete-insert into a stored table; see :func:`slotwise.operators.upsert.upsert_by_key`.
 
     When the partition column is the key, the slices are replaced without reading the table.
+    Otherwise the table's keys are searched for the partitions to rewrite, unless the caller
+    knows that a key always lies in the same partition (``key_in_partition``): then only the
+    partitions of ``work`` are read.
     """
     key = [key] if isinstance(key, str) else list(key)
     rows = work if insert_filter is None else work.where(insert_filter)
@@ -82,9 +86,12 @@ def upsert_table(
         # Rows without a key delete nothing, so their partition grows instead of being replaced.
         append_table(rows.where(~named), path, partition)
         return
-    keys = broadcast_if_small(work.select(*key).dropna().distinct())
-    hit = target.join(keys, on=key, how="left_semi").select(partition)
-    touched = _values(hit.union(rows.select(partition)), partition)
+    if key_in_partition:
+        touched = _values(work, partition)
+    else:
+        keys = broadcast_if_small(work.select(*key).dropna().distinct())
+        hit = target.join(keys, on=key, how="left_semi").select(partition)
+        touched = _values(hit.union(rows.select(partition)), partition)
     merged = upsert_by_key(_only(target, partition, touched), work, key, insert_filter)
     _swap_partitions(merged, path, schema, partition, touched)
 

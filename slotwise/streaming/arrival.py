@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from slotwise.functions.text import strip_newlines
+from slotwise.sources.readers import csv_options, finish_multi_line, multi_line_schema
 
 
 def arriving_csv(
@@ -18,17 +19,13 @@ def arriving_csv(
 ) -> DataFrame:
     """Headerless CSV files landing in ``folder``; the extension comes in either case."""
     rows = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(multi_line_schema(schema))
+        .options(**csv_options(header=False, multi_line=True))
         .option("pathGlobFilter", file_glob)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
         .csv(folder)
     )
-    return strip_newlines(rows)
+    return strip_newlines(finish_multi_line(rows, schema))
 
 
 def load_arrived(rows: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
