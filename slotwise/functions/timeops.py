@@ -121,8 +121,8 @@ def day_text(day: Column | str) -> Column:
 def parse_minute(text: Column | str) -> Column:
     """Wall clock of ``yyyy-MM-dd HH:mm`` or ``yyyyMMddHHmm``; anything else is null."""
     digits = F.translate(_col(text), "- :", "")
-    spaced = F.regexp_replace(digits, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:00")
-    return spaced.try_cast("timestamp_ntz")
+    spaced = F.regexp_replace(digits, r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})", "$1-$2-$3 $4:$5:00")
+    return F.when(digits.rlike(r"^\d{12}$"), spaced.try_cast("timestamp_ntz"))
 
 
 # ---- event time of streams -------------------------------------------------------

@@ -2,9 +2,9 @@
 
 Plain Parquet has no DELETE.  A change here rewrites whole partitions, only those it touches,
 through dynamic partition overwrite, which publishes files when the job commits.  Rewritten
-partitions that keep old rows are first written beside the table and then moved in from there,
-so the table is never read and overwritten by the same job, and a run that dies half way can be
-repeated.  Partitions a change leaves empty are overwritten with an empty file.
+partitions are first written beside the table and then copied in from there, so the table is never
+read and overwritten by the same job, and a run that dies half way can be repeated.  Partitions a
+change leaves empty are overwritten with an empty file.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,12 +46,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 
 def replace_day_in_table(rows: DataFrame, path: str, day: date, partition: str = "bd_date") -> None:
-    """Replace one day by its recomputed ``rows`` in one pass; no rows empties the day."""
-    written = Observation()
-    that_day = rows.where(F.col(partition) == F.lit(day)).observe(written, F.count(F.lit(1)).alias("rows"))
-    overwrite_partitions(that_day, path, partition)
-    if written.get["rows"] == 0:
-        _clear(rows, path, partition, [day])
+    """Replace one day by its recomputed ``rows``; no rows empties the day."""
+    that_day = rows.where(F.col(partition) == F.lit(day))
+    _swap_partitions(that_day, path, rows.schema, partition, [day])
 
 
 def upsert_table(
