@@ -41,8 +41,15 @@ BASE_MI = """
     CASE WHEN a.enter_time <= c.bd_btime THEN 0 ELSE date_diff('minute', c.bd_btime, a.enter_time) END"""
 
 
-def seconds_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seconds_of_days(t.event_days(t.events(spark, sf_dir)), ntz(LOAD_AT))
+def log_and_schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The session log, and the programme schedule as a stored table."""
+    e = t.events(spark, sf_dir)
+    return t.session_log(e), t.stored(spark, t.programmes(e), "programmes")
+
+
+def seconds_dim(schedule: DataFrame) -> DataFrame:
+    """The seconds of all schedule days, which are the days with events."""
+    return seconds_of_days(schedule.select(F.col("bd_date").alias("date")), ntz(LOAD_AT))
 
 
 @query(
@@ -56,8 +63,8 @@ def seconds_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM pairs GROUP BY ALL"""
 )
 def view_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t.events(spark, sf_dir)
-    return sessions.view_time_histogram(t.session_log(e), t.programmes(e), seconds_dim(spark, sf_dir))
+    log, schedule = log_and_schedule(spark, sf_dir)
+    return sessions.view_time_histogram(log, schedule, seconds_dim(schedule))
 
 
 @query(
@@ -71,8 +78,8 @@ def view_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM pairs WHERE waited > 0 GROUP BY ALL"""
 )
 def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t.events(spark, sf_dir)
-    return sessions.order_time_histogram(t.session_log(e), t.programmes(e), seconds_dim(spark, sf_dir))
+    log, schedule = log_and_schedule(spark, sf_dir)
+    return sessions.order_time_histogram(log, schedule, seconds_dim(schedule))
 
 
 @query(
@@ -81,8 +88,7 @@ def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM folded a JOIN listed c ON {OVERLAP} GROUP BY ALL"""
 )
 def programme_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t.events(spark, sf_dir)
-    return sessions.programme_viewers(t.session_log(e), t.programmes(e))
+    return sessions.programme_viewers(*log_and_schedule(spark, sf_dir))
 
 
 @query(
@@ -101,8 +107,7 @@ def programme_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM minutes GROUP BY ALL"""
 )
 def minute_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = t.events(spark, sf_dir)
-    return sessions.minute_viewers(t.session_log(e), t.programmes(e))
+    return sessions.minute_viewers(*log_and_schedule(spark, sf_dir))
 
 
 LATEST = """
@@ -136,16 +141,8 @@ def active_viewers_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def active_viewers_from_daily_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history form from one stored fold per day instead of the raw log."""
     log = t.connection_log(t.events(spark, sf_dir)).where(F.col("log_time") < ntz(AS_OF))
-    per_day = log.groupBy(
-        F.col("log_time").cast("date").alias("log_dt"),
-        F.col("pn").alias("media_code"),
-        F.col("uid").alias("user_id"),
-    ).agg(
-        F.max("log_time").alias("last_activity"),
-        F.max(F.when(F.col("status") == "connect", F.col("st"))).alias("last_connect"),
-        F.max(F.when(F.col("status") == "disconnect", F.col("st"))).alias("last_disconnect"),
-    )
-    return live.active_from_latest(live.merge_latest(per_day), AS_OF, timedelta(hours=24))
+    folds = t.stored(spark, live.latest_events(log, F.col("log_time").cast("date").alias("log_dt")), "folds")
+    return live.active_from_latest(live.merge_latest(folds), AS_OF, timedelta(hours=24))
 
 
 @query(

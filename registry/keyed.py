@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.analytics import BASE_MI, BUCKET, FOLD, OVERLAP, seconds_dim
+from registry.analytics import BASE_MI, BUCKET, FOLD, OVERLAP, log_and_schedule, seconds_dim
 from registry.common import AS_OF, DAY, plain, query
 from slotwise import testmap as t
 from slotwise.functions.timeops import since_previous_month, trailing_minutes
@@ -36,12 +36,13 @@ def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as delivered: one row per order and return flag, so several per key."""
+    """Orders as delivered, staged: one row per order and return flag, so several per key."""
     lines = t.table(spark, sf_dir, "lineitem")
-    return lines.groupBy(F.col("l_orderkey").alias("order_no"), F.col("l_returnflag").alias("origin")).agg(
+    amounts = lines.groupBy(F.col("l_orderkey").alias("order_no"), F.col("l_returnflag").alias("origin")).agg(
         F.sum(F.col("l_extendedprice").cast(AMOUNT)).cast(AMOUNT).alias("amount"),
         F.min("l_shipdate").alias("booked_at"),
     )
+    return t.stored(spark, amounts, "delivered")
 
 
 AMOUNTS_SQL = """
@@ -160,8 +161,8 @@ def extract_snapshot_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame
 )
 def run_view_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored histogram with stale counts, after one day has been recomputed."""
-    e = t.events(spark, sf_dir)
-    log, schedule, seconds = t.session_log(e), t.programmes(e), seconds_dim(spark, sf_dir)
+    log, schedule = log_and_schedule(spark, sf_dir)
+    seconds = seconds_dim(schedule)
     stale = view_time_histogram(log, schedule, seconds).withColumn("view_cnt", F.lit(0).cast("bigint"))
     table = new_folder(spark, "view-times")
     overwrite_table(stale, table, "bd_date")

@@ -232,10 +232,10 @@ def load_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PROGRAMME_SQL.format(0))
 def export_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole programme table as one fully quoted gzip CSV, read back."""
+    """The whole programme table as fully quoted gzip CSV, read back."""
     landed = new_folder(spark, "programmes")
     rows = programme_rows(t.events(spark, sf_dir))
-    warehouse.export_snapshot(rows, schemas.PROGRAMME, landed, quote_all=True, one_file=True)
+    warehouse.export_snapshot(rows, schemas.PROGRAMME, landed, quote_all=True)
     back = read_csv(spark, landed, schemas.PROGRAMME, empty_as_null=True)
     return plain(back.select(*PROGRAMME_COLUMNS))
 
@@ -473,10 +473,10 @@ def _land_pages(rows: DataFrame, page: Column, dataset: str, newest: str | None
 def _write_pages(pages: DataFrame, landed: str) -> None:
     """One document per file, and an error page that has no rows."""
     pages.repartition("page").write.partitionBy("page").text(landed)
-    error = pages.sparkSession.range(1).select(
+    error = pages.sparkSession.range(0, 1, 1, 1).select(
         F.lit('{"RESULT": {"CODE": "INFO-200", "MESSAGE": "no data"}}').alias("value")
     )
-    error.coalesce(1).write.text(f"{landed}/page=999999")
+    error.write.text(f"{landed}/page=999999")
 
 
 CUSTOMER_FIELDS = ("c_custkey", "c_name", "c_mktsegment", "c_note")
@@ -543,11 +543,11 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
-@query("SELECT count(*) + 1 AS row_count FROM lineitem")
+@query("SELECT count(*) AS row_count FROM lineitem")
 def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of one landed CSV file: the rows and the header."""
+    """Lines of a landed CSV without header: its rows."""
     landed = new_folder(spark, "lines")
-    export_csv(t.table(spark, sf_dir, "lineitem"), landed, compress=False, one_file=True)
+    export_csv(t.table(spark, sf_dir, "lineitem"), landed, compress=False, header=False)
     return quality.line_count(spark, landed)
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.common import plain, query
+from registry.analytics import LAST_DAY, LATEST
+from registry.common import AS_OF, plain, query
 from registry.loads import RATINGS_SQL, ratings
 from slotwise import testmap as t
 from slotwise.functions.timeops import event_time, wall_clock
+from slotwise.operators.live import active_from_minutes
 from slotwise.sources import schemas
 from slotwise.sources.scratch import new_folder
 from slotwise.sources.writers import export_csv
@@ -59,6 +63,24 @@ def stream_active_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query(f"{t.with_sql('connection_log')}, {LATEST.format(LAST_DAY)} SELECT * FROM viewers")
+def stream_minute_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds stored by a stream; a tick with a look-back of a day reads those of its minutes."""
+    log = t.connection_log(t.stream(spark, sf_dir)).withColumn("log_time", event_time("log_time"))
+    out = new_folder(spark, "folds")
+    run = (
+        live.stream_minute_folds(log)
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", new_folder(spark, "folds-checkpoint"))
+        .trigger(availableNow=True)
+        .format("parquet")
+        .partitionBy("log_dt")
+        .start(out)
+    )
+    run.awaitTermination()
+    return active_from_minutes(spark.read.parquet(out), AS_OF, timedelta(hours=24))
+
+
 @query(
     f"""{t.with_sql('connection_log', 'programmes', 'frames')}, {TICKS_SQL},
     on_air AS (

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.fixed import CONNECT, DISCONNECT, REVENUE_STAT, TIME_ZONE, VIEWERS_STAT
@@ -19,13 +20,13 @@ STAT_KEY = ("init_date", "tape_code", "data_type")
 # ---- connected viewers -----------------------------------------------------------
 
 
-def latest_events(log: DataFrame) -> DataFrame:
-    """Last activity, connect and disconnect per (media, user).
+def latest_events(log: DataFrame, *within: Column) -> DataFrame:
+    """Last activity, connect and disconnect per (media, user), optionally ``within`` days or minutes.
 
-    Maxima of maxima are maxima: folds of single days can be stored and unioned, and
-    :func:`merge_latest` of that union equals the fold of the whole log.
+    Maxima of maxima are maxima: folds of single days or minutes can be stored, and
+    :func:`merge_latest` of any of them equals the fold of their log rows.
     """
-    return log.groupBy(F.col("pn").alias("media_code"), F.col("uid").alias("user_id")).agg(
+    return log.groupBy(*within, F.col("pn").alias("media_code"), F.col("uid").alias("user_id")).agg(
         F.max("log_time").alias("last_activity"),
         F.max(F.when(F.col("status") == CONNECT, F.col("st"))).alias("last_connect"),
         F.max(F.when(F.col("status") == DISCONNECT, F.col("st"))).alias("last_disconnect"),
@@ -33,7 +34,7 @@ def latest_events(log: DataFrame) -> DataFrame:
 
 
 def merge_latest(folds: DataFrame) -> DataFrame:
-    """Fold of several stored :func:`latest_events` results."""
+    """One fold of several stored :func:`latest_events` results."""
     marks = ("last_activity", "last_connect", "last_disconnect")
     return folds.groupBy("media_code", "user_id").agg(*[F.max(m).alias(m) for m in marks])
 
@@ -80,80 +81,101 @@ def active_from_latest(
     return count_viewers(recent)
 
 
+def active_from_minutes(folds: DataFrame, as_of: datetime, lookback: timedelta = HOUR) -> DataFrame:
+    """The windowed form from folds stored per day ``log_dt`` and ``minute``.
+
+    A tick reads ``lookback`` worth of small folds instead of the raw log.  ``as_of`` and
+    ``lookback`` are whole minutes.
+    """
+    since = as_of - lookback
+    inside = (
+        F.col("log_dt").between(F.lit(since.date()), F.lit(as_of.date()))
+        & (F.col("minute") >= ntz(since))
+        & (F.col("minute") < ntz(as_of))
+    )
+    return count_viewers(merge_latest(folds.where(inside)))
+
+
 # ---- airing programmes -----------------------------------------------------------
 
 
 def airing_start(ticks: DataFrame, schedule: DataFrame) -> DataFrame:
     """Latest programme start at or before each tick, looking at the tick's day and the day before.
 
-    ``ticks`` has distinct wall clocks ``as_of``.  Starts are compared by minute.  The join is an
-    equi join on the schedule day, and every tick meets only the distinct start minutes of two
-    days.
+    ``ticks`` has wall clocks ``as_of``; starts are compared by minute.  Start minutes and tick
+    minutes are laid side by side per schedule day and a running maximum carries the last start
+    to the ticks, so no (tick, start) pairs are formed and a window holds one day of minutes.
     """
-    minute = trunc_minute("as_of")
-    days = ticks.select(
-        "as_of", minute.alias("tick_minute"), F.explode(two_days("as_of")).alias("tick_day")
+    day = F.col("tick").cast("date")
+    asked = ticks.select(trunc_minute("as_of").alias("tick")).distinct()
+    marks = (
+        schedule.select(F.col("bd_date").alias("day"), trunc_minute("bd_btime").alias("start"))
+        .distinct()
+        .select("day", F.col("start").alias("minute"), "start", F.lit(None).cast("timestamp_ntz").alias("tick"))
+        .unionByName(
+            asked.select(
+                F.explode(F.array(F.date_sub(day, 1), day)).alias("day"),
+                F.col("tick").alias("minute"),
+                F.lit(None).cast("timestamp_ntz").alias("start"),
+                "tick",
+            )
+        )
     )
-    starts = schedule.select("bd_date", trunc_minute("bd_btime").alias("start")).distinct()
+    so_far = W.partitionBy("day").orderBy("minute").rangeBetween(W.unboundedPreceding, W.currentRow)
     return (
-        days.join(starts, (F.col("tick_day") == F.col("bd_date")) & (F.col("start") <= F.col("tick_minute")))
-        .groupBy("as_of")
-        .agg(F.max("start").alias("bd_btime"))
+        marks.withColumn("latest", F.max("start").over(so_far))
+        .where(F.col("tick").isNotNull())
+        .groupBy(F.col("tick").alias("init_date"))
+        .agg(F.max("latest").alias("bd_btime"))
+        .where(F.col("bd_btime").isNotNull())
     )
 
 
-def two_days(as_of: Column | str) -> Column:
-    day = (F.col(as_of) if isinstance(as_of, str) else as_of).cast("date")
-    return F.array(F.date_sub(day, 1), day)
-
-
-def airing_viewers_at(
-    ticks: DataFrame, codes: DataFrame, schedule: DataFrame, viewers: DataFrame
-) -> DataFrame:
+def airing_viewers_at(on_air: DataFrame, codes: DataFrame, viewers: DataFrame) -> DataFrame:
     """Viewer statistics of the tapes on air, for any number of ticks.
 
-    ``viewers`` has ``as_of, media_code, unique_viewers``.  Tapes of media without viewers get
-    zero; rows without a tape are dropped; a tick before the first programme gives no row.
-    Missing media match missing media, as in a data-frame merge.
+    ``on_air`` comes from :func:`airing_start`; ``viewers`` has ``as_of, media_code,
+    unique_viewers``.  Tapes of media without viewers get zero and rows without a tape are
+    dropped.  Missing media match missing media, as in a data-frame merge.
     """
-    on_air = airing_start(ticks, schedule)
+    today = F.col("init_date").cast("date")
     tapes = codes.select("bd_date", "media_code", "tape_code", trunc_minute("bd_btime").alias("code_minute"))
     here = on_air.join(
         tapes,
-        (F.col("bd_btime") == F.col("code_minute"))
-        & F.col("bd_date").between(F.date_sub(F.col("as_of").cast("date"), 1), F.col("as_of").cast("date")),
+        (F.col("bd_btime") == F.col("code_minute")) & F.col("bd_date").between(F.date_sub(today, 1), today),
     ).where(F.col("tape_code").isNotNull())
     counts = viewers.select(
-        F.col("as_of").alias("seen_at"), F.col("media_code").alias("seen_on"), "unique_viewers"
+        trunc_minute("as_of").alias("seen_at"), F.col("media_code").alias("seen_on"), "unique_viewers"
     )
     joined = here.join(
         counts,
-        (F.col("as_of") == F.col("seen_at")) & F.col("media_code").eqNullSafe(F.col("seen_on")),
+        (F.col("init_date") == F.col("seen_at")) & F.col("media_code").eqNullSafe(F.col("seen_on")),
         "left",
     )
     total = F.coalesce(F.sum("unique_viewers"), F.lit(0)).cast("decimal(18,2)")
     return (
-        joined.groupBy("as_of", "tape_code", "bd_btime")
+        joined.groupBy("init_date", "tape_code", "bd_btime")
         .agg(total.alias("data_value"))
-        .select(
-            trunc_minute("as_of").alias("init_date"),
-            "tape_code",
-            F.lit(VIEWERS_STAT).alias("data_type"),
-            "data_value",
-            "bd_btime",
-        )
+        .withColumn("data_type", F.lit(VIEWERS_STAT))
+        .select(*STAT)
     )
 
 
 def airing_viewers(
     codes: DataFrame, schedule: DataFrame, viewers: DataFrame, as_of: datetime
 ) -> DataFrame:
-    """Viewer statistics of the tapes on air at ``as_of``."""
-    tick = schedule.sparkSession.range(1).select(ntz(as_of).alias("as_of"))
+    """Viewer statistics of the tapes on air at ``as_of``; no rows before the first programme.
+
+    The latest start is one row and is broadcast.
+    """
+    as_of = _minute(as_of)
     days = [(as_of - timedelta(days=1)).date(), as_of.date()]
-    at = viewers.select(ntz(as_of).alias("as_of"), "media_code", "unique_viewers")
+    started = schedule.where(F.col("bd_date").isin(days)).select(trunc_minute("bd_btime").alias("start"))
+    on_air = started.where(F.col("start") <= ntz(as_of)).agg(F.max("start").alias("bd_btime"))
     return airing_viewers_at(
-        tick, codes.where(F.col("bd_date").isin(days)), schedule.where(F.col("bd_date").isin(days)), at
+        F.broadcast(on_air.withColumn("init_date", ntz(as_of))),
+        codes.where(F.col("bd_date").isin(days)),
+        viewers.select(ntz(as_of).alias("as_of"), "media_code", "unique_viewers"),
     )
 
 

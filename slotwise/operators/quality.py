@@ -61,4 +61,4 @@ def audit_row(spark: SparkSession, job: str, task: str, run: str, message: str)
 
 
 def append_audit(spark: SparkSession, path: str, job: str, task: str, run: str, message: str) -> None:
-    audit_row(spark, job, task, run, message).coalesce(1).write.mode("append").parquet(path)
+    audit_row(spark, job, task, run, message).write.mode("append").parquet(path)

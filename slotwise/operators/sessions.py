@@ -4,11 +4,11 @@ A session is the fold of all log rows with one (day, media, session id).  It ove
 programme of its day and media when it ended at or after the start and began before the start
 plus one hour.  A session may overlap several programmes and counts in each.
 
-Shuffles of the histograms: (1) the session fold, with map-side partial aggregation, so that a
-session id holding a third of the log reaches the reducer as one row per map task; (2) the
-histogram counts, partially aggregated; (3) the join with the second dimension, on counts
-rather than sessions.  The schedule is broadcast when it has been measured to fit.  Beyond that,
-:func:`match_programmes` joins on hour cells, so that one busy media is spread over the day.
+A daily histogram shuffles twice: the session fold, partially aggregated, so that a session id
+holding a third of the log reaches the reducer as one row per map task; and the counts, of which
+there are few.  Schedule and second dimension are broadcast when they have been measured to
+fit.  Beyond that, :func:`match_programmes` joins on hour cells, so that one busy media is spread
+over the day, and the dimension is joined with counts rather than sessions.
 """
 
 from __future__ import annotations
@@ -66,18 +66,16 @@ def match_programmes(
     )
     if fits_broadcast(programmes, broadcast_limit):
         return sessions.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(programmes), overlaps)
-    return _match_by_hour_cell(sessions, programmes, overlaps, broadcast_limit)
+    return _match_by_hour_cell(sessions, programmes, overlaps)
 
 
-def _match_by_hour_cell(
-    sessions: DataFrame, programmes: DataFrame, overlaps: Column, broadcast_limit: int | None
-) -> DataFrame:
+def _match_by_hour_cell(sessions: DataFrame, programmes: DataFrame, overlaps: Column) -> DataFrame:
     """The overlap as a shuffled equi join on (day, media, hour cell of the programme start).
 
     The starts a session can meet are those in ``(entry - 1 h, exit]``.  Each session is put in
     every cell of that span and each programme in exactly one, so a pair meets once and nothing
-    has to be de-duplicated.  Spans are clipped to the cells that day's schedule uses, which
-    bounds the copies of a session that never ended.  Equal sessions are counted before they
+    has to be de-duplicated.  Spans are clipped to the cells that day's schedule uses (one row per
+    day, broadcast), which bounds the copies of a session that never ended.  Equal sessions are counted before they
     are copied, so a crowd entering and leaving together is one row.
     """
     starts = programmes.withColumn("cell", epoch_hours("bd_btime"))
@@ -88,7 +86,7 @@ def _match_by_hour_cell(
     first = F.greatest(epoch_hours(F.col("enter_time") - F.expr(REACH)), F.col("first_cell"))
     last = F.least(epoch_hours("exit_time"), F.col("last_cell"))
     spread = (
-        counted.join(broadcast_if_small(used, broadcast_limit), F.col("log_dt") == F.col("used_day"))
+        counted.join(broadcast_if_small(used), F.col("log_dt") == F.col("used_day"))
         .withColumn("from_cell", first)
         .withColumn("to_cell", last)
         .where(F.col("from_cell") <= F.col("to_cell"))
@@ -156,25 +154,25 @@ def _histogram(
     sessions = sessions.select("log_dt", "pn", "enter_time", "exit_time", class_column)
     pairs = match_programmes(sessions, distinct_programmes(schedule), broadcast_limit)
     keys = ["bd_date", "bd_btime", "tape_code", "base_mi", class_column]
-    # The second dimension only decides how often an entry second counts (absent, once, or more
-    # if it is listed twice).  Counting per entry second first keeps a second in which a third
-    # of all viewers arrive from travelling as that many rows.
-    per_second = (
-        pairs.withColumn("base_mi", base_minute())
-        .groupBy(*keys, "enter_time")
-        .agg(F.sum("n").alias("n"))
-    )
-    return (
-        per_second.join(listed, per_second["enter_time"] == listed["dhms"])
-        .groupBy(*keys)
-        .agg(F.sum("n").alias(count_column))
-    )
+    pairs = pairs.withColumn("base_mi", base_minute())
+    # The second dimension only decides how often an entry second counts: not at all, once, or
+    # more if it is listed more than once.
+    if fits_broadcast(listed, broadcast_limit):
+        listed = F.broadcast(listed)
+    else:
+        # Counting per entry second first keeps a second in which a third of all viewers arrive
+        # from travelling as that many rows.  Sort-merge is named because Spark cannot size a
+        # generated dimension and would broadcast it.
+        pairs = pairs.groupBy(*keys, "enter_time").agg(F.sum("n").alias("n"))
+        listed = listed.hint("merge")
+    counted = pairs.join(listed, pairs["enter_time"] == listed["dhms"])
+    return counted.groupBy(*keys).agg(F.sum("n").alias(count_column))
 
 
 def _listed_seconds(
     log: DataFrame, seconds_dim: DataFrame, few_days: bool, broadcast_limit: int | None
 ) -> DataFrame:
-    """The seconds of the dimension, as one side of an equi join.
+    """The seconds of the dimension that can matter.
 
     A year has 31.5 million of them.  A run over few days therefore first asks the log for its
     earliest and latest start, which bound every entry, and keeps the seconds in between.
@@ -185,7 +183,7 @@ def _listed_seconds(
         if span["first"] is None:
             return listed.where(F.lit(False))
         listed = listed.where(F.col("dhms").between(ntz(span["first"]), ntz(span["last"])))
-    return broadcast_if_small(listed, broadcast_limit)
+    return listed
 
 
 def programme_viewers(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A broadcast table is built on the driver and held by every executor.
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _FIXED_WIDTH = 8
 _ROW_OVERHEAD = 32

@@ -127,7 +127,6 @@ def export_snapshot(
     schema: StructType,
     path: str,
     quote_all: bool = False,
-    one_file: bool = False,
 ) -> None:
     """A whole table as gzip CSV."""
-    export_csv(extract_snapshot(table, schema.fieldNames()), path, quote_all=quote_all, one_file=one_file)
+    export_csv(extract_snapshot(table, schema.fieldNames()), path, quote_all=quote_all)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="slotwise-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="slotwise-")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

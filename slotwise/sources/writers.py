@@ -1,4 +1,4 @@
-"""File writers.  All of them write in parallel; one file only where it is asked for."""
+"""File writers.  All of them write in parallel, one file per task."""
 
 from __future__ import annotations
 
@@ -14,19 +14,14 @@ def export_csv(
     compress: bool = True,
     quote_all: bool = False,
     header: bool = True,
-    one_file: bool = False,
     sep: str = ",",
     mode: str = "overwrite",
 ) -> None:
     """Header CSV in UTF-8, gzip by default, replacing what was there.
 
-    Null is written as nothing and the empty text as ``""``; with ``quote_all`` both are ``""``.
-    ``one_file`` sends everything through one task; it exists for consumers that demand a single
-    file and should stay off for large results.
-    """
-    out = df.coalesce(1) if one_file else df
+    Null is written as nothing and the empty text as ``""``; with ``quote_all`` both are ``""``.    """
     (
-        out.write.mode(mode)
+        df.write.mode(mode)
         .option("header", header)
         .option("sep", sep)
         .option("quoteAll", quote_all)

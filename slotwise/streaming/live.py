@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from slotwise.functions.fixed import CONNECT, DISCONNECT
 from slotwise.functions.timeops import minute_text, trunc_minute, wall_clock
-from slotwise.operators.live import STAT, airing_viewers_at, count_viewers, revenue_stats
+from slotwise.operators.live import airing_start, airing_viewers_at, count_viewers, latest_events, revenue_stats
 
 
 def stream_active_viewers(
@@ -22,7 +22,8 @@ def stream_active_viewers(
 
     The window ``[tick - lookback, tick)`` is the batch predicate.  Each event lies in
     ``lookback / every`` windows and the state holds one row per window, media and user: a wider
-    ``every`` shrinks both.  Rows are combined per (window, media, user) before the shuffle.
+    ``every`` shrinks both.  Rows are combined per (window, media, user) before the shuffle.  For
+    very many users see :func:`stream_minute_folds`, whose state does not multiply.
     Result: ``as_of`` (event time of the tick), ``media_code``, ``unique_viewers``.
     """
     per_user = (
@@ -41,6 +42,25 @@ def stream_active_viewers(
     return counted.select(F.col("span.end").alias("as_of"), "media_code", "unique_viewers")
 
 
+def stream_minute_folds(log: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """One fold per closed minute, media and user, for ``active_from_minutes``.
+
+    The state is one row per user and open minute, whatever the look-back.  Stored by ``minute``,
+    a tick then reads the folds of its look-back.
+    """
+    minute = F.window("log_time", "1 minute").alias("span")
+    folds = latest_events(log.withWatermark("log_time", delay), minute)
+    return folds.select(
+        wall_clock("span.start").alias("minute"),
+        wall_clock("span.start").cast("date").alias("log_dt"),
+        "media_code",
+        "user_id",
+        wall_clock("last_activity").alias("last_activity"),
+        "last_connect",
+        "last_disconnect",
+    )
+
+
 def write_airing_viewers(
     viewers: DataFrame, codes: DataFrame, schedule: DataFrame, path: str, checkpoint: str
 ) -> DataStreamWriter:
@@ -52,9 +72,8 @@ def write_airing_viewers(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         counts = batch.withColumn("as_of", wall_clock("as_of"))
-        ticks = counts.select("as_of").distinct()
-        stats = airing_viewers_at(ticks, codes, schedule, counts)
-        stats.select(*STAT).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        stats = airing_viewers_at(airing_start(counts, schedule), codes, counts)
+        stats.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return viewers.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
 

@@ -10,10 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.timeops import event_time, trunc_hour, trunc_second
+from slotwise.sources.scratch import new_folder
 
 MONEY = "decimal(18,2)"
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A derived table written to the shared folder, as its domain twin would be stored.
+
+    What several jobs of a query read is then derived from the driver's tables once.
+    """
+    path = new_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

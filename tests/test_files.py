@@ -56,9 +56,10 @@ def test_line_breaks_survive_in_multi_line_mode(spark, folder):
 
 def test_fully_quoted_file_reads_empty_as_null(spark, values, folder):
     path = folder()
-    writers.export_csv(values, path, quote_all=True, one_file=True)
-    (file,) = glob.glob(f"{path}/*.csv.gz")
-    lines = gzip.open(file, "rt", encoding="utf-8").read().splitlines()
+    writers.export_csv(values, path, quote_all=True)
+    files = glob.glob(f"{path}/*.csv.gz")
+    lines = [x for f in files for x in gzip.open(f, "rt", encoding="utf-8").read().splitlines()]
+    assert len(lines) == len(ROWS) + len(files)
     assert lines[0] == '"code","name","at","day","amount","n"'
     assert all(line.startswith('"') and line.endswith('"') for line in lines)
     expected = values.replace("", None)
@@ -241,13 +242,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch.new_folder(spark, "x").startswith(spark.conf.get(scratch.SETTING))
 
 
-def test_cluster_without_a_shared_folder_is_an_error():
-    class Conf:
-        def get(self, name, default=None):
-            return {"spark.master": "yarn"}.get(name, default)
+class SessionWithoutFolder:
+    def __init__(self, master):
+        self.conf = {"spark.master": master}
 
-    class Session:
-        conf = Conf()
 
+def test_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(ValueError):
-        scratch.shared_folder(Session())
+        scratch.shared_folder(SessionWithoutFolder("yarn"))
+
+
+def test_local_session_without_a_shared_folder_gets_its_own():
+    session = SessionWithoutFolder("local[2]")
+    assert scratch.shared_folder(session) == scratch.shared_folder(session)
