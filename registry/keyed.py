@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from registry.analytics import BASE_MI, BUCKET, FOLD, OVERLAP, log_and_schedule, seconds_dim
 from registry.common import AS_OF, DAY, plain, query
@@ -262,36 +263,56 @@ def second_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = t.frames(t.events(spark, sf_dir))
-    return schemas.conform(
-        frames.withColumn("seq_frame_no", F.concat_ws("/", "bd_date", "tape_code", "media_code")),
-        schemas.SCHEDULE_FRAME,
-    )
+def _replace_three_days(spark: SparkSession, rows: DataFrame, schema: StructType, mark: str) -> DataFrame:
+    """A stored schedule marked old, after three days of it came again in a CSV of all rows."""
+    landed, stage, table = (new_folder(spark, f"schedule-{n}") for n in ("csv", "stage", "table"))
+    rows = schemas.conform(rows, schema)
+    export_csv(rows.withColumn(mark, F.lit("new")), landed)
+    overwrite_table(rows.withColumn(mark, F.lit("old")), table, "bd_date")
+    low, high = datetime(2024, 1, 14), datetime(2024, 1, 17)
+    reaimed.run_range_load(spark, landed, stage, table, schema, "bd_date", low, high, "bd_date")
+    return read_table(spark, table, schema)
 
 
-FRAME_NO = "CAST(bd_date AS VARCHAR) || '/' || tape_code || '/' || media_code AS seq_frame_no"
+NEW_OR_OLD = "CASE WHEN bd_date >= DATE '2024-01-14' AND bd_date < DATE '2024-01-17' THEN 'new' ELSE 'old' END"
 
 
 @query(
     f"""{t.with_sql('frames')}
-    SELECT {FRAME_NO}, bd_date, bd_btime, media_code, tape_code,
-           CASE WHEN bd_date >= DATE '2024-01-14' AND bd_date < DATE '2024-01-17' THEN 'new' ELSE 'old' END AS etc
+    SELECT CAST(bd_date AS VARCHAR) || '/' || tape_code || '/' || media_code AS seq_frame_no,
+           bd_date, bd_btime, media_code, tape_code, {NEW_OR_OLD} AS etc
     FROM frames"""
 )
 def replace_range_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Re-aimed: schedule frames of three days from a CSV of all of them."""
-    frames = _frames(spark, sf_dir)
-    landed, stage, table = (new_folder(spark, f"frames-{n}") for n in ("csv", "stage", "table"))
-    export_csv(frames.withColumn("etc", F.lit("new")), landed)
-    overwrite_table(frames.withColumn("etc", F.lit("old")), table, "bd_date")
-    low, high = datetime(2024, 1, 14), datetime(2024, 1, 17)
-    reaimed.run_range_load(
-        spark, landed, stage, table, schemas.SCHEDULE_FRAME, "bd_date", low, high, "bd_date"
+    """Re-aimed: schedule frames of three days."""
+    frames = t.frames(t.events(spark, sf_dir))
+    rows = frames.withColumn("seq_frame_no", F.concat_ws("/", "bd_date", "tape_code", "media_code"))
+    stored = _replace_three_days(spark, rows, schemas.SCHEDULE_FRAME, "etc")
+    return stored.select("seq_frame_no", "bd_date", "bd_btime", "media_code", "tape_code", "etc")
+
+
+@query(
+    f"""{t.with_sql('programmes')}
+    SELECT bd_date, bd_btime, media_code, goods_code, {NEW_OR_OLD} AS bd_flag FROM programmes"""
+)
+def replace_range_broadcast_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-aimed: broadcast goods of three days."""
+    stored = _replace_three_days(
+        spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_GOODS, "bd_flag"
     )
-    return read_table(spark, table, schemas.SCHEDULE_FRAME).select(
-        "seq_frame_no", "bd_date", "bd_btime", "media_code", "tape_code", "etc"
+    return stored.select("bd_date", "bd_btime", "media_code", "goods_code", "bd_flag")
+
+
+@query(
+    f"""{t.with_sql('programmes')}
+    SELECT bd_date, bd_btime, media_code, tape_code, goods_code, {NEW_OR_OLD} AS insert_id FROM programmes"""
+)
+def replace_range_broadcast_no_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-aimed: the second broadcast goods table, three days."""
+    stored = _replace_three_days(
+        spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_NO_GOODS, "insert_id"
     )
+    return stored.select("bd_date", "bd_btime", "media_code", "tape_code", "goods_code", "insert_id")
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from registry.common import LOAD_AT, RUN, plain, query
 from registry.keyed import PROMOTION_COLUMNS, PROMOTIONS_SQL, promotions
@@ -172,14 +173,33 @@ def export_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, landed, schemas.CALENDAR).select(*CALENDAR_COLUMNS)
 
 
-@query(f"SELECT DISTINCT lpad(CAST(extract(minute FROM ts) AS VARCHAR), 2, '0') AS mi, {NEW_SQL} AS load_dt FROM events")
-def export_minute_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = t.events(spark, sf_dir).select(
-        F.lpad(F.minute("ts").cast("string"), 2, "0").alias("mi"), ntz(LOAD_AT).alias("load_dt")
+def _export_dim(spark: SparkSession, sf_dir: str, schema: StructType, part: Column) -> DataFrame:
+    key = schema.fieldNames()[0]
+    parts = t.events(spark, sf_dir).select(
+        F.lpad(part.cast("string"), 2, "0").alias(key), ntz(LOAD_AT).alias("load_dt")
     )
-    landed = new_folder(spark, "minutes")
-    warehouse.export_snapshot(minutes.distinct(), schemas.MINUTE_DIM, landed)
-    return read_csv(spark, landed, schemas.MINUTE_DIM)
+    landed = new_folder(spark, f"{key}-csv")
+    warehouse.export_snapshot(parts.distinct(), schema, landed)
+    return read_csv(spark, landed, schema)
+
+
+def _parts_sql(key: str, part: str) -> str:
+    return f"SELECT DISTINCT lpad(CAST(extract({part} FROM ts) AS VARCHAR), 2, '0') AS {key}, {NEW_SQL} AS load_dt FROM events"
+
+
+@query(_parts_sql("hh", "hour"))
+def export_hour_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _export_dim(spark, sf_dir, schemas.HOUR_DIM, F.hour("ts"))
+
+
+@query(_parts_sql("mi", "minute"))
+def export_minute_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _export_dim(spark, sf_dir, schemas.MINUTE_DIM, F.minute("ts"))
+
+
+@query(_parts_sql("sec", "second"))
+def export_sec_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _export_dim(spark, sf_dir, schemas.SEC_DIM, F.second("ts"))
 
 
 # ---- programmes and schedules ----------------------------------------------------
@@ -312,7 +332,7 @@ def load_guide_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- extracts --------------------------------------------------------------------
 
 
-def _extracted(table: DataFrame, schema) -> DataFrame:
+def _extracted(table: DataFrame, schema: StructType) -> DataFrame:
     return warehouse.extract_schedule(schemas.conform(table, schema), schema, RUN)
 
 

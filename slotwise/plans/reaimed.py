@@ -6,12 +6,14 @@ tables around it suggest.  No equality with anything else is claimed.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from slotwise.functions.timeops import shift_month
 from slotwise.operators.dims import second_dim
 from slotwise.operators.upsert import in_range
 from slotwise.plans.warehouse import SECOND_DIM
@@ -51,6 +53,12 @@ def run_second_dim(spark: SparkSession, table: str, start: date, end: date, load
     overwrite_partitions(second_dim(spark, start, end, load_dt), table, SECOND_DIM.partition)
 
 
+def coming_year(run: datetime) -> tuple[date, date]:
+    """Days a yearly run generates: from the first of next month to the run's date a year on."""
+    last = monthrange(run.year + 1, run.month)[1]
+    return shift_month(run, 1).date(), date(run.year + 1, run.month, min(run.day, last))
+
+
 def run_range_load(
     spark: SparkSession,
     source: str,

@@ -39,6 +39,26 @@ def export_csv(
     )
 
 
+def jdbc_write_options(url: str, table: str, connections: int = 8) -> dict[str, str]:
+    """Options of a database write over a bounded number of connections.
+
+    Replacing empties the table instead of dropping it, so its definition and rights stay.
+    """
+    return {
+        "url": url,
+        "dbtable": table,
+        "numPartitions": str(connections),
+        "batchsize": "10000",
+        "truncate": "true",
+    }
+
+
+def write_jdbc(df: DataFrame, options: dict[str, str], replace: bool = False, **login: str) -> None:
+    """All rows into a database table, replacing or appending."""
+    writer = df.write.format("jdbc").options(**options, **login)
+    writer.mode("overwrite" if replace else "append").save()
+
+
 def day_folder(root: str, day: date) -> str:
     return f"{root}/{day:%Y%m%d}"
 

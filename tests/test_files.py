@@ -87,7 +87,7 @@ def land(tmp_path, name, content):
 
 @pytest.mark.parametrize("end", ["\n", "\r\n"], ids=["lf", "crlf"])
 def test_ratings_file(spark, folder, tmp_path, end):
-    content = f'Stoa,0007,"News,\r\n at 9",0900,1000,{NUMBERS}{end}Stoa,0007,"two\nlines",1000,1100,{NUMBERS}{end}'
+    content = f'Home,0007,"News,\r\n at 9",0900,1000,{NUMBERS}{end}Home,0007,"two\nlines",1000,1100,{NUMBERS}{end}'
     path, table = land(tmp_path, "20241214A.csv", content), folder()
     for _ in range(2):
         warehouse.load_ratings(spark, path, table)
@@ -232,12 +232,22 @@ def test_audit_appends(spark, folder):
 
 def test_database_read_is_bounded_and_parallel():
     options = readers.jdbc_window_options(
-        "jdbc:x", "bmt.frames", ["a", "b"], "bd_date", datetime(2024, 1, 14), datetime(2024, 1, 17), 8
+        "jdbc:x", "db.frames", ["a", "b"], "bd_date", datetime(2024, 1, 14), datetime(2024, 1, 17), 8
     )
-    assert options["dbtable"].startswith("(SELECT a, b FROM bmt.frames WHERE bd_date >= TIMESTAMP '2024-01-14 00:00:00'")
+    assert options["dbtable"].startswith("(SELECT a, b FROM db.frames WHERE bd_date >= TIMESTAMP '2024-01-14 00:00:00'")
     assert (options["numPartitions"], options["partitionColumn"]) == ("8", "bd_date")
 
 
+def test_database_write_is_bounded_and_keeps_the_table():
+    options = writers.jdbc_write_options("jdbc:x", "db.ratings", 4)
+    assert (options["dbtable"], options["numPartitions"], options["truncate"]) == ("db.ratings", "4", "true")
+
+
+def test_coming_year():
+    assert reaimed.coming_year(datetime(2024, 12, 1)) == (date(2025, 1, 1), date(2025, 12, 1))
+    assert reaimed.coming_year(datetime(2024, 2, 29)) == (date(2024, 3, 1), date(2025, 2, 28))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert scratch.new_folder(spark, "x").startswith(spark.conf.get(scratch.SETTING))
 

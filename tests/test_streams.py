@@ -59,6 +59,22 @@ def test_stream_equals_batch_on_closed_windows(spark, frame, folder):
     assert checked == 29 and all(t <= last for t in got)
 
 
+def test_ticks_from_stored_minute_folds(spark, frame, folder):
+    landing, out, checkpoint = folder(), folder(), folder()
+    log = log_rows()
+    schema = frame(log[:1], LOG).schema
+    for part in (log[:150], log[150:]):
+        deliver(frame(part, LOG), landing)
+        rows_ = spark.readStream.schema(schema).parquet(landing).withColumn("log_time", event_time("log_time"))
+        folds = live.stream_minute_folds(rows_, delay="0 seconds").writeStream.outputMode("append").format("parquet")
+        run(folds.partitionBy("log_dt").option("checkpointLocation", checkpoint), out)
+    stored = spark.read.parquet(out)
+    for minutes in (1, 17, 60, 140):
+        tick = START + timedelta(minutes=minutes)
+        expected = batch.active_viewers(frame(log, LOG), tick, timedelta(minutes=20))
+        assert rows(batch.active_from_minutes(stored, tick, timedelta(minutes=20))) == rows(expected)
+
+
 def test_airing_viewers_equal_the_batch_form(spark, frame, folder):
     codes = frame([(START.date(), START - timedelta(minutes=29), "TV0", "A"), (START.date(), START + timedelta(minutes=31), "TV1", "B")], SCHEDULE)
     out = folder()
@@ -111,7 +127,7 @@ def test_files_are_loaded_once_whatever_the_case(spark, folder, tmp_path):
         return rows(spark.read.schema(schemas.RATINGS).parquet(table), "pgm_nm", "over60s_viewers")
 
     def land(name, programme):
-        (tmp_path / name).write_bytes(f'Stoa,0007,"{programme}",0900,1000,{numbers}\r\n'.encode())
+        (tmp_path / name).write_bytes(f'Home,0007,"{programme}",0900,1000,{numbers}\r\n'.encode())
 
     land("20241214A.CSV", "one,\r\n two")
     land("20241214B.csv", "another kind")
