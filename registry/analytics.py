@@ -44,7 +44,7 @@ BASE_MI = """
 def log_and_schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The session log, and the programme schedule as a stored table."""
     e = t.events(spark, sf_dir)
-    return t.session_log(e), t.stored(spark, t.programmes(e), "programmes")
+    return t.session_log(e), t.stored(spark, sessions.distinct_programmes(t.programmes(e)), "programmes")
 
 
 def seconds_dim(schedule: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from slotwise.functions.fixed import DURATION_CLASSES, TIME_ZONE
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+_ORIGIN = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
+_ORIGIN_TO_EPOCH = 62_135_596_800
 
 
 def _col(value: Column | str) -> Column:
@@ -60,47 +62,55 @@ def bound_for(data_type, value: datetime, tz: str = TIME_ZONE) -> Column:
 # ---- differences -----------------------------------------------------------------
 
 
+def _units(ts: Column | str, unit: str) -> Column:
+    """Whole seconds, minutes or hours since the origin.
+
+    The cast of an interval to a number cuts its fraction off; as every date lies after the
+    origin, that is a floor.
+    """
+    return (_col(ts) - F.expr(_ORIGIN)).cast(f"interval {unit}").cast("bigint")
+
+
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970 of a wall clock, fraction cut off."""
-    since = _col(ts) - F.expr(_EPOCH)
-    return since.cast("interval second").cast("bigint")
+    """Whole seconds since 1970 of a wall clock."""
+    return _units(ts, "second") - F.lit(_ORIGIN_TO_EPOCH)
+
+
+def epoch_minutes(ts: Column | str) -> Column:
+    return _units(ts, "minute") - F.lit(_ORIGIN_TO_EPOCH // 60)
+
+
+def epoch_hours(ts: Column | str) -> Column:
+    return _units(ts, "hour") - F.lit(_ORIGIN_TO_EPOCH // 3600)
 
 
 def seconds_between(start: Column | str, end: Column | str) -> Column:
     """Number of second boundaries crossed from ``start`` to ``end``."""
-    return epoch_seconds(end) - epoch_seconds(start)
+    return _units(end, "second") - _units(start, "second")
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Number of minute boundaries crossed: 10:00:59 to 10:01:00 is one."""
-    return epoch_minutes(end) - epoch_minutes(start)
-
-
-def epoch_minutes(ts: Column | str) -> Column:
-    return F.floor(epoch_seconds(ts) / F.lit(60)).cast("bigint")
+    return _units(end, "minute") - _units(start, "minute")
 
 
-def epoch_hours(ts: Column | str) -> Column:
-    return F.floor(epoch_seconds(ts) / F.lit(3600)).cast("bigint")
+# ---- truncation and text ---------------------------------------------------------
 
 
-# ---- truncation and text ---------------------------------------------------------
+def _trunc(ts: Column | str, unit: str) -> Column:
+    return F.expr(_ORIGIN) + _units(ts, unit) * F.expr(f"INTERVAL '1' {unit}")
 
 
 def trunc_second(ts: Column | str) -> Column:
-    ts = _col(ts)
-    fraction = F.extract(F.lit("SECOND"), ts) % F.lit(1)
-    return ts - F.make_dt_interval(secs=fraction)
+    return _trunc(ts, "second")
 
 
 def trunc_minute(ts: Column | str) -> Column:
-    ts = _col(ts)
-    return ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts))
+    return _trunc(ts, "minute")
 
 
 def trunc_hour(ts: Column | str) -> Column:
-    ts = _col(ts)
-    return trunc_minute(ts) - F.make_dt_interval(mins=F.minute(ts))
+    return _trunc(ts, "hour")
 
 
 def minute_text(ts: Column | str) -> Column:

@@ -201,7 +201,7 @@ def airing_revenue(
         orders.where(
             F.col("order_date").between(ntz(_minute(now - order_back)), ntz(now)) & (F.col("order_amt") > 0)
         )
-        .groupBy("goods_code", "media_code", minute_text("order_date").alias("order_mi"))
+        .groupBy("goods_code", "media_code", trunc_minute("order_date").alias("minute"))
         .agg(F.sum("order_amt").alias("price"))
     )
     airings = (
@@ -213,8 +213,9 @@ def airing_revenue(
     )
     return (
         per_minute.join(airings, on=["goods_code", "media_code"], how="inner")
-        .groupBy("bd_btime", "tape_code", "order_mi")
+        .groupBy("bd_btime", "tape_code", "minute")
         .agg(F.sum("price").alias("price"))
+        .select("bd_btime", "tape_code", minute_text("minute").alias("order_mi"), "price")
     )
 
 

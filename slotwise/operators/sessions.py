@@ -62,11 +62,15 @@ def match_programmes(
         (F.col("log_dt") == F.col("bd_date"))
         & (F.col("pn") == F.col("media_code"))
         & (F.col("exit_time") >= F.col("bd_btime"))
-        & (F.col("enter_time") < F.col("bd_btime") + F.expr(REACH))
+        & (F.col("enter_time") < F.col("reach_end"))
     )
+    # The end of the reach is computed once per programme rather than once per candidate pair.
+    reaching = programmes.withColumn("reach_end", F.col("bd_btime") + F.expr(REACH))
     if fits_broadcast(programmes, broadcast_limit):
-        return sessions.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(programmes), overlaps)
-    return _match_by_hour_cell(sessions, programmes, overlaps)
+        pairs = sessions.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(reaching), overlaps)
+    else:
+        pairs = _match_by_hour_cell(sessions, reaching, overlaps)
+    return pairs.drop("reach_end")
 
 
 def _match_by_hour_cell(sessions: DataFrame, programmes: DataFrame, overlaps: Column) -> DataFrame:

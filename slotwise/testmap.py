@@ -53,7 +53,7 @@ def session_log(e: DataFrame) -> DataFrame:
         media().alias("pn"),
         F.concat_ws("-", F.col("user_id"), F.hour("ts")).alias("sid"),
         start.alias("start_time"),
-        (start + F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))).alias("end_time"),
+        (start + F.floor("value") * F.expr("INTERVAL '1' SECOND")).alias("end_time"),
         kind.alias("ec_type"),
     )
 

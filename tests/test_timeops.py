@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from slotwise.functions import text, timeops
 from slotwise.functions.fixed import DURATION_CLASSES
 
-CLOCKS = st.datetimes(datetime(1971, 1, 1), datetime(2100, 1, 1))
+CLOCKS = st.datetimes(datetime(1900, 1, 1), datetime(2100, 1, 1))
 
 
 @pytest.fixture(params=["UTC", "Asia/Seoul", "America/New_York"])
