@@ -3,8 +3,10 @@
 Plain Parquet has no DELETE.  A change here rewrites whole partitions, only those it touches,
 through dynamic partition overwrite, which publishes files when the job commits.  Rewritten
 partitions are first written beside the table and then copied in from there, so the table is never
-read and overwritten by the same job, and a run that dies half way can be repeated.  Partitions a
-change leaves empty are overwritten with an empty file.
+read and overwritten by the same job.  A run that dies before publishing changes nothing and can be
+repeated; publishing itself is not atomic, and the folder beside the table holds the complete
+rewritten partitions should the driver die during it.  Partitions a change leaves empty are
+overwritten with an empty file.
 """
 
 from __future__ import annotations
