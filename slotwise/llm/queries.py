@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import mixing, toxicity
+from slotwise.llm import minhash, mixing, toxicity
 from slotwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,8 @@ SELECT * EXCLUDE (times), unnest(range(1, times + 1))::INTEGER AS copy FROM coun
 @query(MIX_SQL.format(docs="documents"))
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("position")
+
+
+@query()
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents"))
