@@ -52,17 +52,21 @@ WORD, NAME, NUMBER, UNIT, STOP = range(5)
 _NAME, _NUMBER, _UNIT = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in ("<name>", "<number>", "<unit>"))
 
 
-def _classified(token: str) -> tuple[int, int]:
-    """(hash of the lower-case token, kind); a capitalised word is a name unless it begins a sentence."""
+# A token is packed into 64 bits: 60 of its hash, its kind, and whether it is a unit.
+_KIND, _IS_UNIT, _HASH = np.uint64(7), np.uint64(8), np.uint64(2**64 - 16)
+
+
+def _packed(token: str) -> int:
+    """A capitalised word is a name unless it begins a sentence, which its neighbours decide."""
     if token in ".!?\n":
-        return 0, STOP
+        return STOP
     low = token.lower()
     kind = WORD
     if token[0].isdigit():
         kind = NUMBER
     elif len(token) > 1 and token[0].isupper() and token[1:].islower():
         kind = NAME
-    return xxhash.xxh3_64_intdigest(low), kind
+    return (xxhash.xxh3_64_intdigest(low) & int(_HASH)) | kind | (int(_IS_UNIT) if low in UNITS else 0)
 
 
 class Canonical:
@@ -70,36 +74,24 @@ class Canonical:
 
     def __init__(self) -> None:
         self.memo: dict[str, int] = {}
-        self.hashes: list[int] = []
-        self.kinds: list[int] = []
-        self.units: list[bool] = []
-        self._arrays: tuple[np.ndarray, ...] | None = None
-
-    def _known(self) -> tuple[np.ndarray, ...]:
-        if self._arrays is None or len(self._arrays[0]) != len(self.hashes):
-            self._arrays = (np.array(self.hashes, np.uint64), np.array(self.kinds, np.int8), np.array(self.units, bool))
-        return self._arrays
 
     def words(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(hash, kind) of every word of the text, sentence ends left out."""
         found = TOKEN.findall(text or "")
-        if len(self.memo) > MEMO:
-            self.__init__()
-        for token in set(found).difference(self.memo):
-            self.memo[token] = len(self.hashes)
-            value, kind = _classified(token)
-            self.hashes.append(value)
-            self.kinds.append(kind)
-            self.units.append(token.lower() in UNITS)
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int8)
-        at = np.fromiter(map(self.memo.__getitem__, found), np.int64, len(found))
-        hashes, kinds, units = (a[at] for a in self._known())
-        before = np.r_[np.int8(STOP), kinds[:-1]]
-        kinds = np.where((kinds == NAME) & (before == STOP), np.int8(WORD), kinds)
-        kinds = np.where(units & (before == NUMBER), np.int8(UNIT), kinds)
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        for token in set(found).difference(memo):
+            memo[token] = _packed(token)
+        packed = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
+        if not len(packed):
+            return packed, packed
+        kinds = packed & _KIND
+        before = np.r_[np.uint64(STOP), kinds[:-1]]
+        kinds = np.where((kinds == NAME) & (before == STOP), np.uint64(WORD), kinds)
+        kinds = np.where((packed & _IS_UNIT > 0) & (before == NUMBER), np.uint64(UNIT), kinds)
         keep = kinds != STOP
-        return hashes[keep], kinds[keep]
+        return packed[keep] & _HASH, kinds[keep]
 
 
 def template(hashes: np.ndarray, kinds: np.ndarray, names: bool) -> np.ndarray:

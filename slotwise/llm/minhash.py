@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 COMPONENTS = BANDS * ROWS
 # Tokens that are turned into signatures together; a longer document is a group of its own.
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 60_000
 # Words remembered per task.
 MEMO = 500_000
 # Pivots of a bucket in the first round of comparisons; each later round has FAN times as many.
@@ -40,6 +39,7 @@ FAN = 4
 WORD = re.compile(r"\w+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values: splitmix64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0xD1342543DE82EF95)  # fixed value: an odd multiplier
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,24 +70,27 @@ class Shingler:
         if not len(words):
             return words
         size = min(self.words, len(words))
-        out = np.zeros(len(words) - size + 1, np.uint64)
-        for i in range(size):
-            out = mixed(out + words[i : len(words) - size + 1 + i] + _STEP)
-        return out
-
-
-def signatures(documents: list[np.ndarray], m: int = COMPONENTS) -> np.ndarray:
-    """BagMinHash: the identity of the least point per (document, component); documents hold at least one shingle."""
-    n = len(documents)
-    owner = np.repeat(np.arange(n), [len(d) for d in documents])
-    flat = np.concatenate(documents)
-    order = np.lexsort((flat, owner))
-    owner, flat = owner[order], flat[order]
-    first = np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])]
-    starts = np.flatnonzero(first)
-    weight = np.diff(np.r_[starts, len(flat)])
-    owner, flat = owner[starts], flat[starts]
-    # One stream of points per (document, shingle, level): level 0 is [0,1), level j is [2^(j-1), 2^j).
+        n = len(words) - size + 1
+        out = words[:n].copy()
+        for i in range(1, size):
+            out = out * _BASE + words[i : n + i]
+        return mixed(out + np.uint64(size) * _BASE)
+
+    def bag(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles of the text in ascending order, and how often each occurs."""
+        return np.unique(self.shingles(text), return_counts=True)
+
+
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def signatures(bags: list[Bag], m: int = COMPONENTS) -> np.ndarray:
+    """BagMinHash: the identity of the least point per (bag, component); every bag holds a shingle."""
+    n = len(bags)
+    owner = np.repeat(np.arange(n), [len(b[0]) for b in bags])
+    flat = np.concatenate([b[0] for b in bags])
+    weight = np.concatenate([b[1] for b in bags])
+    # One stream of points per (bag, shingle, level): level 0 is [0,1), level j is [2^(j-1), 2^j).
     streams = [(owner, flat, np.zeros(len(flat)), np.ones(len(flat)), weight)]
     low = 1
     while (inside := weight > low).any():
@@ -120,13 +123,13 @@ def _place_points(
         place = mixed(draw + _STEP)
         slot = owner * m + (place % np.uint64(m)).astype(np.int64)
         height = base + span * ((mixed(place) >> np.uint64(11)).astype(np.float64) / 2.0**53)
-        good = (height < weight) & (time < best.ravel()[slot])
+        flat = best.reshape(-1)
+        good = (height < weight) & (time < flat[slot])
         if good.any():
-            s, t, w = slot[good], time[good], mixed(state[good] ^ place[good])
-            by = np.lexsort((t, s))
-            s, t, w = s[by], t[by], w[by]
-            lead = np.r_[True, s[1:] != s[:-1]]
-            best.reshape(-1)[s[lead]], who.reshape(-1)[s[lead]] = t[lead], w[lead]
+            s, t = slot[good], time[good]
+            np.minimum.at(flat, s, t)
+            lead = t == flat[s]
+            who.reshape(-1)[s[lead]] = mixed(state[good][lead] ^ place[good][lead])
         if len(owner) > n:
             live = time < best.max(axis=1)[owner]
         else:
@@ -141,10 +144,10 @@ NODE = "binary"
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, node, bands) of (doc_id, text); node names the text, bands are hashes of ROWS components each."""
     shingler = Shingler()
-    held: list[tuple[int | None, bytes, np.ndarray]] = []
+    held: list[tuple[int | None, bytes, Bag]] = []
 
     def done() -> pa.RecordBatch:
-        full = [i for i, x in enumerate(held) if len(x[2])]
+        full = [i for i, x in enumerate(held) if len(x[2][0])]
         lists: list[list[int]] = [[]] * len(held)
         if full:
             signed = signatures([held[i][2] for i in full]).reshape(len(full), BANDS, ROWS)
@@ -165,9 +168,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             text = text.as_py() or ""
-            shingles = shingler.shingles(text)
-            held.append((doc_id.as_py(), hashlib.sha256(text.encode()).digest()[:16], shingles))
-            tokens += len(shingles) + COMPONENTS
+            bag = shingler.bag(text)
+            held.append((doc_id.as_py(), hashlib.sha256(text.encode()).digest()[:16], bag))
+            tokens += len(bag[0]) + COMPONENTS
             if tokens >= GROUP_TOKENS:
                 yield done()
                 held, tokens = [], 0
@@ -180,24 +183,25 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))
 
 
-def overlap(a: Counter, b: Counter) -> float:
+def overlap(a: Bag, b: Bag) -> float:
     """Weighted Jaccard similarity of two multisets; two empty ones are equal."""
-    if len(a) > len(b):
-        a, b = b, a
-    shared = sum(min(n, b[s]) for s, n in a.items() if s in b)
-    joined = a.total() + b.total() - shared
+    at = np.searchsorted(b[0], a[0])
+    at[at == len(b[0])] = 0
+    same = b[0][at] == a[0] if len(b[0]) else np.zeros(len(a[0]), bool)
+    shared = int(np.minimum(a[1][same], b[1][at[same]]).sum())
+    joined = int(a[1].sum() + b[1].sum()) - shared
     return shared / joined if joined else 1.0
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, similarity) of (a, b, text_a, text_b); neighbouring rows of one b take its text apart once."""
-    shingler, last, bag = Shingler(), None, Counter()
+    shingler, last, bag = Shingler(), None, None
     for batch in batches:
         out = []
         for a, b, text_a, text_b in zip(*batch.columns, strict=True):
             if b.as_py() != last:
-                last, bag = b.as_py(), Counter(shingler.shingles(text_b.as_py()).tolist())
-            out.append((a.as_py(), last, overlap(Counter(shingler.shingles(text_a.as_py()).tolist()), bag)))
+                last, bag = b.as_py(), shingler.bag(text_b.as_py())
+            out.append((a.as_py(), last, overlap(shingler.bag(text_a.as_py()), bag)))
         yield pa.RecordBatch.from_pydict(
             {
                 "a": pa.array([x[0] for x in out], pa.binary()),
@@ -222,16 +226,19 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """Verified pairs (a, b, similarity) that connect all texts which links inside the buckets connect.
 
     Each round takes a few members of every bucket as pivots and compares all other members with them.
-    Members that a pivot links leave the bucket with it; the rest go on with FAN times as many pivots.
+    Members that a pivot links leave the bucket with it.  What is left and connected by now, through other
+    buckets too, needs no comparison inside: a bucket of one component is done, and in others the pivots of
+    the next round, FAN times as many, come from outside the bucket's largest component.
     A member that left unlinked may still link one that a pivot took along: ``_annulus`` adds those.
     """
     known, pivots = None, 1
+    outer = members.withColumn("outer", F.lit(True))
     while True:
-        # The least member of each hashed part of a bucket is a pivot: a partially aggregated minimum.
+        # The least outer member of each hashed part of a bucket is a pivot: a partially aggregated minimum.
         part = F.pmod(F.xxhash64("node"), F.lit(pivots))
-        heads = members.groupBy("band", part.alias("part")).agg(F.min("node").alias("b")).select("band", "b")
+        heads = outer.where("outer").groupBy("band", part.alias("part")).agg(F.min("node").alias("b")).select("band", "b")
         pairs = stored(
-            members.join(heads.hint("merge"), "band").where("node <> b").select("band", F.col("node").alias("a"), "b"),
+            outer.join(heads.hint("merge"), "band").where("node <> b").select("band", F.col("node").alias("a"), "b"),
             "minhash-pairs",
         )
         fresh = pairs.select(*_ordered()).distinct()
@@ -240,6 +247,7 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         measured = stored(_similar(fresh, texts), "minhash-measured")
         known = measured if known is None else known.unionByName(measured)
         near = known.where(F.col("similarity") >= similarity)
+        roots = stored(components(near), "minhash-roots")
         near = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
         gone = (
             pairs.join(near.hint("merge"), ["a", "b"], "left_semi")
@@ -247,20 +255,31 @@ def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             .unionByName(heads.select("band", F.col("b").alias("node")))
             .distinct()
         )
-        rest = members.join(gone.hint("merge"), ["band", "node"], "left_anti")
-        members = stored(_crowded(rest), "minhash-members")
-        if members.isEmpty():
-            return _annulus(known, texts, similarity)
+        rest = outer.select("band", "node").join(gone.hint("merge"), ["band", "node"], "left_anti")
+        outer = stored(_outer(rest, roots), "minhash-members")
+        if outer.isEmpty():
+            return _annulus(known, texts, similarity, roots)
         pivots *= FAN
 
 
+def _outer(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components; ``outer`` marks those outside the largest one."""
+    placed = members.join(roots.hint("merge"), "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component")
+    )
+    sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+    largest = largest.where("parts > 1").select("band", F.col("top.component").alias("main"))
+    return placed.join(largest.hint("merge"), "band").select("band", "node", (F.col("component") != F.col("main")).alias("outer"))
+
+
 def _crowded(members: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one."""
     many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     return members.join(many.hint("merge"), "band", "left_semi")
 
 
-def _annulus(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _annulus(known: DataFrame, texts: DataFrame, similarity: float, roots: DataFrame) -> DataFrame:
     """Links among ``known``, and those between what a pivot linked and what it narrowly did not.
 
     1 - similarity is a metric: x beyond the reach r of pivot p can link y within it only if
@@ -268,7 +287,6 @@ def _annulus(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     """
     reach = 1 - similarity
     links = stored(known.where(F.col("similarity") >= similarity), "minhash-links")
-    roots = stored(components(links), "minhash-roots")
     d = (1 - F.col("similarity")).alias("d")
     around = known.select(F.col("b").alias("p"), F.col("a").alias("x"), d).unionByName(
         known.select(F.col("a").alias("p"), F.col("b").alias("x"), d)
