@@ -74,7 +74,7 @@ class Shingler:
         out = words[:n].copy()
         for i in range(1, size):
             out = out * _BASE + words[i : n + i]
-        return mixed(out + np.uint64(size) * _BASE)
+        return mixed(out)
 
     def bag(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The shingles of the text in ascending order, and how often each occurs."""
