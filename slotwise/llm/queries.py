@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, minhash, mixing, toxicity
+from slotwise.llm import decontaminate, minhash, mixing, secrets, toxicity
 from slotwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,19 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings by digest: a report of secrets must not spread them."""
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "finding",
+        F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"),
+        F.length("candidate").alias("n_chars"),
+        "score",
+    )
+
+
 @query()
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
