@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, minhash, mixing, secrets, toxicity
+from slotwise.llm import decontaminate, embedding, minhash, mixing, pii, secrets, toxicity, warc
 from slotwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,18 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near(table(spark, sf_dir, "embeddings"))
