@@ -130,9 +130,9 @@ RULES = (
     (re.compile(r"(?<=[A-Za-z0-9])\x20+@\x20*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20+(?=[A-Za-z0-9-]+\.)"), "@"),
 )
 _DOTS = re.compile(r"(?<=[A-Za-z0-9])\x20+dot\x20+(?=[A-Za-z0-9])", re.I)
-_ONE = rf"(?:(?:double|triple)\x20+)?(?:{_DIGIT}|[0-9])\b"
+_ONE = rf"(?:(?:double|triple)\x20+)?(?:{_DIGIT}|[0-9]+)\b"
 _RUN = re.compile(rf"(?:\bplus\x20+|\+\x20*)?\b{_ONE}(?:(?:[\x20,-]|\x20?[()]\x20?)*(?:{_ONE}|(?:dot|point|punkt|punto)\b(?=\x20+(?:{_ONE})))){{6,}}", re.I)
-_PIECE = re.compile(rf"(plus|\+)|(?:(double|triple)\x20+)?({_DIGIT}|[0-9])\b|(dot|point|punkt|punto)|([()])", re.I)
+_PIECE = re.compile(rf"(plus|\+)|(?:(double|triple)\x20+)?({_DIGIT}|[0-9]+)\b|(dot|point|punkt|punto)|([()])", re.I)
 _HINT = re.compile(rf"{_OPEN}\s*(?:{_AT}|{_DOT})\s*{_CLOSE}|\x20(?:at|dot)\x20|\x20@|@\x20|\b(?:{_DIGIT})[\x20,-]+(?:{_DIGIT}|[0-9])\b", re.I)
 
 
