@@ -24,12 +24,14 @@ from slotwise.llm.common import components, stored
 
 COSINE = 0.9
 # Dimensions of a block, about.
-BLOCK = 16
+BLOCK = 32
 # Vectors per cell aimed at, and the most pivots of a block (a bounded sample of the vectors).
-CELL = 2_000
+CELL = 6_000
 PIVOTS = 256
 # Vectors of either side of a tile, about.
-TILE = 1_500
+TILE = 3_000
+# Rows of a tile compared at once, and pairs verified at once.
+SLAB, PAIRS = 256, 100_000
 SLACK = 1e-9
 SEED = 5
 
@@ -124,12 +126,16 @@ def _cells(pivots: dict[int, np.ndarray], cosine: float):
     return place
 
 
-def groups(linked: np.ndarray) -> np.ndarray:
-    """The smallest index connected with each row of a symmetric boolean matrix."""
-    label = np.arange(len(linked))
+def groups(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of n members connected with each, by a boolean matrix of the members ``rows`` x ``columns``."""
+    label = np.arange(n, dtype=np.int32)
     while True:
-        near = np.where(linked, label[None, :], len(label)).min(axis=1)
-        new = np.minimum(label, near)
+        new = label.copy()
+        for low in range(0, len(rows), SLAB):
+            part = linked[low : low + SLAB]
+            mine = rows[low : low + SLAB]
+            np.minimum.at(new, mine, np.where(part, label[columns][None, :], n).min(axis=1))
+            np.minimum.at(new, columns, np.where(part, label[mine][:, None], n).min(axis=0))
         new = new[new]
         if (new == label).all():
             return label
@@ -137,42 +143,45 @@ def groups(linked: np.ndarray) -> np.ndarray:
 
 
 def _tile(cosine: float):
-    """(node, links, root) of one tile: own rows ``side`` 0, the others ``side`` 1, or 0 alone against itself."""
+    """(node, links, root) of one tile: rows of ``side`` 0 against those of 1, or 0 against itself if alone."""
 
     def join(tile: pa.Table) -> pa.Table:
         dimensions, block = tile["dimensions"][0].as_py(), tile["block"][0].as_py()
         units = matrix(tile["unit"], dimensions)
-        copies = tile["copies"].to_numpy()
-        side = tile["side"].to_numpy()
+        copies, side = tile["copies"].to_numpy(), tile["side"].to_numpy()
         spans, budget = blocks_of(dimensions), shares(dimensions, cosine)
         turned = units @ rotation(dimensions)
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if tile["alone"][0].as_py():
-            right = left
-        n = len(units)
-        close = np.zeros((n, n), bool)
-        if len(left) and len(right):
-            close[np.ix_(left, right)] = units[left] @ units[right].T >= cosine
-            close |= close.T
-        np.fill_diagonal(close, False)
-
-        def within(b: int) -> np.ndarray:
-            x = turned[:, spans[b]]
-            norm = (x**2).sum(1)
-            return norm[:, None] + norm - 2 * x @ x.T <= budget[b]
-
-        counted = close & within(block) if close.any() else close
-        for b in range(block):
-            if counted.any():
-                counted &= ~within(b)
-        links = counted @ copies
-        label = groups(close) if close.any() else np.arange(n)
-        hit = close.any(axis=1)
-        nodes = tile["node"].combine_chunks() if isinstance(tile["node"], pa.ChunkedArray) else tile["node"]
+        n, alone = len(units), tile["alone"][0].as_py()
+        left = np.flatnonzero(side == 0)
+        right = left if alone else np.flatnonzero(side == 1)
+        close = np.zeros((len(left), len(right)), bool)
+        links = np.zeros(n, np.int64)
+        for low in range(0, len(left), SLAB):
+            mine = left[low : low + SLAB]
+            part = units[mine] @ units[right].T >= cosine
+            part &= mine[:, None] != right[None, :]
+            close[low : low + SLAB] = part
+            i, j = np.nonzero(part)
+            i, j = mine[i], right[j]
+            for at in range(0, len(i), PAIRS):
+                x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+                square = lambda b: ((turned[x, spans[b]] - turned[y, spans[b]]) ** 2).sum(1) <= budget[b]
+                counted = square(block)
+                for b in range(block):
+                    counted &= ~square(b)
+                x, y = x[counted], y[counted]
+                links += np.bincount(x, copies[y], n).astype(np.int64)
+                if not alone:
+                    links += np.bincount(y, copies[x], n).astype(np.int64)
+        label = groups(close, left, right, n)
+        hit = np.zeros(n, bool)
+        hit[left[close.any(axis=1)]] = True
+        hit[right[close.any(axis=0)]] = True
+        nodes = tile["node"].combine_chunks()
         return pa.table(
             {
                 "node": nodes.filter(pa.array(hit)),
-                "links": pa.array(links[hit].astype(np.int64)),
+                "links": pa.array(links[hit]),
                 "root": nodes.take(pa.array(label[hit])),
             }
         )

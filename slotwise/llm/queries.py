@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, embedding, minhash, mixing, pii, secrets, toxicity, warc
+from slotwise.llm import decontaminate, embedding, minhash, mixing, pii, secrets, suffix, template, toxicity, warc
 from slotwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,13 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.near(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))

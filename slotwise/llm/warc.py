@@ -219,11 +219,13 @@ def records(source, wanted, payload: bool) -> Iterator[tuple[dict[str, str], byt
     """(headers, payload) of the records whose headers are wanted; payload None where it is not."""
     start = source.read(16)
     source.seek(0)
+    if not start:
+        return
     if start[:4] == b"\x1f\x8b\x08\x04" and start[12:14] == _EXTRA:
         yield from _own_records(source, wanted, payload)
     else:
         stream = gzip.GzipFile(fileobj=source) if start[:2] == b"\x1f\x8b" else source
-        yield from _any_records(io.BufferedReader(stream) if stream is not source else source, wanted, payload)
+        yield from _any_records(io.BufferedReader(stream), wanted, payload)
 
 
 def _own_records(source, wanted, payload: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
