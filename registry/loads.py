@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -585,7 +588,16 @@ def append_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(quality.AUDIT_SCHEMA).parquet(audit)
 
 
-@query()
+@query("SELECT 10::BIGINT AS sampled, 10::BIGINT AS found")
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any ten orders; which ones is not defined, so there is no SQL to compare with."""
-    return sample(t.table(spark, sf_dir, "orders"))
+    """Any ten orders: which ones is not defined, so they are counted, and found again by all their columns."""
+    orders = t.table(spark, sf_dir, "orders")
+    path = new_folder(spark, "sample")
+    sample(orders).write.parquet(path)
+    picked = spark.read.parquet(path)
+    same = [picked[c].eqNullSafe(orders[c]) for c in orders.columns]
+    found = picked.join(orders, reduce(and_, same), "left_semi")
+    counts = picked.select(F.lit(1).alias("s"), F.lit(0).alias("f")).unionByName(
+        found.select(F.lit(0).alias("s"), F.lit(1).alias("f"))
+    )
+    return counts.agg(F.sum("s").alias("sampled"), F.sum("f").alias("found"))

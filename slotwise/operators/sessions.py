@@ -186,6 +186,10 @@ def _listed_seconds(
         span = log.agg(F.min("start_time").alias("first"), F.max("start_time").alias("last")).first()
         if span["first"] is None:
             return listed.where(F.lit(False))
+        if "date" in seconds_dim.columns:
+            # The day of ``dhms``, by which a stored dimension is partitioned: other days are not read.
+            days = F.col("date").between(F.lit(span["first"].date()), F.lit(span["last"].date()))
+            listed = seconds_dim.where(days).select("dhms")
         listed = listed.where(F.col("dhms").between(ntz(span["first"]), ntz(span["last"])))
     return listed
 

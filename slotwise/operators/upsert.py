@@ -54,12 +54,20 @@ def replace_day(target: DataFrame, rows: DataFrame, day: date, column: str = "bd
 
 
 def replace_range(
-    target: DataFrame, rows: DataFrame, column: str, low: datetime, high: datetime
+    target: DataFrame, rows: DataFrame, column: str, low: datetime, high: datetime, refuse_outside: bool = False
 ) -> DataFrame:
-    """Delete ``[low, high)`` of a time column, then insert the rows of that range."""
+    """Delete ``[low, high)`` of a time column, then insert the rows of that range.
+
+    With ``refuse_outside`` a row outside the range, or without a time, fails the job instead of being
+    left out: loads of whole files use it, where leaving rows out would lose them unseen.
+    """
     inside = in_range(target, column, low, high)
     kept = target.where(~inside | F.col(column).isNull())
-    return kept.unionByName(rows.where(in_range(rows, column, low, high)).select(*target.columns))
+    fits = in_range(rows, column, low, high)
+    if refuse_outside:
+        refused = F.raise_error(F.lit(f"a row lies outside [{low}, {high}) of {column}")).cast("boolean")
+        fits = F.when(fits, F.lit(True)).otherwise(refused)
+    return kept.unionByName(rows.where(fits).select(*target.columns))
 
 
 def in_range(df: DataFrame, column: str, low: datetime, high: datetime) -> Column:

@@ -69,22 +69,32 @@ def run_range_load(
     low: datetime,
     high: datetime,
     partition: str,
-) -> None:
-    """Stage a CSV, then replace ``[low, high)`` of ``column`` in the table by the staged rows."""
+) -> int:
+    """Stage a CSV, then replace ``[low, high)`` of ``column`` in the table by the staged rows.
+
+    Returns how many staged rows lie outside and were left out; they are still in ``stage``.
+    """
     overwrite_table(read_csv(spark, source, schema), stage)
     staged = read_table(spark, stage, schema)
     replace_range_in_table(spark, table, schema, staged, column, low, high, partition)
+    return rows_outside(staged, column, low, high)
 
 
 def run_promotion_load(
     spark: SparkSession, source: str, stage: str, table: str, low: datetime, high: datetime
-) -> None:
-    """Stage promotions, then replace those inserted in ``[low, high)``."""
+) -> int:
+    """Stage promotions, then replace those inserted in ``[low, high)``; returns how many were left out."""
     overwrite_table(read_csv(spark, source, ORDER_PROMOTION), stage)
     staged = promotion_rows(read_table(spark, stage, ORDER_PROMOTION))
     replace_range_in_table(
         spark, table, ORDER_PROMOTION_TABLE, staged, "insert_date", low, high, "insert_month"
     )
+    return rows_outside(staged, "insert_date", low, high)
+
+
+def rows_outside(rows: DataFrame, column: str, low: datetime, high: datetime) -> int:
+    """Rows that a range load leaves out: before, after, or without a time."""
+    return rows.where(~F.coalesce(in_range(rows, column, low, high), F.lit(False))).count()
 
 
 def promotion_rows(promotions: DataFrame) -> DataFrame:

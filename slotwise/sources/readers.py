@@ -98,7 +98,8 @@ def read_pages(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFra
 
     A document is ``{dataset: {list_total_count, RESULT, row: [...]}}`` whose root name is not
     known beforehand, so it is parsed as a map and its first entry taken.  All row values are
-    text.  A page without ``row`` (an error answer) has null ``rows``.
+    text.  A page without ``row`` (an error answer) has null ``rows``; one that is no JSON document, as when
+    it was cut off, fails the read.
     """
     row = ", ".join(f"`{f}`: string" for f in fields)
     shape = (
@@ -107,7 +108,7 @@ def read_pages(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFra
     )
     documents = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("page"),
-        F.map_entries(F.from_json("value", shape))[0].alias("entry"),
+        F.map_entries(F.from_json("value", shape, {"mode": "FAILFAST"}))[0].alias("entry"),
     )
     return documents.select(
         "page",

@@ -104,13 +104,14 @@ def replace_range_in_table(
     low: datetime,
     high: datetime,
     partition: str,
+    refuse_outside: bool = False,
 ) -> None:
-    """Replace ``[low, high)`` of a time column in a stored table."""
+    """Replace ``[low, high)`` of a time column in a stored table; see ``replace_range`` for other rows."""
     target = read_table(spark, path, schema)
     hit = target.where(in_range(target, column, low, high)).select(partition)
     coming = rows.where(in_range(rows, column, low, high)).select(partition)
     touched = _values(hit.union(coming), partition)
-    merged = replace_range(_only(target, partition, touched), rows, column, low, high)
+    merged = replace_range(_only(target, partition, touched), rows, column, low, high, refuse_outside)
     _swap_partitions(merged, path, schema, partition, touched)
 
 
@@ -168,8 +169,16 @@ def _clear_missing(written: DataFrame, path: str, partition: str, touched: list)
 
 
 def _clear(like: DataFrame, path: str, partition: str, values: list) -> None:
-    """Empty the named partitions."""
-    empty = like.sparkSession.createDataFrame([], like.drop(partition).schema)
+    """Empty the named partitions, found under the folder names that Spark's own writer gives them."""
+    spark = like.sparkSession
+    empty = spark.createDataFrame([], like.drop(partition).schema)
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for value in values:
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        empty.write.mode("overwrite").parquet(f"{path}/{partition}={folder}")
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else escaped(_folder_text(value))
+        # Only the folder is given a name by hand, so that no second escaping takes place.
+        empty.write.mode("overwrite").parquet(f"{path}/{escaped(partition)}={folder}")
+
+
+def _folder_text(value: object) -> str:
+    """The text of a partition value as Spark casts it."""
+    return str(value).lower() if isinstance(value, bool) else str(value)

@@ -19,7 +19,9 @@ def export_csv(
 ) -> None:
     """Header CSV in UTF-8, gzip by default, replacing what was there.
 
-    Null is written as nothing and the empty text as ``""``; with ``quote_all`` both are ``""``.    """
+    Null is written as nothing and the empty text as ``""``; with ``quote_all`` both are ``""``.
+    Both kinds of timestamp keep their microseconds; instants carry their offset.
+    """
     (
         df.write.mode(mode)
         .option("header", header)
@@ -34,6 +36,7 @@ def export_csv(
         .option("encoding", "UTF-8")
         .option("compression", "gzip" if compress else "none")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
