@@ -94,10 +94,10 @@ class Canonical:
         return packed[keep] & _HASH, kinds[keep]
 
 
-def template(hashes: np.ndarray, kinds: np.ndarray, names: bool) -> np.ndarray:
-    """Template word hashes; with ``names`` false, names stay words, for texts whose capitals were changed."""
+def template(hashes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Template word hashes: numbers, units and names as placeholders."""
     out = np.where(kinds == NUMBER, _NUMBER, np.where(kinds == UNIT, _UNIT, hashes))
-    return np.where(kinds == NAME, _NAME, out) if names else out
+    return np.where(kinds == NAME, _NAME, out)
 
 
 def windows(words: np.ndarray, fixed: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,11 +113,10 @@ def windows(words: np.ndarray, fixed: np.ndarray, size: int) -> tuple[np.ndarray
 
 
 def _forms(hashes: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The windows of both forms of a template: names as placeholders, and names as words."""
-    for names in (True, False):
-        fixed = (kinds == WORD) | ((kinds == NAME) & (not names))
-        values, enough = windows(template(hashes, kinds, names), fixed, size)
-        yield values, enough
+    """The windows of the template, and of the words as they are: for items that are mostly placeholders, and
+    for copies whose capitals, and so their names, were changed."""
+    yield windows(template(hashes, kinds), kinds == WORD, size)
+    yield windows(hashes, np.ones(len(hashes), bool), size)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
