@@ -112,11 +112,12 @@ def windows(words: np.ndarray, fixed: np.ndarray, size: int) -> tuple[np.ndarray
     return out ^ (out >> np.uint64(29)), total[size:] - total[:-size] >= min(LEAST_WORDS, size)
 
 
-def _forms(hashes: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The windows of the template, and of the words as they are: for items that are mostly placeholders, and
+def _forms(hashes: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, holds enough words, which words are slots) of the windows of the template, and of the words as they are: for items that are mostly placeholders, and
     for copies whose capitals, and so their names, were changed."""
-    yield windows(template(hashes, kinds), kinds == WORD, size)
-    yield windows(hashes, np.ones(len(hashes), bool), size)
+    yield *windows(template(hashes, kinds), kinds == WORD, size), kinds != WORD
+    # Equal words leave nothing to compare.
+    yield *windows(hashes, np.ones(len(hashes), bool), size), np.zeros(len(hashes), bool)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,12 +135,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if not size:
                 continue
             seen = set()
-            for values, enough in _forms(hashes, kinds, size):
+            for values, enough, slot in _forms(hashes, kinds, size):
                 for at in np.flatnonzero(enough).tolist():
                     if (int(values[at]), at) not in seen:
                         seen.add((int(values[at]), at))
                         inside = slice(at, at + size)
-                        slots = hashes[inside][kinds[inside] != WORD].view(np.int64).tolist()
+                        slots = hashes[inside][slot[inside]].view(np.int64).tolist()
                         out.append((int(values[at].view(np.int64)), size, item.as_py(), at, len(hashes), slots))
         columns = list(zip(*out, strict=True)) or [[]] * 6
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
@@ -162,7 +163,7 @@ def _lookup(index: np.ndarray, sizes: list[int]):
             for row, text in zip(*batch.columns, strict=True):
                 hashes, kinds = canonical.words(text.as_py())
                 for size in sizes:
-                    for values, enough in _forms(hashes, kinds, size):
+                    for values, enough, slot in _forms(hashes, kinds, size):
                         maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)] & enough)
                         if not len(maybe):
                             continue
@@ -170,7 +171,7 @@ def _lookup(index: np.ndarray, sizes: list[int]):
                         place = np.minimum(np.searchsorted(index, signed), len(index) - 1)
                         for at in maybe[index[place] == signed].tolist():
                             inside = slice(at, at + size)
-                            slots = hashes[inside][kinds[inside] != WORD].view(np.int64).tolist()
+                            slots = hashes[inside][slot[inside]].view(np.int64).tolist()
                             out.append((row.as_py(), int(values[at].view(np.int64)), size, at, slots))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
