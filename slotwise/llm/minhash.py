@@ -6,13 +6,15 @@ documents agree in a component with a probability equal to their weighted Jaccar
 axis is cut into the levels [0,1), [1,2), [2,4), [4,8), …, each a process of its own, so the work grows with
 the logarithm of a weight; points come in ascending order and stop as soon as none can enter the signature.
 
-Signatures are cut into bands; documents that share a band are candidates.  Inside a band bucket members are
-compared with pivots, not with each other, and every candidate pair is verified on the whole texts.
+Signatures are cut into bands; documents that share a band meet in a bucket.  Buckets are worked off in tiles of
+bounded size, which name for each member the members of other classes that agree with it in most components.
+Every pair so named is verified on the multisets of the whole texts; what is connected by then names no more pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -33,8 +35,14 @@ COMPONENTS = BANDS * ROWS
 GROUP_TOKENS = 60_000
 # Words remembered per task.
 MEMO = 500_000
-# Pivots of a bucket in the first round of comparisons; each later round has FAN times as many.
-FAN = 4
+# A member names one partner per tile in the first round, and FAN times as many in each later one.
+FAN = 16
+# Members of either side of a tile, about, rows of it compared at once, and rows of the tiles that share a task call.
+TILE, SLAB, CALL = 2_000, 128, 20_000
+# Chance that a pair of just the wanted similarity agrees in too few components to be named.
+MISSED = 4e-6
+# Bits of the map that bounds a pair's overlap from above.
+MAP = 2_048
 
 WORD = re.compile(r"\w+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values: splitmix64
@@ -139,28 +147,35 @@ def _place_points(
 
 
 NODE = "binary"
+PLACES = "array<struct<i:int,j:int,left:boolean,right:boolean>>"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, node, bands) of (doc_id, text); node names the text, bands are hashes of ROWS components each."""
+    """(doc_id, node, bands, signature) of (doc_id, text).
+
+    node names the text, bands are hashes of ROWS components each, signature holds a byte of every component.
+    """
     shingler = Shingler()
     held: list[tuple[int | None, bytes, Bag]] = []
 
     def done() -> pa.RecordBatch:
         full = [i for i, x in enumerate(held) if len(x[2][0])]
         lists: list[list[int]] = [[]] * len(held)
+        short: list[bytes] = [b""] * len(held)
         if full:
             signed = signatures([held[i][2] for i in full]).reshape(len(full), BANDS, ROWS)
             keys = np.zeros((len(full), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 keys = mixed(keys + signed[:, :, r] + _STEP)
-            for i, row in zip(full, keys.view(np.int64).tolist(), strict=True):
-                lists[i] = row
+            last = (signed.reshape(len(full), -1) & np.uint64(0xFF)).astype(np.uint8)
+            for i, row, low in zip(full, keys.view(np.int64).tolist(), last, strict=True):
+                lists[i], short[i] = row, low.tobytes()
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": pa.array([x[0] for x in held], pa.int64()),
                 "node": pa.array([x[1] for x in held], pa.binary()),
                 "bands": pa.array(lists, pa.list_(pa.int64())),
+                "signature": pa.array(short, pa.binary()),
             }
         )
 
@@ -193,124 +208,205 @@ def overlap(a: Bag, b: Bag) -> float:
     return shared / joined if joined else 1.0
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, bag, map, size) of (node, text).
+
+    bag holds the shingles as a sorted set, the k-th occurrence of one being its own member; map has a bit for
+    each member, at the place that its hash gives.
+    """
+    shingler = Shingler()
+    for batch in batches:
+        bags, maps, sizes = [], [], []
+        for text in batch.column(1):
+            found, times = shingler.bag(text.as_py())
+            first = np.cumsum(times) - times
+            nth = (np.arange(int(times.sum())) - np.repeat(first, times)).astype(np.uint64)
+            bag = np.sort(mixed(np.repeat(found, times) + nth * _STEP))
+            bits = np.zeros(MAP, bool)
+            bits[(bag % np.uint64(MAP)).astype(np.int64)] = True
+            bags.append(bag.tobytes())
+            maps.append(np.packbits(bits).tobytes())
+            sizes.append(len(bag))
+        columns = [batch.column(0), pa.array(bags, pa.binary()), pa.array(maps, pa.binary()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "bag", "map", "size"])
+
+
+def most_overlap(one: np.ndarray, two: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """An upper bound of the similarity of sets of sizes m and n by their maps: a bit that only one map has
+    stands for a member or more that only one set has."""
+    shared = np.minimum(m - np.bitwise_count(one & ~two).sum(1), n - np.bitwise_count(two & ~one).sum(1))
+    return shared / (m + n - shared)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, similarity) of (a, b, text_a, text_b); neighbouring rows of one b take its text apart once."""
-    shingler, last, bag = Shingler(), None, None
+    """(a, b, similarity) of (a, b, bag_a, bag_b)."""
     for batch in batches:
         out = []
-        for a, b, text_a, text_b in zip(*batch.columns, strict=True):
-            if b.as_py() != last:
-                last, bag = b.as_py(), shingler.bag(text_b.as_py())
-            out.append((a.as_py(), last, overlap(shingler.bag(text_a.as_py()), bag)))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "a": pa.array([x[0] for x in out], pa.binary()),
-                "b": pa.array([x[1] for x in out], pa.binary()),
-                "similarity": pa.array([x[2] for x in out], pa.float64()),
-            }
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            out.append(overlap((one, np.ones(len(one), np.int64)), (two, np.ones(len(two), np.int64))))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"]
         )
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The exact similarity of pairs (a, b); only texts that are in a pair travel."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, f"a {NODE}, b {NODE}, similarity double")
+def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The exact similarity of pairs (a, b); only bags that are in a pair travel."""
+    left = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")).hint("merge"), "a")
+    both = left.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")).hint("merge"), "b")
+    return both.select("a", "b", "bag_a", "bag_b").mapInArrow(_verify, f"a {NODE}, b {NODE}, similarity double")
+
+
+def least_agreement(similarity: float, m: int = COMPONENTS) -> int:
+    """Components a pair of that similarity agrees in, but for a chance of MISSED."""
+    below = 0.0
+    for k in range(m + 1):
+        below += math.comb(m, k) * similarity**k * (1 - similarity) ** (m - k)
+        if below > MISSED:
+            return k
+    return m
+
+
+def _true_bytes(equal: np.ndarray) -> np.ndarray:
+    """How many of each row's at most 255 booleans, a multiple of eight, are true: eight are added at once."""
+    eights = equal.view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return ((eights * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int16)
+
+
+def _named(similarity: float, most: int):
+    """(a, b, more) of the members of some tiles; more tells that a had further partners than ``most``."""
+    agreement = least_agreement(similarity)
+
+    def name(tiles: pa.Table) -> pa.Table:
+        tiles = tiles.combine_chunks()
+        node = tiles["node"].combine_chunks()
+        signature = np.frombuffer(b"".join(tiles["signature"].to_pylist()), np.uint8).reshape(-1, COMPONENTS)
+        size = tiles["size"].to_numpy()
+        maps = np.frombuffer(b"".join(tiles["map"].to_pylist()), np.uint64).reshape(-1, MAP // 64)
+        component = tiles["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        left, right = (tiles[c].to_numpy() for c in ("left", "right"))
+        keys = [tiles[c].to_numpy() for c in ("band", "i", "j")]
+        order = np.lexsort(keys)
+        change = np.zeros(len(order) - 1, bool)
+        for k in keys:
+            change |= np.diff(k[order]) != 0
+        rows, partners, more = [], [], []
+        for members in np.split(order, np.flatnonzero(change) + 1):
+            others = members[right[members]]
+            wanted = members[left[members]]
+            for low in range(0, len(wanted), SLAB):
+                mine = wanted[low : low + SLAB]
+                near = component[mine][:, None] != component[others][None, :]
+                small, large = (f(size[mine][:, None], size[others][None, :]) for f in (np.minimum, np.maximum))
+                near &= small >= similarity * large - 1e-9
+                agree = np.zeros(near.shape, np.int16)
+                at, to = np.nonzero(near)
+                for cut in range(0, len(at), TILE * SLAB // 4):
+                    x, y = at[cut : cut + TILE * SLAB // 4], to[cut : cut + TILE * SLAB // 4]
+                    same = _true_bytes(signature[mine[x]] == signature[others[y]])
+                    x, y, same = (v[same >= agreement] for v in (x, y, same))
+                    bound = most_overlap(maps[mine[x]], maps[others[y]], size[mine[x]], size[others[y]])
+                    x, y, same = (v[bound >= similarity - 1e-9] for v in (x, y, same))
+                    agree[x, y] = same
+                near = agree > 0
+                count = near.sum(1)
+                for k in np.flatnonzero(count):
+                    found = np.flatnonzero(near[k])
+                    if len(found) > most:
+                        found = found[np.argsort(-agree[k, found], kind="stable")[:most]]
+                    rows.append(np.full(len(found), mine[k]))
+                    partners.append(others[found])
+                    more.append(np.full(len(found), count[k] > most))
+        none = [np.zeros(0, np.int64)]
+        return pa.table(
+            {
+                "a": node.take(pa.array(np.concatenate(rows or none))),
+                "b": node.take(pa.array(np.concatenate(partners or none))),
+                "more": pa.array(np.concatenate(more or none).astype(bool)),
+            }
+        )
 
+    return name
 
-def _ordered() -> list[Column]:
-    return [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
 
+def _tiles(members: DataFrame, first: bool) -> DataFrame:
+    """Members dealt to tiles (band, i, j): those outside the main component on the left, all on the right.
 
-def _links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    In the first round, when every text is its own component, only the tiles (i, i) and the least member of
+    the bucket meet, which ties near copies together in linear work.
+    """
+    chunk = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    place = lambda i, j, left, right: F.struct(
+        i.cast("int").alias("i"), j.cast("int").alias("j"), left.alias("left"), right.alias("right")
+    )
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    to = lambda n: F.sequence(zero, F.col(n) - 1)
+    sized = members.withColumn("all", F.ceil(F.col("n") / TILE).cast("int")).withColumn(
+        "outers", F.ceil(F.col("m") / TILE).cast("int")
+    )
+    if first:
+        whole = F.array(place(chunk("all"), chunk("all"), yes, yes))
+        head = F.transform(F.when(F.col("all") > 1, to("all")).otherwise(F.array().cast("array<int>")), lambda i: place(i, i, no, yes))
+        heads = members.where("n > %d" % TILE).groupBy("band").agg(F.min("node").alias("node"))
+        ties = sized.join(heads.hint("merge"), ["band", "node"], "left_semi").withColumn("t", F.explode(head))
+        dealt = sized.withColumn("t", F.explode(whole)).unionByName(ties)
+    else:
+        as_left = F.when(F.col("outer"), F.transform(to("all"), lambda j: place(chunk("outers"), j, yes, no)))
+        as_right = F.transform(to("outers"), lambda i: place(i, chunk("all"), no, yes))
+        apart = F.concat(F.coalesce(as_left, F.array().cast(PLACES)), as_right)
+        alone = F.array(place(zero, zero, F.col("outer"), yes))
+        dealt = sized.withColumn("t", F.explode(F.when((F.col("all") == 1) & (F.col("outers") == 1), alone).otherwise(apart)))
+    return dealt.select("band", "t.*", "node", "component")
+
+
+def _links(members: DataFrame, facts: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """Verified pairs (a, b, similarity) that connect all texts which links inside the buckets connect.
 
-    Each round takes a few members of every bucket as pivots and compares all other members with them.
-    Members that a pivot links leave the bucket with it.  What is left and connected by now, through other
-    buckets too, needs no comparison inside: a bucket of one component is done, and in others the pivots of
-    the next round, FAN times as many, come from outside the bucket's largest component.
-    A member that left unlinked may still link one that a pivot took along: ``_annulus`` adds those.
+    Each round every member outside its bucket's largest component names the members of other components
+    that agree with it best; pairs are verified and components formed anew.  When no member had more to name,
+    all links between different components are known.
     """
-    known, pivots = None, 1
-    outer = members.withColumn("outer", F.lit(True))
+    known, roots, most = None, None, 1
     while True:
-        # The least outer member of each hashed part of a bucket is a pivot: a partially aggregated minimum.
-        part = F.pmod(F.xxhash64("node"), F.lit(pivots))
-        heads = outer.where("outer").groupBy("band", part.alias("part")).agg(F.min("node").alias("b")).select("band", "b")
+        tiles = stored(_tiles(members if roots is None else _placed(members, roots), roots is None), "minhash-tiles")
+        rows = tiles.count()
+        if not rows and known is not None:
+            return known.where(F.col("similarity") >= similarity)
+        call = F.pmod(F.xxhash64("band", "i", "j"), F.lit(max(1, -(-rows // CALL)))).alias("call")
         pairs = stored(
-            outer.join(heads.hint("merge"), "band").where("node <> b").select("band", F.col("node").alias("a"), "b"),
+            tiles.join(facts.hint("merge"), "node").withColumn("call", call).groupBy("call").applyInArrow(_named(similarity, most), f"a {NODE}, b {NODE}, more boolean"),
             "minhash-pairs",
         )
-        fresh = pairs.select(*_ordered()).distinct()
+        fresh = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         if known is not None:
             fresh = fresh.join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-        measured = stored(_similar(fresh, texts), "minhash-measured")
+        measured = stored(_similar(fresh, bags), "minhash-measured")
         known = measured if known is None else known.unionByName(measured)
-        near = known.where(F.col("similarity") >= similarity)
-        roots = stored(components(near), "minhash-roots")
-        near = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        gone = (
-            pairs.join(near.hint("merge"), ["a", "b"], "left_semi")
-            .select("band", F.col("a").alias("node"))
-            .unionByName(heads.select("band", F.col("b").alias("node")))
-            .distinct()
-        )
-        rest = outer.select("band", "node").join(gone.hint("merge"), ["band", "node"], "left_anti")
-        outer = stored(_outer(rest, roots), "minhash-members")
-        if outer.isEmpty():
-            return _annulus(known, texts, similarity, roots)
-        pivots *= FAN
+        if roots is not None and pairs.where("more").isEmpty():
+            return known.where(F.col("similarity") >= similarity)
+        roots = stored(components(known.where(F.col("similarity") >= similarity)), "minhash-roots")
+        most *= FAN
 
 
-def _outer(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets that hold several components; ``outer`` marks those outside the largest one."""
-    placed = members.join(roots.hint("merge"), "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component")
-    )
+    placed = members.drop("n", "m", "component").join(roots.hint("merge"), "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
     sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    largest = largest.where("parts > 1").select("band", F.col("top.component").alias("main"))
-    return placed.join(largest.hint("merge"), "band").select("band", "node", (F.col("component") != F.col("main")).alias("outer"))
+    largest = sizes.groupBy("band").agg(
+        F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("n")
+    )
+    largest = largest.where("parts > 1").select(
+        "band", F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("m")
+    )
+    return placed.join(largest.hint("merge"), "band").withColumn("outer", F.col("component") != F.col("main"))
 
 
 def _crowded(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one."""
-    many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    return members.join(many.hint("merge"), "band", "left_semi")
-
-
-def _annulus(known: DataFrame, texts: DataFrame, similarity: float, roots: DataFrame) -> DataFrame:
-    """Links among ``known``, and those between what a pivot linked and what it narrowly did not.
-
-    1 - similarity is a metric: x beyond the reach r of pivot p can link y within it only if
-    d(x,p) <= r + d(y,p).  Pairs that are connected already add nothing and are not compared.
-    """
-    reach = 1 - similarity
-    links = stored(known.where(F.col("similarity") >= similarity), "minhash-links")
-    d = (1 - F.col("similarity")).alias("d")
-    around = known.select(F.col("b").alias("p"), F.col("a").alias("x"), d).unionByName(
-        known.select(F.col("a").alias("p"), F.col("b").alias("x"), d)
-    )
-    of = lambda name: roots.select(F.col("node").alias(name), F.col("component").alias(f"c{name}")).hint("merge")
-    outside = stored(
-        around.where((F.col("d") > reach) & (F.col("d") <= 2 * reach))
-        .join(of("x"), "x", "left")
-        .join(of("p"), "p")
-        .where(F.coalesce(F.col("cx") != F.col("cp"), F.lit(True)))
-        .select("p", F.col("x").alias("o"), F.col("d").alias("far")),
-        "minhash-outside",
-    )
-    if outside.isEmpty():
-        return links
-    pairs = (
-        outside.join(around.where(F.col("d") <= reach).hint("merge"), "p")
-        .where((F.col("far") <= reach + F.col("d")) & (F.col("o") != F.col("x")))
-        .select(F.greatest("o", "x").alias("a"), F.least("o", "x").alias("b"))
-        .distinct()
-        .join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
-    )
-    more = stored(_similar(pairs, texts).where(F.col("similarity") >= similarity), "minhash-annulus")
-    return links.unionByName(more)
+    """The members of buckets that hold more than one, each a component and outside any other."""
+    many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band", "n")
+    joined = members.join(many.hint("merge"), "band")
+    return joined.withColumn("m", F.col("n")).withColumn("component", F.col("node"))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -332,7 +428,7 @@ def _classified(docs: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, node, class_id, copies, head): head is the node that stands for the class."""
     rows = stored(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            _signed, f"doc_id long, node {NODE}, bands array<long>"
+            _signed, f"doc_id long, node {NODE}, bands array<long>, signature binary"
         ),
         "minhash-rows",
     )
@@ -341,8 +437,11 @@ def _classified(docs: DataFrame, similarity: float) -> DataFrame:
     members = stored(_crowded(members), "minhash-members")
     wanted = broadcast_if_small(stored(members.select("node").distinct(), "minhash-wanted"))
     texts = docs.select(node_of(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = stored(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "minhash-texts")
-    roots = components(_links(members, texts, similarity))
+    texts = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    bags = stored(texts.mapInArrow(_bags, f"node {NODE}, bag binary, map binary, size long"), "minhash-bags")
+    signed = rows.select("node", "signature").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    facts = stored(signed.join(bags.drop("bag").hint("merge"), "node"), "minhash-facts")
+    roots = components(_links(members, facts, bags, similarity))
     nodes = rows.groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first"))
     placed = stored(
         nodes.join(roots.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node")),

@@ -7,6 +7,7 @@ import html
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,7 +239,10 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs((signed[0] == signed[1]).mean() - minhash.overlap(a, b)) < 0.03
 
 
-def test_classes_against_brute_force(spark):
+@pytest.mark.parametrize(("tile", "fan"), [(2_000, 16), (3, 2)])
+def test_classes_against_brute_force(spark, monkeypatch, tile, fan):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "FAN", fan)
     given = spark.read.parquet(f"{SF}/documents.parquet")
     rows = given.collect()
     bags = [minhash.Shingler().bag(r.text) for r in rows]
@@ -255,6 +259,19 @@ def test_classes_against_brute_force(spark):
     assert got == {r.doc_id: least[x] for x, r in zip(label, rows, strict=True)}
 
 
+def test_bound_of_the_overlap_is_never_below_it():
+    texts = [" ".join(f"w{(i * k) % 90}" for i in range(n)) for k, n in ((7, 60), (7, 50), (11, 60), (1, 400), (1, 390), (7, 6))]
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(len(texts))]), pa.array(texts)], names=["node", "text"])
+    (made,) = minhash._bags([batch])
+    maps = np.frombuffer(b"".join(made["map"].to_pylist()), np.uint64).reshape(len(texts), -1)
+    size, bags = made["size"].to_numpy(), [minhash.Shingler().bag(t) for t in texts]
+    for i in range(len(texts)):
+        bound = minhash.most_overlap(maps[[i] * len(texts)], maps, size[i], size)
+        assert all(bound[j] >= minhash.overlap(bags[i], bags[j]) - 1e-12 for j in range(len(texts)))
+    equal = np.random.default_rng(1).random((50, minhash.COMPONENTS)) < 0.7
+    assert (minhash._true_bytes(equal) == equal.sum(1)).all()
+
+
 # ---- 10 embeddings ----
 
 
