@@ -13,32 +13,37 @@ from slotwise.functions.timeops import ntz
 from slotwise.operators import live, sessions
 from slotwise.operators.dims import seconds_of_days
 
-FOLD = """
-    folded AS (
-        SELECT log_dt, pn, sid,
-               min(start_time) AS enter_time,
-               coalesce(max(end_time), max(start_time)) AS exit_time,
-               min(CASE WHEN ec_type IN ('begin_checkout', 'checkout_progress') THEN start_time END) AS order_time
-        FROM session_log GROUP BY log_dt, pn, sid),
-    listed AS (SELECT DISTINCT bd_date, bd_btime, media_code, tape_code FROM programmes)"""
-
-BUCKET = """
-    CASE WHEN {0} < 1 THEN '0.1초미만'
-         WHEN {0} < 10 THEN '1.1-10초'
-         WHEN {0} < 30 THEN '2.10-30초'
-         WHEN {0} < 60 THEN '3.30초-1분'
-         WHEN {0} < 120 THEN '4.1분-2분'
-         WHEN {0} < 180 THEN '5.2분-3분'
-         WHEN {0} < 240 THEN '6.3분-4분'
-         WHEN {0} < 300 THEN '7.4분-5분'
-         ELSE '8.5분이상' END"""
-
-OVERLAP = """
-    a.log_dt = c.bd_date AND a.pn = c.media_code
-    AND a.exit_time >= c.bd_btime AND a.enter_time < c.bd_btime + INTERVAL 1 HOUR"""
-
-BASE_MI = """
-    CASE WHEN a.enter_time <= c.bd_btime THEN 0 ELSE date_diff('minute', c.bd_btime, a.enter_time) END"""
+# A session comes with its first row and goes with its latest end, or its latest start where no row ends.
+# It watched every airing that it neither left before the start nor reached after the hour.
+WATCHED = """
+    arrivals AS (
+        SELECT log_dt AS day, pn AS channel, sid AS viewer, start_time AS came FROM session_log
+        QUALIFY row_number() OVER (PARTITION BY log_dt, pn, sid ORDER BY start_time) = 1),
+    departures AS (
+        SELECT log_dt AS day, pn AS channel, sid AS viewer, coalesce(end_time, start_time) AS went FROM session_log
+        QUALIFY row_number() OVER (
+            PARTITION BY log_dt, pn, sid ORDER BY end_time DESC NULLS LAST, start_time DESC NULLS LAST) = 1),
+    airings AS (SELECT bd_date, bd_btime, media_code, tape_code FROM programmes GROUP BY ALL),
+    watched AS (
+        SELECT p.*, v.*,
+               CAST(greatest(0, epoch(date_trunc('minute', came)) - epoch(date_trunc('minute', bd_btime))) / 60 AS BIGINT) AS base_mi
+        FROM (arrivals JOIN departures USING (day, channel, viewer)) v
+        JOIN airings p ON v.day = p.bd_date AND v.channel = p.media_code
+        WHERE NOT (went < bd_btime OR came >= bd_btime + INTERVAL 1 HOUR))"""
+
+# The duration classes and their limits in seconds.
+CLASSES = """
+    classes(label, low, high) AS (VALUES
+        ('0.1초미만', -1e18, 1), ('1.1-10초', 1, 10), ('2.10-30초', 10, 30), ('3.30초-1분', 30, 60), ('4.1분-2분', 60, 120),
+        ('5.2분-3분', 120, 180), ('6.3분-4분', 180, 240), ('7.4분-5분', 240, 300), ('8.5분이상', 300, 1e18))"""
+
+# Every programme, minute and class with the sessions that came in a second of the dimension.
+VIEW_TIMES = """
+    SELECT bd_date, bd_btime, tape_code, base_mi, label AS view_time_cd, count(*) AS view_cnt
+    FROM watched JOIN classes
+      ON epoch(date_trunc('second', went)) - epoch(date_trunc('second', came)) >= low
+     AND epoch(date_trunc('second', went)) - epoch(date_trunc('second', came)) < high
+    WHERE came IN (SELECT dhms FROM seconds_dim) GROUP BY ALL"""
 
 
 def log_and_schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -52,30 +57,24 @@ def seconds_dim(schedule: DataFrame) -> DataFrame:
     return seconds_of_days(schedule.select(F.col("bd_date").alias("date")), ntz(LOAD_AT))
 
 
-@query(
-    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {FOLD},
-    pairs AS (
-        SELECT c.bd_date, c.bd_btime, c.tape_code, {BASE_MI} AS base_mi,
-               date_diff('second', a.enter_time, a.exit_time) AS view_time
-        FROM folded a JOIN seconds_dim b ON a.enter_time = b.dhms JOIN listed c ON {OVERLAP})
-    SELECT bd_date, bd_btime, tape_code, CAST(base_mi AS BIGINT) AS base_mi,
-           {BUCKET.format('view_time')} AS view_time_cd, count(*) AS view_cnt
-    FROM pairs GROUP BY ALL"""
-)
+@query(f"{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES} {VIEW_TIMES}")
 def view_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, schedule = log_and_schedule(spark, sf_dir)
     return sessions.view_time_histogram(log, schedule, seconds_dim(schedule))
 
 
 @query(
-    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {FOLD},
-    pairs AS (
-        SELECT c.bd_date, c.bd_btime, c.tape_code, {BASE_MI} AS base_mi,
-               date_diff('second', a.enter_time, coalesce(a.order_time, a.enter_time)) AS waited
-        FROM folded a JOIN seconds_dim b ON a.enter_time = b.dhms JOIN listed c ON {OVERLAP})
-    SELECT bd_date, bd_btime, tape_code, CAST(base_mi AS BIGINT) AS base_mi,
-           {BUCKET.format('waited')} AS dif_order_time_cd, count(*) AS order_cnt
-    FROM pairs WHERE waited > 0 GROUP BY ALL"""
+    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES},
+    first_orders AS (
+        SELECT log_dt AS day, pn AS channel, sid AS viewer, start_time AS ordered FROM session_log
+        WHERE ec_type IN ('begin_checkout', 'checkout_progress')
+        QUALIFY row_number() OVER (PARTITION BY log_dt, pn, sid ORDER BY start_time) = 1),
+    waits AS (
+        SELECT w.*, epoch(date_trunc('second', ordered)) - epoch(date_trunc('second', came)) AS waited
+        FROM watched w JOIN first_orders USING (day, channel, viewer)
+        WHERE came IN (SELECT dhms FROM seconds_dim))
+    SELECT bd_date, bd_btime, tape_code, base_mi, label AS dif_order_time_cd, count(*) AS order_cnt
+    FROM waits JOIN classes ON waited >= low AND waited < high WHERE waited > 0 GROUP BY ALL"""
 )
 def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, schedule = log_and_schedule(spark, sf_dir)
@@ -83,61 +82,51 @@ def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{t.with_sql('session_log', 'programmes')}, {FOLD}
-    SELECT c.bd_date, c.bd_btime, c.media_code, c.tape_code, count(DISTINCT a.sid) AS viewers
-    FROM folded a JOIN listed c ON {OVERLAP} GROUP BY ALL"""
+    f"""{t.with_sql('session_log', 'programmes')}, {WATCHED}
+    SELECT bd_date, bd_btime, media_code, tape_code, count(DISTINCT viewer) AS viewers FROM watched GROUP BY ALL"""
 )
 def programme_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.programme_viewers(*log_and_schedule(spark, sf_dir))
 
 
 @query(
-    f"""{t.with_sql('session_log', 'programmes')}, {FOLD},
-    spans AS (
-        SELECT c.*, a.sid, {BASE_MI} AS first_mi,
-               least(date_diff('minute', c.bd_btime, a.exit_time),
-                     date_diff('minute', c.bd_btime, c.bd_btime + INTERVAL 1 HOUR - INTERVAL 1 SECOND)) AS last_mi
-        FROM folded a JOIN listed c ON {OVERLAP}),
-    minutes AS (
-        SELECT bd_date, bd_btime, media_code, tape_code, sid,
-               unnest(range(first_mi, greatest(first_mi, last_mi) + 1)) AS base_mi
-        FROM spans)
-    SELECT bd_date, bd_btime, media_code, tape_code, CAST(base_mi AS BIGINT) AS base_mi,
-           count(DISTINCT sid) AS viewers
-    FROM minutes GROUP BY ALL"""
+    f"""{t.with_sql('session_log', 'programmes')}, {WATCHED}
+    SELECT bd_date, bd_btime, media_code, tape_code, CAST(mi AS BIGINT) AS base_mi, count(DISTINCT viewer) AS viewers
+    FROM (SELECT w.*, minute.mi FROM watched w, range(0, 61) AS minute(mi)
+          WHERE mi = base_mi
+             OR (mi > base_mi AND date_trunc('minute', bd_btime) + to_minutes(mi)
+                              <= least(went, bd_btime + INTERVAL 3599 SECOND)))
+    GROUP BY bd_date, bd_btime, media_code, tape_code, mi"""
 )
 def minute_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.minute_viewers(*log_and_schedule(spark, sf_dir))
 
 
-LATEST = """
-    latest AS (
-        SELECT pn AS media_code, uid AS user_id, max(log_time) AS last_activity,
-               max(CASE WHEN status = 'connect' THEN st END) AS last_connect,
-               max(CASE WHEN status = 'disconnect' THEN st END) AS last_disconnect
-        FROM connection_log WHERE log_time < TIMESTAMP '2024-01-15 12:00:00' {0}
-        GROUP BY pn, uid),
-    viewers AS (
-        SELECT media_code, count(DISTINCT user_id) AS unique_viewers FROM latest
-        WHERE last_activity >= TIMESTAMP '2024-01-14 12:00:00'
-          AND (last_disconnect IS NULL OR last_connect > last_disconnect)
-        GROUP BY media_code)"""
+# Who was heard of in the last day, without those whose disconnect no connect follows.
+CONNECTED = """
+    heard AS (SELECT * FROM connection_log WHERE log_time < TIMESTAMP '2024-01-15 12:00:00' {0}),
+    gone AS (
+        SELECT pn, uid FROM heard d WHERE status = 'disconnect' AND NOT EXISTS (
+            SELECT 1 FROM heard k WHERE k.pn = d.pn AND k.uid = d.uid AND k.status = 'connect' AND k.st > d.st)),
+    present AS (
+        SELECT pn, uid FROM heard WHERE log_time >= TIMESTAMP '2024-01-14 12:00:00' EXCEPT SELECT pn, uid FROM gone),
+    viewers AS (SELECT pn AS media_code, count(*) AS unique_viewers FROM present GROUP BY pn)"""
 LAST_DAY = "AND log_time >= TIMESTAMP '2024-01-14 12:00:00'"
 
 
-@query(f"{t.with_sql('connection_log')}, {LATEST.format(LAST_DAY)} SELECT * FROM viewers")
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format(LAST_DAY)} SELECT * FROM viewers")
 def active_viewers_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = t.connection_log(t.events(spark, sf_dir))
     return live.active_viewers(log, AS_OF, lookback=timedelta(hours=24))
 
 
-@query(f"{t.with_sql('connection_log')}, {LATEST.format('')} SELECT * FROM viewers")
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format('')} SELECT * FROM viewers")
 def active_viewers_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = t.connection_log(t.events(spark, sf_dir))
     return live.active_viewers(log, AS_OF, lookback=None, timeout=timedelta(hours=24))
 
 
-@query(f"{t.with_sql('connection_log')}, {LATEST.format('')} SELECT * FROM viewers")
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format('')} SELECT * FROM viewers")
 def active_viewers_from_daily_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history form from one stored fold per day instead of the raw log."""
     log = t.connection_log(t.events(spark, sf_dir)).where(F.col("log_time") < ntz(AS_OF))
@@ -146,17 +135,17 @@ def active_viewers_from_daily_folds(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 @query(
-    f"""{t.with_sql('connection_log', 'programmes', 'frames')}, {LATEST.format(LAST_DAY)},
-    on_air AS (
-        SELECT max(bd_btime) AS start FROM programmes
-        WHERE bd_btime <= TIMESTAMP '2024-01-15 12:00:00'
-          AND bd_date IN (DATE '2024-01-14', DATE '2024-01-15'))
-    SELECT TIMESTAMP '2024-01-15 12:00:00' AS init_date, f.tape_code, 'DA001' AS data_type,
-           CAST(coalesce(sum(v.unique_viewers), 0) AS DOUBLE) AS data_value, f.bd_btime
-    FROM frames f JOIN on_air o ON f.bd_btime = o.start
-    LEFT JOIN viewers v ON f.media_code = v.media_code
-    WHERE f.bd_date IN (DATE '2024-01-14', DATE '2024-01-15')
-    GROUP BY f.tape_code, f.bd_btime"""
+    f"""{t.with_sql('connection_log', 'programmes', 'frames')}, {CONNECTED.format(LAST_DAY)},
+    airing_now AS (
+        SELECT * FROM frames
+        WHERE bd_date BETWEEN DATE '2024-01-14' AND DATE '2024-01-15'
+          AND bd_btime = (SELECT bd_btime FROM programmes
+                          WHERE bd_date BETWEEN DATE '2024-01-14' AND DATE '2024-01-15'
+                            AND bd_btime <= TIMESTAMP '2024-01-15 12:00:00'
+                          ORDER BY bd_btime DESC LIMIT 1))
+    SELECT TIMESTAMP '2024-01-15 12:00:00' AS init_date, tape_code, 'DA001' AS data_type, bd_btime,
+           CAST(coalesce(sum(unique_viewers), 0) AS DOUBLE) AS data_value
+    FROM airing_now LEFT JOIN viewers USING (media_code) GROUP BY tape_code, bd_btime"""
 )
 def airing_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = t.events(spark, sf_dir)
@@ -164,24 +153,22 @@ def airing_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(live.airing_viewers(t.frames(e), t.programmes(e), viewers, AS_OF))
 
 
-REVENUE = """
-    per_minute AS (
-        SELECT goods_code, media_code, strftime(order_date, '%Y-%m-%d %H:%M') AS order_mi,
-               sum(order_amt) AS price
-        FROM order_lines
-        WHERE order_date >= TIMESTAMP '2024-01-14 12:00:00'
-          AND order_date <= TIMESTAMP '2024-01-15 12:00:00' AND order_amt > 0
-        GROUP BY ALL),
-    airings AS (
-        SELECT DISTINCT bd_btime, tape_code, goods_code, media_code FROM programmes
-        WHERE bd_btime >= TIMESTAMP '2024-01-11 12:00:00' AND bd_btime <= TIMESTAMP '2024-01-15 12:10:00')"""
+# Every single order beside every airing of its goods.
+SALES = """
+    sales AS (
+        SELECT bd_btime, tape_code, date_trunc('minute', order_date) AS minute, order_amt
+        FROM (SELECT bd_btime, tape_code, goods_code, media_code FROM programmes GROUP BY ALL)
+        JOIN order_lines USING (goods_code, media_code)
+        WHERE order_amt > 0
+          AND order_date BETWEEN TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 24 HOUR AND TIMESTAMP '2024-01-15 12:00:00'
+          AND bd_btime - INTERVAL 10 MINUTE <= TIMESTAMP '2024-01-15 12:00:00'
+          AND bd_btime + INTERVAL 96 HOUR >= TIMESTAMP '2024-01-15 12:00:00')"""
 
 
 @query(
-    f"""{t.with_sql('order_lines', 'programmes')}, {REVENUE}
-    SELECT a.bd_btime, a.tape_code, p.order_mi, CAST(sum(p.price) AS DOUBLE) AS price
-    FROM per_minute p JOIN airings a ON p.goods_code = a.goods_code AND p.media_code = a.media_code
-    GROUP BY a.bd_btime, a.tape_code, p.order_mi"""
+    f"""{t.with_sql('order_lines', 'programmes')}, {SALES}
+    SELECT bd_btime, tape_code, left(CAST(minute AS VARCHAR), 16) AS order_mi, CAST(sum(order_amt) AS DOUBLE) AS price
+    FROM sales GROUP BY bd_btime, tape_code, minute"""
 )
 def airing_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = t.events(spark, sf_dir)
@@ -189,11 +176,9 @@ def airing_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{t.with_sql('order_lines', 'programmes')}, {REVENUE}
-    SELECT CAST(p.order_mi || ':00' AS TIMESTAMP) AS init_date, a.tape_code, 'DA002' AS data_type,
-           CAST(sum(p.price) AS DOUBLE) AS data_value, a.bd_btime
-    FROM per_minute p JOIN airings a ON p.goods_code = a.goods_code AND p.media_code = a.media_code
-    GROUP BY a.bd_btime, a.tape_code, p.order_mi"""
+    f"""{t.with_sql('order_lines', 'programmes')}, {SALES}
+    SELECT minute AS init_date, tape_code, 'DA002' AS data_type, bd_btime, CAST(sum(order_amt) AS DOUBLE) AS data_value
+    FROM sales GROUP BY bd_btime, tape_code, minute"""
 )
 def airing_revenue_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = t.events(spark, sf_dir)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from registry.analytics import BASE_MI, BUCKET, FOLD, OVERLAP, log_and_schedule, seconds_dim
+from registry.analytics import CLASSES, VIEW_TIMES, WATCHED, log_and_schedule, seconds_dim
 from registry.common import AS_OF, DAY, plain, query
 from slotwise import testmap as t
 from slotwise.functions.timeops import since_previous_month, trailing_minutes
@@ -147,18 +147,8 @@ def extract_snapshot_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query(
-    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {FOLD},
-    pairs AS (
-        SELECT c.bd_date, c.bd_btime, c.tape_code, {BASE_MI} AS base_mi,
-               date_diff('second', a.enter_time, a.exit_time) AS view_time
-        FROM folded a JOIN seconds_dim b ON a.enter_time = b.dhms JOIN listed c ON {OVERLAP}),
-    counted AS (
-        SELECT bd_date, bd_btime, tape_code, CAST(base_mi AS BIGINT) AS base_mi,
-               {BUCKET.format('view_time')} AS view_time_cd, count(*) AS view_cnt
-        FROM pairs GROUP BY ALL)
-    SELECT bd_date, bd_btime, tape_code, base_mi, view_time_cd,
-           CASE WHEN bd_date = DATE '2024-01-15' THEN view_cnt ELSE 0 END AS view_cnt
-    FROM counted"""
+    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES}, counted AS ({VIEW_TIMES})
+    SELECT * REPLACE (CASE WHEN bd_date = DATE '2024-01-15' THEN view_cnt ELSE 0 END AS view_cnt) FROM counted"""
 )
 def run_view_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored histogram with stale counts, after one day has been recomputed."""

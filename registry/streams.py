@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry.analytics import LAST_DAY, LATEST
+from registry.analytics import CONNECTED, LAST_DAY
 from registry.common import AS_OF, plain, query
 from registry.loads import RATINGS_SQL, ratings
 from slotwise import testmap as t
@@ -63,7 +63,7 @@ def stream_active_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@query(f"{t.with_sql('connection_log')}, {LATEST.format(LAST_DAY)} SELECT * FROM viewers")
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format(LAST_DAY)} SELECT * FROM viewers")
 def stream_minute_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folds stored by a stream; a tick with a look-back of a day reads those of its minutes."""
     log = t.connection_log(t.stream(spark, sf_dir)).withColumn("log_time", event_time("log_time"))
