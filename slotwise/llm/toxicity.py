@@ -30,6 +30,8 @@ LEAST_LOG_ODDS = 2.0
 # Of ten parts of the sample, so many are kept for the calibration.
 CALIBRATION_PARTS = 2
 TREES, DEPTH, STEP, SEED = 20, 3, 0.3, 7
+# The fitted rows are at most SAMPLE short lists: training passes over them a hundred times, in so many tasks.
+FIT_TASKS = 6
 NEAR = 5
 BEGINNINGS = range(3, 8)
 
@@ -252,7 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             rows, "values array<double>, label double, part long"
         ),
         "toxicity-features",
-    ).withColumn("__features", array_to_vector("values"))
+    )
+    prepared = prepared.coalesce(FIT_TASKS).withColumn("__features", array_to_vector("values"))
     learner = GBTClassifier(
         featuresCol="__features", labelCol="label", predictionCol="__class",
         maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED,
