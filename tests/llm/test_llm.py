@@ -215,6 +215,29 @@ def test_repeats_against_brute_force(spark, monkeypatch):
             assert (got[i].n_removed, got[i].kept_sha256) == (gone.sum(), kept)
 
 
+def check_repeats(spark, given):
+    """The removed bytes are those of windows of 200 bytes that are at two places."""
+    raw = [x.encode() for x in given]
+    count = collections.Counter(x[i : i + 200] for x in raw for i in range(len(x) - 199))
+    got = {r.doc_id: r for r in suffix.remove_repeats(docs(spark, *given)).collect()}
+    for i, x in enumerate(raw):
+        gone = np.zeros(len(x), bool)
+        for a in range(len(x) - 199):
+            if count[x[a : a + 200]] > 1:
+                gone[a : a + 200] = True
+        kept = hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest()
+        assert (got[i].n_removed, got[i].kept_sha256) == (gone.sum(), kept)
+
+
+def test_one_place_in_several_tasks_is_no_repeat(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    text = lambda n: "".join(rng.choice(list("abc "), n))
+    shared = text(600)
+    monkeypatch.setattr(suffix, "MOST", 2)
+    monkeypatch.setattr(suffix, "TASK_BYTES", 300)
+    check_repeats(spark, [text(150) + shared + text(150) for _ in range(12)])
+
+
 # ---- 8 mixing ----
 
 
