@@ -195,8 +195,9 @@ def _sorted(table: pa.Table) -> pa.Table:
         "rid": [r[heads]], "low": [w[heads]], "high": [w[tails] + LENGTH],
         "window": [None] * len(heads), "alone": [False] * len(heads),
     }
-    _, first = np.unique(group, return_index=True)
-    for i in first[split[region[first]]].tolist() if n else []:
+    # Of the surroundings a class was seen through, any may be of a split minimiser.
+    entries = np.flatnonzero(split[region])
+    for i in entries[np.unique(group[entries], return_index=True)[1]].tolist():
         a = int(offset[i])
         out["rid"].append([rid[region[i]]])
         out["low"].append([where[i]])

@@ -238,6 +238,13 @@ def test_one_place_in_several_tasks_is_no_repeat(spark, monkeypatch):
     check_repeats(spark, [text(150) + shared + text(150) for _ in range(12)])
 
 
+def test_a_window_first_seen_by_an_unsplit_minimiser_has_its_digest():
+    one = bytes(np.random.default_rng(3).integers(1, 255, 200).astype(np.uint8))
+    for split in ([True, False], [False, True]):
+        given = {"rid": [5, 5], "start": [0, 0], "copies": [1, 1], "split": split, "bytes": [one, one]}
+        assert [(r["rid"], r["low"], r["alone"]) for r in suffix._sorted(pa.table(given)).to_pylist()] == [(5, 0, True)]
+
+
 # ---- 8 mixing ----
 
 
