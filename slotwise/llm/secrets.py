@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import stored
 from slotwise.operators.sizing import broadcast_if_small
 
-# A candidate: a run of key characters, not part of a longer one, with a digit in it.
-CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}"
+# A candidate: a run of key characters, not part of a longer one, with a digit in it; '=' pads it where no value follows.
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}+(?:={1,2}(?![A-Za-z0-9_+/-]))?"
 MASK = "[secret]"
 # The commonest words of the corpus that count as dictionary words.
 DICTIONARY = 5_000
@@ -51,12 +51,14 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         # The texts between the candidates: the one at i ends where candidate i begins.
         F.split("text", CANDIDATE, -1).alias("between"),
     ).where(F.size("found") > 0)
+    # A long name with a digit is a candidate itself, and still the word before the value assigned to it.
+    name = lambda i: F.when(F.get("between", i) == "=", F.get("found", i - 1)).otherwise(F.lit(""))
     item = F.transform(
         "found",
         lambda c, i: F.struct(
             i.alias("finding"),
             c.alias("candidate"),
-            F.right(F.get("between", i), F.lit(BEFORE)).alias("before"),
+            F.right(F.concat(F.coalesce(name(i), F.lit("")), F.get("between", i)), F.lit(BEFORE)).alias("before"),
             F.left(F.get("between", i + 1), F.lit(AFTER)).alias("after"),
         ),
     )
@@ -165,13 +167,19 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = FINDINGS)
     )
     filler = F.concat_ws(" ", word("c1"), word("c2"), word("c3"))
     key = choose("key", "token", "secret", "password", "api_key", "access_key", "auth token", "bearer", "TOKEN", "Secret")
-    glue = choose("glue", ' = "', ' = "', '="', ": ", " = ", ': "', " ")
-    idle = choose("idle", "", "the ", "= ", ": ", "id: ", "no. ", '"')
-    check = choose("sum", "commit ", "sha256: ", "md5 = ", "digest ", "checksum: ", "uuid = ", "etag: ")
+    glue = choose("glue", ' = "', ' = "', '="', ": ", " = ", ': "', " ", "=", "=")
+    idle = choose("idle", "", "the ", "= ", ": ", "id: ", "no. ", '"', "id=", "?page=", "&order=")
+    check = choose("sum", "commit ", "sha256: ", "md5 = ", "digest ", "checksum: ", "uuid = ", "etag: ", "md5=", "?commit=", "&uuid=")
+    # Unquoted assignments stand in shells and in the queries of addresses.
+    lead = F.when(F.col("glue") == "=", choose("lead", " ", "\n", "?", "&", " export ")).otherwise(F.lit(" "))
+    trail = F.when(F.col("glue") == "=", choose("trail", " ", "\n", "&", "")).otherwise(F.lit(" "))
     far = F.pmod(F.xxhash64(F.lit("path"), "id"), F.lit(10)) == 0
     parts = {"secret": secret, "other": other, "filler": filler, "key": key, "glue": glue, "idle": idle, "check": check}
+    ends = {"lead": lead, "trail": trail}
     made = stored(
-        spark.range(n).select((F.col("id") % 2 == 1).alias("real"), far.alias("far"), *[x.alias(k) for k, x in parts.items()]),
+        spark.range(n)
+        .select("id", (F.col("id") % 2 == 1).alias("real"), far.alias("far"), *[x.alias(k) for k, x in parts.items()])
+        .select("*", *[x.alias(k) for k, x in ends.items()]),
         "secret-parts",
     )
     is_digest = F.col("other").rlike("^[0-9a-f-]{32,}$") & F.col("other").rlike("[a-f]")
@@ -180,8 +188,8 @@ def labelled_findings(spark: SparkSession, words: list[str], n: int = FINDINGS)
     quoted = F.col("real") & F.col("glue").endswith('"')
     return made.select(
         F.when(F.col("real"), F.col("secret")).otherwise(F.col("other")).alias("candidate"),
-        F.concat("filler", F.lit(" "), F.coalesce(announced, F.col("idle"))).alias("before"),
-        F.when(quoted, F.lit('" ')).otherwise(F.lit(" ")).alias("after"),
+        F.concat("filler", F.when(announced.isNull(), F.lit(" ")).otherwise(F.col("lead")), F.coalesce(announced, F.col("idle"))).alias("before"),
+        F.when(quoted, F.lit('" ')).otherwise(F.col("trail")).alias("after"),
         F.when(~F.col("far"), F.lit("src0")).when(F.col("real"), F.lit("src/main")).otherwise(F.lit("test/data")).alias("path"),
         F.col("real").cast("double").alias("label"),
     )

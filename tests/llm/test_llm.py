@@ -82,6 +82,24 @@ def test_secrets_and_lookalikes(spark):
     assert masked[1][0].startswith("commit 24be")
 
 
+def test_unquoted_values_behind_an_equals_sign(spark):
+    key = "24be64439e3e49cf46b2d7c90f3602a3"
+    forms = [
+        f"export API_KEY={key}\nnext", f"see https://h.example/a?token={key}&x=1 ok", f"password={key}",
+        f"MY_SERVICE_2_API_KEY={key} set", f'the token = "{key}" here',
+    ]
+    others = [f"commit={key} done", f"see https://h.example/a?commit={key}&x=1 ok", f"md5={key}"]
+    given = docs(spark, *forms, *others)
+    found = secrets.candidates(given).where(F.col("candidate") == key)
+    assert {r.doc_id for r in found.collect()} == set(range(len(forms + others)))
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(given).collect()}
+    # The long name of form 3 is a candidate of its own, and may be masked too.
+    assert all(masked[i] == forms[i].replace(key, "[secret]") for i in (0, 1, 2, 4)) and masked[3].endswith("=[secret] set")
+    assert [masked[i] for i in range(len(forms), len(masked))] == others
+    padded = docs(spark, "token: dGhpcyBpcyBhIHRlc3Q0NTY3OA== end")
+    assert [r.candidate for r in secrets.candidates(padded).collect()] == ["dGhpcyBpcyBhIHRlc3Q0NTY3OA=="]
+
+
 # ---- 2 WARC ----
 
 
