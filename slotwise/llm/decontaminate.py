@@ -4,7 +4,7 @@ Words are turned into a template: numbers, units and names become typed placehol
 lower-case word.  Windows of template words of a benchmark item are looked up in every document.  Where a
 window was found, the values in its slots are compared: a verbatim copy has the item's own values, a
 re-parameterised question has others, and then every slot value of the item must stand for one value of the
-document throughout (slot consistency), or the match is chance.
+document throughout (slot consistency); windows that conflict with the others are chance and do not count.
 """
 
 from __future__ import annotations
@@ -183,30 +183,47 @@ def _lookup(index: np.ndarray, sizes: list[int]):
     return find
 
 
-def consistent(pairs: list[tuple[list[int], list[int]]]) -> tuple[bool, int]:
-    """Whether each slot value of the item stands for one value of the document and the other way round, and
-    how many of the values differ; ``pairs`` holds (item slots, document slots) of matched windows."""
-    there, back = {}, {}
+def agreed(pairs: list[tuple[list[int], list[int]]]) -> dict[int, int]:
+    """The value of the document that each slot value of the item stands for: the one most matched windows give
+    it, of equals its own, then the least.  ``pairs`` holds (item slots, document slots) of matched windows."""
+    votes = defaultdict(lambda: defaultdict(int))
     for item, doc in pairs:
-        for x, y in zip(item, doc, strict=False):
-            if there.setdefault(x, y) != y or back.setdefault(y, x) != x:
-                return False, 0
+        for x, y in set(zip(item, doc, strict=False)):
+            votes[x][y] += 1
+    return {x: min(given, key=lambda y: (-given[y], y != x, y)) for x, given in votes.items()}
+
+
+def agrees(item: list[int], doc: list[int], there: dict[int, int]) -> bool:
+    return all(there[x] == y for x, y in zip(item, doc, strict=False))
+
+
+def consistent(pairs: list[tuple[list[int], list[int]]]) -> tuple[bool, int]:
+    """Whether each slot value of the item stands for one value of the document, and how many of the values differ.
+
+    Two values of the item may become one of the document: other numbers can happen to be equal."""
+    there = agreed(pairs)
+    if not all(agrees(item, doc, there) for item, doc in pairs):
+        return False, 0
     return True, sum(x != y for x, y in there.items())
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, item_id, shift, windows, covered, changed) of matches collected by diagonal."""
+    """(doc_id, item_id, windows, covered, words, changed) of matches collected by diagonal.
+
+    Windows whose slots conflict with the others are left out; those without slots never do."""
     for batch in batches:
         out = []
         for doc, item, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            there = agreed([(m["item_slots"], m["slots"]) for m in matches])
+            matches = [m for m in matches if agrees(m["item_slots"], m["slots"], there)]
             size_of = defaultdict(int)
             for m in matches:
                 size_of[m["item_at"]] = max(size_of[m["item_at"]], m["size"])
             covered = np.zeros(words, bool)
             for at, size in size_of.items():
                 covered[at : at + size] = True
-            sound, changed = consistent([(m["item_slots"], m["slots"]) for m in matches])
-            if sound:
+            _, changed = consistent([(m["item_slots"], m["slots"]) for m in matches])
+            if matches:
                 out.append((doc, item, len(size_of), int(covered.sum()), words, changed))
         columns = list(zip(*out, strict=True)) or [[]] * 6
         names = ["doc_id", "item_id", "windows", "covered", "words", "changed"]

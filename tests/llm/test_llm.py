@@ -173,6 +173,21 @@ def test_reparameterised_item_is_found_and_chance_is_not(spark):
     assert not decontaminate.consistent([([1, 2], [5, 6]), ([1], [6])])[0]
 
 
+def held(spark, item, *texts):
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    return {r.doc_id: r for r in decontaminate.find(docs(spark, *texts), bench).collect()}
+
+
+def test_conflicting_slots_leave_the_other_windows(spark):
+    copied = words(25).translate(str.maketrans("0123456789", "abcdefghij"))
+    got = held(spark, f"if x is 3 and y is 3 then {copied}", f"if x is 4 and y is 5 then {copied}", f"if x is 4 and y is 5 then {words(25)}")
+    assert set(got) == {0} and got[0].covered >= 25
+    both = held(spark, "we put 3 red balls and 5 blue balls into the old box", "we put 4 red balls and 4 blue balls into the old box")
+    assert set(both) == {0} and both[0].changed_slots == 2
+    # One value stands for two: only windows that agree with each other count.
+    assert not decontaminate.consistent([([1, 1], [5, 6])])[0] and decontaminate.agreed([([1], [5]), ([1], [6]), ([1], [6])]) == {1: 6}
+
+
 # ---- 6 personal data ----
 
 
