@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from slotwise.llm.common import stored
 from slotwise.operators.sizing import broadcast_if_small
 
-# Template words in a window, and how many of them have to be words rather than placeholders.
+# Template words in a window, and how many of them have to be words rather than placeholders: with fewer it is longer.
 WINDOW = 8
 LEAST_WORDS = 5
 # A document holds an item if windows found cover at least this share of it, or this many of its words.
@@ -120,11 +120,36 @@ def _forms(hashes: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[n
     yield *windows(hashes, np.ones(len(hashes), bool), size), np.zeros(len(hashes), bool)
 
 
+_BACK = np.uint64(pow(int(_STEP), -1, 2**64))
+
+
+def longer(words: np.ndarray, fixed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of the windows of up to ``most`` words that are read on, from a start or back from an
+    end, until LEAST_WORDS fixed words are inside, where WINDOW words hold fewer."""
+    n = len(words)
+    total, where = np.r_[0, np.cumsum(fixed)], np.flatnonzero(fixed)
+    few = np.flatnonzero(total[WINDOW:] - total[:-WINDOW] < LEAST_WORDS) if n > WINDOW else np.zeros(0, np.int64)
+    few = few if len(where) >= LEAST_WORDS else few[:0]
+    if not len(few):
+        return np.zeros(0, np.uint64), few, few
+    on = few[total[few] + LEAST_WORDS <= len(where)]
+    back = few[total[few + WINDOW] >= LEAST_WORDS] + WINDOW
+    start = np.r_[on, where[total[back] - LEAST_WORDS]]
+    end = np.r_[where[total[on] + LEAST_WORDS - 1] + 1, back]
+    start, end = np.unique(np.stack([start, end])[:, end - start <= most], axis=1)
+    # Sums over powers: any window is a difference, brought to the power of its start.
+    mixed = (words ^ (words >> np.uint64(31))) * _MIX
+    sums = np.r_[np.uint64(0), np.cumsum(mixed * np.cumprod(np.full(n, _STEP)))]
+    out = (sums[end] - sums[start]) * np.cumprod(np.full(n + 1, _BACK))[start] + (end - start).astype(np.uint64) * _STEP
+    out = (out ^ (out >> np.uint64(30))) * _MIX
+    return out ^ (out >> np.uint64(29)), start, end
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(hash, size, item_id, at, words, slots) of (item_id, text).
 
-    An item shorter than a window is one window of its own size.  slots are the values (hashes) of the
-    window's names, numbers and units.
+    An item shorter than a window is one window of its own size; where placeholders are many, windows are longer.
+    slots are the values (hashes) of the window's names, numbers and units.
     """
     canonical = Canonical()
     for batch in batches:
@@ -142,14 +167,19 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         inside = slice(at, at + size)
                         slots = hashes[inside][slot[inside]].view(np.int64).tolist()
                         out.append((int(values[at].view(np.int64)), size, item.as_py(), at, len(hashes), slots))
+            for value, at, end in zip(*longer(template(hashes, kinds), kinds == WORD, len(hashes)), strict=True):
+                slots = hashes[at:end][kinds[at:end] != WORD].view(np.int64).tolist()
+                out.append((int(value.view(np.int64)), int(end - at), item.as_py(), int(at), len(hashes), slots))
         columns = list(zip(*out, strict=True)) or [[]] * 6
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
         names = ("hash", "size", "item_id", "at", "words", "slots")
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
-def _lookup(index: np.ndarray, sizes: list[int]):
-    """Finds the windows of documents among the sorted hashes ``index``: (row, hash, size, at, slots)."""
+def _lookup(index: np.ndarray, sizes: list[int], most: int):
+    """Finds the windows of documents among the sorted hashes ``index``: (row, hash, size, at, slots).
+
+    ``sizes`` are those of windows up to WINDOW, ``most`` is that of the longest."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonical = Canonical()
@@ -162,6 +192,15 @@ def _lookup(index: np.ndarray, sizes: list[int]):
             out: list[tuple] = []
             for row, text in zip(*batch.columns, strict=True):
                 hashes, kinds = canonical.words(text.as_py())
+                if most > WINDOW:
+                    values, start, end = longer(template(hashes, kinds), kinds == WORD, most)
+                    maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)])
+                    signed = values[maybe].view(np.int64)
+                    place = np.minimum(np.searchsorted(index, signed), len(index) - 1)
+                    for i in maybe[index[place] == signed].tolist():
+                        at, to = int(start[i]), int(end[i])
+                        slots = hashes[at:to][kinds[at:to] != WORD].view(np.int64).tolist()
+                        out.append((row.as_py(), int(values[i].view(np.int64)), to - at, at, slots))
                 for size in sizes:
                     for values, enough, slot in _forms(hashes, kinds, size):
                         maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)] & enough)
@@ -258,7 +297,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not len(index):
             continue
         found = stored(
-            texts.mapInArrow(_lookup(index, sizes), "doc_id long, hash long, size int, at int, slots array<long>"),
+            texts.mapInArrow(_lookup(index, [x for x in sizes if x <= WINDOW], sizes[-1]), "doc_id long, hash long, size int, at int, slots array<long>"),
             "decontaminate-hits",
         )
         hits = found if hits is None else hits.unionByName(found)
@@ -275,7 +314,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("doc_id", "item_id", "diagonal")
         .agg(
             F.first("words").alias("words"),
-            # An alignment holds at most two forms of each window of one item.
+            # An alignment holds each window of one item in at most two forms, and one from each start and to each end.
             F.collect_set(F.struct("item_at", "size", "item_slots", "slots")).alias("matches"),
         )
     )

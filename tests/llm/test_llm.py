@@ -188,6 +188,32 @@ def test_conflicting_slots_leave_the_other_windows(spark):
     assert not decontaminate.consistent([([1, 1], [5, 6])])[0] and decontaminate.agreed([([1], [5]), ([1], [6]), ([1], [6])]) == {1: 6}
 
 
+def test_items_rich_in_placeholders_are_found_with_other_values(spark):
+    got = held(
+        spark, "Tom rides 12 km in 3 hours and Ann rides 20 km in 4 hours", "Ben rides 15 km in 2 hours and Eva rides 30 km in 5 hours",
+        "Intro " * 9 + ". We know that Ben rides 15 km in 2 hours and Eva rides 30 km in 5 hours. " + words(30), "Ben rides 15 km in 2 hours and sleeps",
+    )
+    assert set(got) == {0, 1} and got[0].changed_slots > 0
+    # All five words stand in front: read back from the end.
+    row = "add up all these lengths {} km {} km {} km {} km {} km {} km {} km {} km {} km"
+    assert set(held(spark, row.format(*range(11, 20)), row.format(*range(31, 40)), " ".join(f"{i} km" for i in range(31, 40)))) == {0}
+
+
+def test_longer_windows_against_plain_ones():
+    rng = np.random.default_rng(4)
+    for n in (0, 5, 8, 9, 60):
+        given, fixed = rng.integers(1, 9, n).astype(np.uint64), rng.random(n) < 0.4
+        values, start, end = decontaminate.longer(given, fixed, 30)
+        want = set()
+        for a in range(n):
+            for b in range(a + 9, min(n, a + 30) + 1):
+                if fixed[a:b].sum() == 5 and (fixed[b - 1] and fixed[a : a + 8].sum() < 5 or fixed[a] and fixed[b - 8 : b].sum() < 5):
+                    want.add((a, b))
+        assert set(zip(start.tolist(), end.tolist(), strict=True)) == want
+        named = {int(v): given[a:b].tobytes() for v, a, b in zip(values, start, end, strict=True)}
+        assert len(set(named.values())) == len(named)
+
+
 # ---- 6 personal data ----
 
 
