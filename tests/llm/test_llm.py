@@ -146,6 +146,24 @@ def test_main_text_of_pages(spark):
         assert got[p.page_id] == "\n".join(b for b in blocks if b)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p class=notice>buy<p>one</p><p>two</p></article>", "one\ntwo"),
+        ("<article><ul><li class=share>us<li>one</ul><p>two</article>", "one\ntwo"),
+        ("<article><div><p class='ad'>buy</div>one<p>two</p></article>", "one\ntwo"),
+        ("<body><nav><ul><li>menu</ul><article><p>one<p>two</article></body>", "one\ntwo"),
+        ("<body><header>top<div id=content><p>one</p>two</div></body>", "one\ntwo"),
+        ("<html><head><title>t</title><body><p>one<p>two", "one\ntwo"),
+        ("<table><tr><td class=sidebar>menu<td><p>one<tr><td>two</table>", "one\ntwo"),
+        ("<article><nav><article><p>menu</article></nav><svg class=x /><p>one</p><p class=notice>buy <b>now</b></p>two</article>", "one\ntwo"),
+    ],
+)
+def test_furniture_without_end_tags_leaves_the_rest(page, text):
+    found = next((x for x in (template.blocks(page, "article"), template.blocks(page, None)) if x), [])
+    assert "\n".join(found) == text
+
+
 # ---- 4 toxicity ----
 
 
