@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, embedding, minhash, mixing, pii, secrets, suffix, template, toxicity, warc
+from slotwise.llm import (
+    decontaminate,
+    embedding,
+    merkle,
+    minhash,
+    mixing,
+    pii,
+    secrets,
+    suffix,
+    template,
+    toxicity,
+    warc,
+)
 from slotwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +115,56 @@ def op3_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def manifest_sql(docs: str, depth: int, top: int) -> str:
+    """The manifest by lists of children, for sources of up to 3 ** depth rows and 3 ** top sources."""
+
+    def row(text: str) -> str:
+        values = [text if c == "text" else c for c in merkle.COLUMNS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+    # The checksum's register bit by bit; its complement is the checksum.
+    crc = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))"""
+    parts = [
+        f"""marked AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+        CASE WHEN {crc} & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS other FROM {docs})""",
+        f"hashed AS (SELECT doc_id, tree, {row('text')} AS leaf, {row('other')} AS forged FROM marked)",
+        """a0 AS (SELECT *, leaf AS node, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY tree) AS n FROM hashed)""",
+        "p0 AS (SELECT doc_id, leaf, tree, pos, forged AS folded, '' AS proof FROM a0)",
+    ]
+
+    def climb(nodes: str, paths: str, levels: int) -> None:
+        for k in range(levels):
+            before, after = "array_to_string(kids[:p.pos % 3], '')", "array_to_string(kids[p.pos % 3 + 2:], '')"
+            parts.append(
+                f"{nodes}_kids{k} AS (SELECT tree, pos // 3 AS up, n, list(node ORDER BY pos) AS kids FROM {nodes}{k} GROUP BY ALL)"
+            )
+            parts.append(
+                f"""{nodes}{k + 1} AS (SELECT tree, up AS pos, (n + 2) // 3 AS n,
+                CASE WHEN n > 1 THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS node FROM {nodes}_kids{k})"""
+            )
+            parts.append(
+                f"""{paths}{k + 1} AS (SELECT p.* EXCLUDE (pos, folded, proof), p.pos // 3 AS pos,
+                CASE WHEN n > 1 THEN sha256({before} || folded || {after}) ELSE folded END AS folded,
+                CASE WHEN n > 1 THEN proof || {before} || {after} ELSE proof END AS proof
+                FROM {paths}{k} p JOIN {nodes}_kids{k} k ON k.tree = p.tree AND k.up = p.pos // 3)"""
+            )
+
+    climb("a", "p", depth)
+    parts.append(f"b0 AS (SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, node FROM a{depth})")
+    parts.append(
+        f"""q0 AS (SELECT doc_id, leaf, b0.node AS subroot, 0 AS tree, b0.pos, folded, proof
+        FROM p{depth} p JOIN b0 ON b0.pos = p.tree)"""
+    )
+    climb("b", "q", top)
+    return f"""WITH {", ".join(parts)}
+    SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+    FROM q{top}, b{top}"""
+
+
+@query(manifest_sql("documents", 12, 6))
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proven(table(spark, sf_dir, "documents"))
