@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.llm import (
+    collocations,
     decontaminate,
     embedding,
     merkle,
@@ -168,3 +169,48 @@ def manifest_sql(docs: str, depth: int, top: int) -> str:
 @query(manifest_sql("documents", 12, 6))
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proven(table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), sized AS (
+    SELECT lang, w, i, unnest(range(1, 6)) AS k FROM placed
+), f AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+    FROM sized WHERE i + k - 1 <= len(w) GROUP BY ALL
+), n AS (
+    SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, phrase, string_split(phrase, ' ') AS w, k, f AS a FROM f WHERE k > 1 AND f >= 100
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * a * n.n) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+    JOIN n ON n.lang = c.lang
+), weakest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), kept AS (
+    SELECT * FROM weakest w WHERE NOT EXISTS (
+        SELECT 1 FROM candidates c WHERE c.lang = w.lang AND c.a >= w.a AND c.phrase <> w.phrase
+            AND contains(' ' || c.phrase || ' ', ' ' || w.phrase || ' '))
+)
+SELECT * FROM (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+           n::BIGINT AS n, score::BIGINT AS score
+    FROM kept
+) WHERE rank <= 2000
+"""
+
+
+@query(COLLOCATIONS_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
