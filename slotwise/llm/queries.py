@@ -14,6 +14,7 @@ from slotwise.llm import (
     merkle,
     minhash,
     mixing,
+    neighbours,
     pii,
     secrets,
     suffix,
@@ -214,3 +215,8 @@ SELECT * FROM (
 @query(COLLOCATIONS_SQL)
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))

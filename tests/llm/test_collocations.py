@@ -55,8 +55,8 @@ def made(seed, rows=60):
 @pytest.mark.parametrize("seed", range(3))
 def test_against_a_plain_count(spark, monkeypatch, seed):
     if seed:
-        # Cells and slices of a few entries, and a map in which many hashes meet.
-        for name, value in {"SLICE": 200, "FLUSH": 40, "MERGE": 10, "PART": 50, "BITS": 9 + seed}.items():
+        # Cells of a few entries, and a map in which many hashes meet.
+        for name, value in {"FLUSH": 40, "MERGE": 10, "PART": 50, "BITS": 9 + seed}.items():
             monkeypatch.setattr(collocations, name, value)
     rows = made(seed)
     got = [tuple(r) for r in collocations.collocations(docs(spark, *rows), least=4).collect()]
@@ -110,3 +110,11 @@ def test_words_of_sliced_arrays():
     ids, words, piece = split(texts)
     assert [words[i].as_py() for i in ids] == ["one", "two", "three", "four", "five"]
     assert piece[0] == piece[1] < piece[2] < piece[3] == piece[4]
+
+
+def test_slices_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", 10)
+    texts = ["abc", "x" * 50, "", None, "de fg", "hi", "klm no"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a", "a", "a", "a", "a"]), pa.array(texts)], names=["lang", "text"])
+    held = [(lang, part.to_pylist()) for lang, part in collocations.slices(batch)]
+    assert held == [("a", ["abc", "", "de fg"]), ("a", ["hi", "klm no"]), ("b", ["x" * 50])]
