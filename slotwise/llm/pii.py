@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,20 +122,22 @@ DIGITS = {
 _DIGIT = "|".join(sorted(DIGITS, key=len, reverse=True))
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT, _DOT = r"(?:at|@|arroba|chez)", r"(?:dot|d0t|\.|punkt|point|punto)"
-# Rewriting rules in order; each is (pattern, what it becomes).
+# Rewriting rules in order; each is (pattern, what it becomes, whether the blanks around it go too).
 RULES = (
-    (re.compile(rf"\s*{_OPEN}\s*{_AT}\s*{_CLOSE}\s*", re.I), "@"),
-    (re.compile(rf"\s*{_OPEN}\s*{_DOT}\s*{_CLOSE}\s*", re.I), "."),
+    (re.compile(rf"{_OPEN}\s*+{_AT}\s*+{_CLOSE}", re.I), "@", True),
+    (re.compile(rf"{_OPEN}\s*+{_DOT}\s*+{_CLOSE}", re.I), ".", True),
     # "name at host dot tld": the words only count together.
-    (re.compile(r"(?<=[A-Za-z0-9])\x20+at\x20+(?=[A-Za-z0-9-]+(?:(?:\x20+dot\x20+|\.)[A-Za-z0-9-]+)*\x20+dot\x20+[A-Za-z])", re.I), "@"),
-    (re.compile(r"(?<=[A-Za-z0-9])\x20+at\x20+(?=[A-Za-z0-9-]+\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk)\b)", re.I), "@"),
-    (re.compile(r"(?<=[A-Za-z0-9])\x20+@\x20*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20+(?=[A-Za-z0-9-]+\.)"), "@"),
+    (re.compile(r"(?<=[A-Za-z0-9])\x20++at\x20++(?=[A-Za-z0-9-]+(?:(?:\x20++dot\x20++|\.)[A-Za-z0-9-]+)*\x20++dot\x20++[A-Za-z])", re.I), "@", False),
+    (re.compile(r"(?<=[A-Za-z0-9])\x20++at\x20++(?=[A-Za-z0-9-]+\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk)\b)", re.I), "@", False),
+    (re.compile(r"(?<=[A-Za-z0-9])\x20++@\x20*+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@\x20++(?=[A-Za-z0-9-]+\.)"), "@", False),
 )
-_DOTS = re.compile(r"(?<=[A-Za-z0-9])\x20+dot\x20+(?=[A-Za-z0-9])", re.I)
-_ONE = rf"(?:(?:double|triple)\x20+)?(?:{_DIGIT}|[0-9]+)\b"
-_RUN = re.compile(rf"(?:\bplus\x20+|\+\x20*)?\b{_ONE}(?:(?:[\x20,-]|\x20?[()]\x20?)*(?:{_ONE}|(?:dot|point|punkt|punto)\b(?=\x20+(?:{_ONE})))){{6,}}", re.I)
+_DOTS = re.compile(r"(?<=[A-Za-z0-9])\x20++dot\x20++(?=[A-Za-z0-9])", re.I)
+# A host with its dots in words or as they are.
+_HOST = re.compile(r"@[A-Za-z0-9-]++(?:(?:\.|\x20++dot\x20++)[A-Za-z0-9-]++)*+", re.I)
+_ONE = rf"(?:(?:double|triple)\x20++)?(?:{_DIGIT}|[0-9]++)\b"
+_RUN = re.compile(rf"(?:\bplus\x20++|\+\x20*+)?\b{_ONE}(?:[\x20,()-]*+(?:{_ONE}|(?:dot|point|punkt|punto)\b(?=\x20++(?:{_ONE})))){{6,}}+", re.I)
 _PIECE = re.compile(rf"(plus|\+)|(?:(double|triple)\x20+)?({_DIGIT}|[0-9]+)\b|(dot|point|punkt|punto)|([()])", re.I)
-_HINT = re.compile(rf"{_OPEN}\s*(?:{_AT}|{_DOT})\s*{_CLOSE}|\x20(?:at|dot)\x20|\x20@|@\x20|\b(?:{_DIGIT})[\x20,-]+(?:{_DIGIT}|[0-9])\b", re.I)
+_HINT = re.compile(rf"{_OPEN}\s*+(?:{_AT}|{_DOT})\s*+{_CLOSE}|\x20(?:at|dot)\x20|\x20@|@\x20|\b(?:{_DIGIT})[\x20,-]++(?:{_DIGIT}|[0-9])\b", re.I)
 
 
 class Traced:
@@ -145,6 +149,15 @@ class Traced:
         self.end = self.start + 1
         self.changed = np.zeros(len(text), bool)
 
+    def plain_characters(self) -> None:
+        """Replaces look-alikes one by one and takes invisible characters out."""
+        hits = [(m.start(), CHARACTERS[ord(m.group())]) for m in _SPECIAL.finditer(self.text)]
+        self.changed[[at for at, _ in hits]] = True
+        left = np.ones(len(self.text), bool)
+        left[[at for at, new in hits if not new]] = False
+        self.text = self.text.translate(CHARACTERS)
+        self.start, self.end, self.changed = self.start[left], self.end[left], self.changed[left]
+
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replaces the disjoint spans; every written character stands for its whole span."""
         if not edits:
@@ -179,6 +192,20 @@ def _spelled(run: str) -> str:
     return "".join(out)
 
 
+def _found(pattern: re.Pattern, text: str, blanks: bool) -> Iterator[Span]:
+    """Matches, with the blanks around them if wanted: from the match outwards, so every blank is looked at once."""
+    last = 0
+    for m in pattern.finditer(text):
+        low, high = m.span()
+        if blanks:
+            while low > last and text[low - 1].isspace():
+                low -= 1
+            while high < len(text) and text[high].isspace():
+                high += 1
+        yield low, high
+        last = high
+
+
 def deobfuscate(text: str) -> Traced | None:
     """The text without its disguises, None if it holds none."""
     special = _SPECIAL.search(text) is not None if not text.isascii() else False
@@ -186,15 +213,17 @@ def deobfuscate(text: str) -> Traced | None:
         return None
     traced = Traced(text)
     if special:
-        traced.rewrite([(m.start(), m.end(), CHARACTERS[ord(m.group())]) for m in _SPECIAL.finditer(text)])
-    for pattern, new in RULES:
-        traced.rewrite([(m.start(), m.end(), new) for m in pattern.finditer(traced.text)])
+        traced.plain_characters()
+    for pattern, new, blanks in RULES:
+        traced.rewrite([(low, high, new) for low, high in _found(pattern, traced.text, blanks)])
     # A dot in words counts only behind an @, or between numbers.
-    edits = []
-    for m in _DOTS.finditer(traced.text):
-        line = traced.text[max(0, m.start() - 200) : m.start()]
-        host = re.search(r"@[A-Za-z0-9-]+(?:(?:\.|\x20+dot\x20+)[A-Za-z0-9-]+)*\Z", line, re.I)
-        numbers = re.search(r"[0-9]{1,3}\Z", line) and traced.text[m.end()].isdigit()
+    edits, text = [], traced.text
+    hosts = deque(m.span() for m in _HOST.finditer(text))
+    for m in _DOTS.finditer(text):
+        while hosts and hosts[0][1] <= m.start():
+            hosts.popleft()
+        host = hosts and hosts[0][0] < m.start()
+        numbers = text[m.start() - 1] in "0123456789" and text[m.end()] in "0123456789"
         if host or numbers:
             edits.append((m.start(), m.end(), "."))
     traced.rewrite(edits)
@@ -210,11 +239,15 @@ def added_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]]
     if traced is None:
         return out
     for kind in KINDS:
+        taken = sorted(base[kind])
         for low, high in FINDERS[kind](traced.text):
-            start, end = int(traced.start[low : high].min()), int(traced.end[low:high].max())
+            start, end = int(traced.start[low:high].min()), int(traced.end[low:high].max())
             written = traced.changed[low:high].any() or end - start != high - low
-            if written and all(end <= s or e <= start for s, e in base[kind] + out[kind]):
+            # Spans taken do not overlap, so only the neighbours can.
+            at = bisect_left(taken, (start, start))
+            if written and (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
                 out[kind].append((start, end))
+                taken.insert(at, (start, end))
     return out
 
 
