@@ -3,7 +3,10 @@
 Reading plans partitions from files and their sizes, parses the header block of each record first and tests
 the predicates Spark pushes down against it; the payload of a record that fails them, or that nobody asked
 for, is stepped over.  Written files hold a gzip member for each header block and each payload, with the
-member's size in an extra field (any gzip reader sees a plain WARC file), so stepping over needs no inflating.
+member's size in an extra field (any gzip reader sees a plain WARC file, though one that opens records by offset finds
+headers and payload in members of their own), so stepping over needs no inflating.  Archives of other writers are read
+through.  An archive that ends inside a record or whose check sums do not fit fails the job; payloads stepped over are
+not checked.
 """
 
 from __future__ import annotations
@@ -175,12 +178,13 @@ class WarcReader(DataSourceReader):
         system, path = _filesystem(self.path)
         infos = system.get_file_info(fs.FileSelector(path, recursive=True))
         named = _manifest(system, path)
+        chosen = None if named is None else set(named)
         files = [
             (x.size, x.path)
             for x in infos
             if x.type == fs.FileType.File
             and x.base_name.endswith((".warc", ".warc.gz"))
-            and (named is None or x.base_name in set(named))
+            and (chosen is None or x.base_name in chosen)
         ]
         out, held, size = [], [], 0
         for n, file in sorted(files, reverse=True):
@@ -228,30 +232,67 @@ def records(source, wanted, payload: bool) -> Iterator[tuple[dict[str, str], byt
         yield from _any_records(io.BufferedReader(stream), wanted, payload)
 
 
+class DamagedArchive(ValueError):
+    """An archive that ends inside a record, or whose check sums do not fit."""
+
+
+def _whole(source, size: int, what: str) -> bytes:
+    data = source.read(size)
+    if len(data) < size:
+        raise DamagedArchive(f"the archive ends inside {what}")
+    return data
+
+
+def _member_size(source) -> int | None:
+    """What is left of the next gzip member behind its header; None at the end."""
+    head = source.read(20)
+    if not head:
+        return None
+    if len(head) < 20 or head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != _EXTRA:
+        raise DamagedArchive("a gzip member without its size")
+    return struct.unpack("<I", head[16:20])[0] - 20
+
+
+def _inflated(source, size: int, what: str) -> bytes:
+    body = _whole(source, size, what)
+    try:
+        data = zlib.decompress(body[:-8], -15)
+    except zlib.error as error:
+        raise DamagedArchive(f"{what} cannot be inflated") from error
+    if struct.unpack("<II", body[-8:]) != (zlib.crc32(data), len(data) & 0xFFFFFFFF):
+        raise DamagedArchive(f"the check sum of {what} does not fit")
+    return data
+
+
 def _own_records(source, wanted, payload: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    while head := source.read(20):
-        (size,) = struct.unpack("<I", head[16:20])
-        headers = parse_headers(zlib.decompress(source.read(size - 20)[:-8], -15))
-        (size,) = struct.unpack("<I", source.read(20)[16:20])
-        if not wanted(headers):
-            source.seek(size - 20, 1)
-        elif not payload:
-            source.seek(size - 20, 1)
-            yield headers, None
+    """Records whose headers and payload are members of known size; a payload stepped over is not checked."""
+    end = source.size()
+    while (size := _member_size(source)) is not None:
+        headers = parse_headers(_inflated(source, size, "headers"))
+        size = _member_size(source)
+        if size is None or source.tell() + size > end:
+            raise DamagedArchive("the archive ends inside a payload")
+        asked = wanted(headers)
+        if asked and payload:
+            yield headers, _inflated(source, size, "a payload")[:-4]
         else:
-            yield headers, zlib.decompress(source.read(size - 20)[:-8], -15)[:-4]
+            source.seek(size, 1)
+            if asked:
+                yield headers, None
 
 
 def _any_records(source, wanted, payload: bool) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    """Records of a file by another writer, compressed or not; an unwanted payload is read past undecoded."""
+    """Records of a file by another writer, compressed or not; an unwanted payload is inflated, but no text is decoded."""
     while line := source.readline():
         if not line.strip():
             continue
         block = [line]
         while (line := source.readline()).strip():
             block.append(line)
+        if not line:
+            raise DamagedArchive("the archive ends inside headers")
         headers = parse_headers(b"".join(block).replace(b"\r\n", b"\n").replace(b"\n", b"\r\n"))
-        data = source.read(int(headers.get("content-length", "0")))
+        data = _whole(source, int(headers.get("content-length", "0")), "a payload")
         if wanted(headers):
             yield headers, data if payload else None
 
