@@ -9,6 +9,7 @@ document throughout (slot consistency); windows that conflict with the others ar
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -16,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import stored
+from slotwise.llm.common import fresh, stored
 from slotwise.operators.sizing import broadcast_if_small
 
 # Template words in a window, and how many of them have to be words rather than placeholders: with fewer it is longer.
@@ -176,8 +177,17 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def text_key(text: str) -> bytes:
+    """What names a text, as :func:`key_of` does in Spark: an id may be missing or stand for several rows."""
+    return hashlib.sha256(text.encode()).digest()
+
+
+def key_of(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def _lookup(index: np.ndarray, sizes: list[int], most: int):
-    """Finds the windows of documents among the sorted hashes ``index``: (row, hash, size, at, slots).
+    """Finds the windows of documents among the sorted hashes ``index``: (doc_id, text_key, hash, size, at, slots).
 
     ``sizes`` are those of windows up to WINDOW, ``most`` is that of the longest."""
 
@@ -192,6 +202,7 @@ def _lookup(index: np.ndarray, sizes: list[int], most: int):
             out: list[tuple] = []
             for row, text in zip(*batch.columns, strict=True):
                 hashes, kinds = canonical.words(text.as_py())
+                begun = len(out)
                 if most > WINDOW:
                     values, start, end = longer(template(hashes, kinds), kinds == WORD, most)
                     maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)])
@@ -200,7 +211,7 @@ def _lookup(index: np.ndarray, sizes: list[int], most: int):
                     for i in maybe[index[place] == signed].tolist():
                         at, to = int(start[i]), int(end[i])
                         slots = hashes[at:to][kinds[at:to] != WORD].view(np.int64).tolist()
-                        out.append((row.as_py(), int(values[i].view(np.int64)), to - at, at, slots))
+                        out.append((int(values[i].view(np.int64)), to - at, at, slots))
                 for size in sizes:
                     for values, enough, slot in _forms(hashes, kinds, size):
                         maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)] & enough)
@@ -211,12 +222,15 @@ def _lookup(index: np.ndarray, sizes: list[int], most: int):
                         for at in maybe[index[place] == signed].tolist():
                             inside = slice(at, at + size)
                             slots = hashes[inside][slot[inside]].view(np.int64).tolist()
-                            out.append((row.as_py(), int(values[at].view(np.int64)), size, at, slots))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+                            out.append((int(values[at].view(np.int64)), size, at, slots))
+                if len(out) > begun:
+                    named = (row.as_py(), text_key(text.as_py()))
+                    out[begun:] = [(*named, *found) for found in out[begun:]]
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["doc_id", "hash", "size", "at", "slots"],
+                names=["doc_id", "text_key", "hash", "size", "at", "slots"],
             )
 
     return find
@@ -247,12 +261,12 @@ def consistent(pairs: list[tuple[list[int], list[int]]]) -> tuple[bool, int]:
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, item_id, windows, covered, words, changed) of matches collected by diagonal.
+    """(doc_id, text_key, item_id, windows, covered, words, changed) of matches collected by diagonal.
 
     Windows whose slots conflict with the others are left out; those without slots never do."""
     for batch in batches:
         out = []
-        for doc, item, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc, key, item, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             there = agreed([(m["item_slots"], m["slots"]) for m in matches])
             matches = [m for m in matches if agrees(m["item_slots"], m["slots"], there)]
             size_of = defaultdict(int)
@@ -263,22 +277,15 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 covered[at : at + size] = True
             _, changed = consistent([(m["item_slots"], m["slots"]) for m in matches])
             if matches:
-                out.append((doc, item, len(size_of), int(covered.sum()), words, changed))
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        names = ["doc_id", "item_id", "windows", "covered", "words", "changed"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+                out.append((doc, key, item, len(size_of), int(covered.sum()), words, changed))
+        columns = list(zip(*out, strict=True)) or [[]] * 7
+        names = ["doc_id", "text_key", "item_id", "windows", "covered", "words", "changed"]
+        types = [pa.binary() if n == "text_key" else pa.int64() for n in names]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, windows, covered, words, changed_slots): the items each document holds.
-
-    ``covered`` of the item's ``words`` lie in windows found on one alignment of item and document; the best
-    alignment counts.  A pair is reported if that is at least LEAST_SHARE of the item or LEAST_RUN words.
-
-    Defined for: null texts (as empty), empty texts and items (hold nothing), items shorter than a window (one
-    window), very long texts (whole), repeated rows (rows of one doc_id are one document), null ids (dropped:
-    they name nothing), empty tables (no rows), other columns (ignored).
-    """
+def _held(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc_id, text_key, item_id, best) of each text that holds an item; None where the benchmark is empty."""
     items = stored(
         benchmark.where("item_id is not null")
         .select(F.col("item_id").cast("long"), "text")
@@ -286,7 +293,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "decontaminate-items",
     )
     # The benchmark may be of any size: it is looked up in blocks of bounded size, each a pass over the documents.
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
     total = items.agg(F.count("*")).first()[0]
     blocks = max(1, -(-total // BLOCK))
     sizes = [r["size"] for r in items.select("size").distinct().orderBy("size").collect()]
@@ -297,35 +304,52 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if not len(index):
             continue
         found = stored(
-            texts.mapInArrow(_lookup(index, [x for x in sizes if x <= WINDOW], sizes[-1]), "doc_id long, hash long, size int, at int, slots array<long>"),
+            texts.mapInArrow(_lookup(index, [x for x in sizes if x <= WINDOW], sizes[-1]), "doc_id long, text_key binary, hash long, size int, at int, slots array<long>"),
             "decontaminate-hits",
         )
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
-        return items.select(
-            F.col("item_id").alias("doc_id"), "item_id", *[F.col("item_id").alias(n) for n in ("windows", "covered", "words", "changed_slots")]
-        ).limit(0)
+        return None
     wanted = items.select(
         "hash", "size", "item_id", F.col("at").alias("item_at"), "words", F.col("slots").alias("item_slots")
     )
     aligned = (
         hits.join(wanted.hint("merge"), ["hash", "size"])
         .withColumn("diagonal", F.col("at") - F.col("item_at"))
-        .groupBy("doc_id", "item_id", "diagonal")
+        .groupBy("doc_id", "text_key", "item_id", "diagonal")
         .agg(
             F.first("words").alias("words"),
             # An alignment holds each window of one item in at most two forms, and one from each start and to each end.
             F.collect_set(F.struct("item_at", "size", "item_slots", "slots")).alias("matches"),
         )
     )
-    judged = aligned.select("doc_id", "item_id", "words", "matches").mapInArrow(
-        _judge, "doc_id long, item_id long, windows long, covered long, words long, changed long"
+    judged = aligned.select("doc_id", "text_key", "item_id", "words", "matches").mapInArrow(
+        _judge, "doc_id long, text_key binary, item_id long, windows long, covered long, words long, changed long"
     )
-    best = judged.groupBy("doc_id", "item_id").agg(
+    best = judged.groupBy("doc_id", "text_key", "item_id").agg(
         F.max(F.struct("covered", "windows", (-F.col("changed")).alias("same"), "words")).alias("best")
     )
     enough = (F.col("best.covered") >= LEAST_SHARE * F.col("best.words")) | (F.col("best.covered") >= LEAST_RUN)
-    return best.where(enough).select(
+    return best.where(enough)
+
+
+def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, windows, covered, words, changed_slots): the items each document holds.
+
+    ``covered`` of the item's ``words`` lie in windows found on one alignment of item and document; the best
+    alignment counts.  A pair is reported if that is at least LEAST_SHARE of the item or LEAST_RUN words.
+
+    Defined for: null texts (as empty), empty texts and items (hold nothing), items shorter than a window (one
+    window), very long texts (whole), repeated rows and rows that share an id (each text is judged by itself; of an
+    id the best counts), null ids (searched like others, reported as null), items without an id (dropped: they name
+    nothing), empty tables (no rows), other columns (ignored).
+    """
+    found = _held(docs, benchmark)
+    if found is None:
+        none = "doc_id long, item_id long, windows long, covered long, words long, changed_slots long"
+        return docs.sparkSession.createDataFrame([], none)
+    best = found.groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
+    return best.select(
         "doc_id",
         "item_id",
         F.col("best.windows").alias("windows"),
@@ -336,6 +360,13 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; columns stay as they are."""
-    held = stored(find(docs, benchmark).select(F.col("doc_id").alias("__held")).distinct(), "decontaminate-held")
-    return docs.join(broadcast_if_small(held), docs["doc_id"] == F.col("__held"), "left_anti")
+    """``docs`` without the documents that hold a benchmark item; columns stay as they are.
+
+    Rows are judged by their text: those without an id or with another's go or stay like any other.
+    """
+    found = _held(docs, benchmark)
+    if found is None:
+        return docs
+    name = fresh(docs, "held")
+    held = stored(found.select(F.col("text_key").alias(name)).distinct(), "decontaminate-held")
+    return docs.join(broadcast_if_small(held), key_of(docs["text"]) == F.col(name), "left_anti")

@@ -19,7 +19,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import stored
+from slotwise.llm.common import fresh, stored
 
 # At most so many labelled documents are fitted on: the least by hash of their id.
 SAMPLE = 16_000
@@ -152,7 +152,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         .select(F.col("doc_id").alias("__id"), F.col("label").alias("__label"), F.pmod("h", F.lit(10)).alias("__part"))
     )
     known = stored(known, "toxicity-ids")
-    return docs.join(F.broadcast(known), docs["doc_id"] == F.col("__id")).select(
+    texts = docs.select("doc_id", "text")
+    return texts.join(F.broadcast(known), F.col("doc_id") == F.col("__id")).select(
         "text", F.col("__label").alias("label"), F.col("__part").alias("part")
     )
 
@@ -188,20 +189,23 @@ class Model:
 
     def score(self, docs: DataFrame, name: str) -> DataFrame:
         """``docs`` with the column ``name``: the calibrated probability of label 1."""
+        # Own names for the given columns: the fitted models add theirs.
+        given = docs.toDF(*[f"given{i}" for i in range(len(docs.columns))])
+        text = F.col(f"given{docs.columns.index('text')}")
         if self.trees is None:
-            return docs.withColumn(name, F.lit(self.rate))
-        given = docs.withColumn("__features", array_to_vector(_vectors(self.features)(F.col("text"))))
-        scored = self.trees.transform(given).withColumn("__margin", vector_to_array("__raw")[1])
-        # The logistic of the margin keeps the order inside a step of the calibration.
-        order = 1 / (1 + F.exp(-2 * F.col("__margin")))
-        if self.calibration is None:
-            probability = order
+            scored, probability = given, F.lit(self.rate)
         else:
-            scored = self.calibration.transform(scored)
-            probability = 0.999 * F.col("__calibrated") + 0.001 * order
-        return scored.withColumn(name, F.least(F.lit(1.0), F.greatest(F.lit(0.0), probability))).select(
-            *[F.col(f"`{c}`") for c in docs.columns if c != name], name
-        )
+            vectors = given.withColumn("__features", array_to_vector(_vectors(self.features)(text)))
+            scored = self.trees.transform(vectors).withColumn("__margin", vector_to_array("__raw")[1])
+            # The logistic of the margin keeps the order inside a step of the calibration.
+            order = 1 / (1 + F.exp(-2 * F.col("__margin")))
+            if self.calibration is None:
+                probability = order
+            else:
+                scored = self.calibration.transform(scored)
+                probability = 0.999 * F.col("__calibrated") + 0.001 * order
+        kept = [F.col(f"given{i}").alias(c) for i, c in enumerate(docs.columns) if c != name]
+        return scored.select(*kept, F.least(F.lit(1.0), F.greatest(F.lit(0.0), probability)).alias(name))
 
 
 def _vectors(features: Features):
@@ -295,4 +299,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows scored ``threshold`` or more; columns stay as they are."""
-    return fit(docs, labels).score(docs, "__score").where(F.col("__score") < threshold).drop("__score")
+    name = fresh(docs, "score")
+    return fit(docs, labels).score(docs, name).where(F.col(name) < threshold).drop(name)
