@@ -5,7 +5,8 @@ the phrases that can be frequent, their parts being so, in summaries by hash par
 counts per partition.  Cells of a partition are merged into one Misra-Gries summary whose capacity exceeds the
 partition's mass divided by the threshold, so the counts it takes off never reach the threshold and every
 frequent phrase survives.  Survivors become a bit map of bounded size, and a last pass counts the phrases that pass
-it exactly, by their words; hashes that meet only let a rare phrase through to that count.
+it exactly, by their words, in cells of the same partitions; hashes that meet only let a rare phrase through to that
+count.  There are as many partitions as the corpus fills, so a cell and what a task merges stay of one size.
 """
 
 from __future__ import annotations
@@ -154,8 +155,17 @@ def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Numbers of 64 bits byte by byte, all lowest bytes first: the upper bytes of small ones compress to nothing."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def of_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def _summaries(frequent, pairs, longest: int, part_bits: int):
-    """(part, hashes, counts, mass): the cells of a task's summaries.  Without ``pairs`` they count phrases of two words,
+    """(part, hashes, counts): the cells of a task's summaries.  Without ``pairs`` they count phrases of two words,
     with it longer ones."""
 
     def cells(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -167,11 +177,10 @@ def _summaries(frequent, pairs, longest: int, part_bits: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(part[a]) for a, _ in runs], pa.int64()),
-                    pa.array([hashes[a:b].tobytes() for a, b in runs], pa.binary()),
-                    pa.array([counts[a:b].tobytes() for a, b in runs], pa.binary()),
-                    pa.array([int(counts[a:b].sum()) for a, b in runs], pa.int64()),
+                    pa.array([planes(np.diff(hashes[a:b], prepend=np.uint64(0))) for a, b in runs], pa.binary()),
+                    pa.array([planes(counts[a:b]) for a, b in runs], pa.binary()),
                 ],
-                names=["part", "hashes", "counts", "mass"],
+                names=["part", "hashes", "counts"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,33 +216,28 @@ def merge(hashes: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.nda
 def _merged(least: int, n: int, part_bits: int):
     """(part, bits) of one partition's survivors."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(cells: pa.Table) -> pa.Table:
+        # A partition holds about PART occurrences, whatever the size of the corpus.
+        held = [(np.cumsum(of_planes(h), dtype=np.uint64), of_planes(c).view(np.int64)) for h, c in zip(cells["hashes"].to_pylist(), cells["counts"].to_pylist(), strict=True)]
+        capacity = sum(int(c.sum()) for _, c in held) // least + 1
         hashes, counts, lost = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        waiting, size, part = [], 0, None
-        for batch in batches:
-            for key, h, c, whole in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                part, capacity = key, whole // least + 1
-                waiting.append((np.frombuffer(h, np.uint64), np.frombuffer(c, np.int64)))
-                size += len(waiting[-1][0])
-                if size > max(MERGE, 4 * capacity):
-                    hashes, counts, taken = merge(
-                        np.concatenate([hashes, *[h for h, _ in waiting]]), np.concatenate([counts, *[c for _, c in waiting]]), capacity
-                    )
-                    lost, waiting, size = lost + taken, [], 0
-        if waiting:
-            hashes, counts, taken = merge(
-                np.concatenate([hashes, *[h for h, _ in waiting]]), np.concatenate([counts, *[c for _, c in waiting]]), capacity
-            )
-            lost += taken
+        waiting, size = [], 0
+        for i, cell in enumerate(held):
+            waiting.append(cell)
+            size += len(cell[0])
+            if size > max(MERGE, 4 * capacity) or i == len(held) - 1:
+                together = [np.concatenate([kept, *[w[j] for w in waiting]]) for j, kept in enumerate((hashes, counts))]
+                hashes, counts, taken = merge(*together, capacity)
+                lost, waiting, size = lost + taken, [], 0
         # A phrase was counted at most ``lost`` times more than its counter says.
         kept = packed_bits(hashes[counts + lost >= least], n, part_bits)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([kept], pa.binary())], names=["part", "bits"])
+        return pa.table({"part": cells["part"].slice(0, 1), "bits": pa.array([kept], pa.binary())})
 
     return run
 
 
-def _count_phrases(frequent, pairs, more, longest: int):
-    """(lang, phrase, f) of the phrases in the bit maps, by slice; equal phrases are told by their words."""
+def _count_phrases(frequent, pairs, more, longest: int, part_bits: int):
+    """(part, lang, phrases, counts) of the phrases in the bit maps, by slice; equal phrases are told by their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, two, rest = frequent.value, pairs.value, more.value
@@ -245,7 +249,7 @@ def _count_phrases(frequent, pairs, more, longest: int):
                     if n > 2:
                         # Both shorter phrases inside a frequent one passed as well.
                         kept = (before[at] >= 0) & (before[at + 1] >= 0) & rest.has(h)
-                        at = at[kept]
+                        at, h = at[kept], h[kept]
                     # The same start and last word make the same phrase: numbers stay small and exact.
                     start = ids[at] if n == 2 else before[at]
                     distinct, first, which, counts = np.unique(
@@ -254,15 +258,39 @@ def _count_phrases(frequent, pairs, more, longest: int):
                     before = np.full(len(ids) + 1, -1, np.int64)
                     before[at] = which
                     if len(distinct):
-                        parts = [dictionary.take(pa.array(ids[at[first] + i])) for i in range(n)]
-                        phrase = pc.binary_join_element_wise(*parts, " ")
+                        part = (h[first] >> np.uint64(64 - part_bits)).astype(np.int64)
+                        order = np.argsort(part, kind="stable")
+                        chosen = at[first][order]
+                        parts = [dictionary.take(pa.array(ids[chosen + i])) for i in range(n)]
+                        lows = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0])
+                        edges = pa.array(np.append(lows, len(order)), pa.int32())
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(distinct)), phrase, pa.array(counts)], names=["lang", "phrase", "f"]
+                            [
+                                pa.array(part[order][lows]),
+                                pa.array([lang] * len(lows)),
+                                pa.ListArray.from_arrays(edges, pc.binary_join_element_wise(*parts, " ")),
+                                pa.ListArray.from_arrays(edges, pa.array(counts[order])),
+                            ],
+                            names=["part", "lang", "phrases", "counts"],
                         )
 
     return run
 
 
+def _exact(least: int):
+    """(lang, phrase, f) of a partition's phrases that occur ``least`` times."""
+
+    def run(cells: pa.Table) -> pa.Table:
+        sizes = pc.list_value_length(cells["phrases"]).to_numpy()
+        lang = cells["lang"].take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        flat = pa.table({"lang": lang, "phrase": pc.list_flatten(cells["phrases"]), "f": pc.list_flatten(cells["counts"])})
+        whole = flat.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        whole = whole.filter(pc.greater_equal(whole["f_sum"], least))
+        return pa.table({"lang": whole["lang"], "phrase": whole["phrase"], "f": whole["f_sum"]})
+
+    return run
+
+
 COUNTED = "lang string, phrase string, f long"
 
 
@@ -308,18 +336,15 @@ ITERATED = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBat
 
 def _survivors(texts: DataFrame, frequent, pairs, mass: int, least: int, longest: int, purpose: str):
     """The broadcast bit map of phrases that may reach ``least``."""
-    spark = texts.sparkSession
-    part_bits = max(3, math.ceil(math.log2(max(1, mass / PART))))
+    part_bits = _part_bits(mass)
     n = max(part_bits + 3, _bits_for(mass // least + 1))
-    cells = stored(
-        texts.mapInArrow(_summaries(frequent, pairs, longest, part_bits), "part long, hashes binary, counts binary, mass long"),
-        purpose,
-    )
-    whole = cells.groupBy("part").agg(F.sum("mass").alias("whole"))
-    merged = _merged(least, n, part_bits)
-    merged.__annotations__ = ITERATED
-    grouped = cells.drop("mass").join(whole.hint("merge"), "part").groupBy("part")
-    return _gathered(spark, grouped.applyInArrow(merged, "part long, bits binary"), n, part_bits)
+    cells = texts.mapInArrow(_summaries(frequent, pairs, longest, part_bits), "part long, hashes binary, counts binary")
+    merged = cells.groupBy("part").applyInArrow(_merged(least, n, part_bits), "part long, bits binary")
+    return _gathered(texts.sparkSession, stored(merged, purpose), n, part_bits)
+
+
+def _part_bits(mass: int) -> int:
+    return max(3, math.ceil(math.log2(max(1, mass / PART))))
 
 
 def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -336,8 +361,11 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     frequent = _word_map(spark, often, count)
     pairs = _survivors(texts, frequent, None, mass, least, longest, "phrase-pairs")
     more = _survivors(texts, frequent, pairs, mass * max(1, longest - 2), least, longest, "phrase-cells")
-    found = texts.mapInArrow(_count_phrases(frequent, pairs, more, longest), COUNTED)
-    exact = found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    part_bits = _part_bits(mass)
+    cells = texts.mapInArrow(
+        _count_phrases(frequent, pairs, more, longest, part_bits), "part long, lang string, phrases array<string>, counts array<long>"
+    )
+    exact = cells.groupBy("part").applyInArrow(_exact(least), COUNTED)
     return often.unionByName(stored(exact, "phrase-counts")), totals
 
 
