@@ -63,9 +63,9 @@ def view_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.view_time_histogram(log, schedule, seconds_dim(schedule))
 
 
-@query(
-    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES},
-    first_orders AS (
+# The same for sessions that order after their first second.
+ORDER_TIMES = """
+    WITH first_orders AS (
         SELECT log_dt AS day, pn AS channel, sid AS viewer, start_time AS ordered FROM session_log
         WHERE ec_type IN ('begin_checkout', 'checkout_progress')
         QUALIFY row_number() OVER (PARTITION BY log_dt, pn, sid ORDER BY start_time) = 1),
@@ -75,7 +75,9 @@ def view_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHERE came IN (SELECT dhms FROM seconds_dim))
     SELECT bd_date, bd_btime, tape_code, base_mi, label AS dif_order_time_cd, count(*) AS order_cnt
     FROM waits JOIN classes ON waited >= low AND waited < high WHERE waited > 0 GROUP BY ALL"""
-)
+
+
+@query(f"{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES}, counted AS ({ORDER_TIMES}) SELECT * FROM counted")
 def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, schedule = log_and_schedule(spark, sf_dir)
     return sessions.order_time_histogram(log, schedule, seconds_dim(schedule))
@@ -153,6 +155,28 @@ def airing_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(live.airing_viewers(t.frames(e), t.programmes(e), viewers, AS_OF))
 
 
+def viewers_tick(at: str, day: str) -> str:
+    """The statistic of one tick that looks an hour back, stated anew from single events."""
+    return f"""
+    SELECT TIMESTAMP '{at}' AS init_date, f.tape_code, 'DA001' AS data_type, f.bd_btime,
+           CAST(coalesce(sum(v.n), 0) AS DOUBLE) AS data_value
+    FROM frames f
+    LEFT JOIN (
+        SELECT pn, count(*) AS n FROM (
+            SELECT pn, uid FROM connection_log WHERE log_time >= TIMESTAMP '{at}' - INTERVAL 1 HOUR AND log_time < TIMESTAMP '{at}'
+            EXCEPT
+            SELECT d.pn, d.uid FROM connection_log d
+            WHERE d.status = 'disconnect' AND d.log_time >= TIMESTAMP '{at}' - INTERVAL 1 HOUR AND d.log_time < TIMESTAMP '{at}'
+              AND NOT EXISTS (
+                SELECT 1 FROM connection_log k
+                WHERE k.pn = d.pn AND k.uid = d.uid AND k.status = 'connect' AND k.st > d.st
+                  AND k.log_time >= TIMESTAMP '{at}' - INTERVAL 1 HOUR AND k.log_time < TIMESTAMP '{at}'))
+        GROUP BY pn) v ON v.pn = f.media_code
+    WHERE f.bd_date BETWEEN DATE '{day}' - 1 AND DATE '{day}' AND f.bd_btime = (
+        SELECT max(bd_btime) FROM programmes WHERE bd_date BETWEEN DATE '{day}' - 1 AND DATE '{day}' AND bd_btime <= TIMESTAMP '{at}')
+    GROUP BY f.tape_code, f.bd_btime"""
+
+
 # Every single order beside every airing of its goods.
 SALES = """
     sales AS (

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from registry.analytics import CLASSES, VIEW_TIMES, WATCHED, log_and_schedule, seconds_dim
+from registry.analytics import CLASSES, ORDER_TIMES, VIEW_TIMES, WATCHED, log_and_schedule, seconds_dim, viewers_tick
 from registry.common import AS_OF, DAY, plain, query
 from slotwise import testmap as t
 from slotwise.functions.timeops import since_previous_month, trailing_minutes
 from slotwise.operators.extract import extract_snapshot, extract_window
-from slotwise.operators.sessions import view_time_histogram
+from slotwise.operators.sessions import order_time_histogram, view_time_histogram
 from slotwise.operators.upsert import replace_day as replace_day_rows
 from slotwise.operators.upsert import replace_range as replace_range_rows
 from slotwise.operators.upsert import upsert_by_key as upsert_rows
@@ -161,6 +161,21 @@ def run_view_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table, stale.schema)
 
 
+@query(
+    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES}, counted AS ({ORDER_TIMES})
+    SELECT * REPLACE (CASE WHEN bd_date = DATE '2024-01-15' THEN order_cnt ELSE 0 END AS order_cnt) FROM counted"""
+)
+def run_order_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the time to the first order."""
+    log, schedule = log_and_schedule(spark, sf_dir)
+    seconds = seconds_dim(schedule)
+    stale = order_time_histogram(log, schedule, seconds).withColumn("order_cnt", F.lit(0).cast("bigint"))
+    table = new_folder(spark, "order-times")
+    overwrite_table(stale, table, "bd_date")
+    analytics.run_order_times(log, schedule, seconds, table, DAY)
+    return read_table(spark, table, stale.schema)
+
+
 def _live_sql(again: str) -> str:
     return f"""{t.with_sql('order_lines', 'programmes')},
     airings AS (SELECT DISTINCT bd_btime, tape_code, goods_code, media_code FROM programmes
@@ -178,7 +193,7 @@ def _live_sql(again: str) -> str:
 def _two_ticks(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     e = t.events(spark, sf_dir)
     table = new_folder(spark, "live-stat")
-    create_table(spark, table, schemas.LIVE_STAT, analytics.STAT_PARTITION)
+    create_table(spark, table, schemas.LIVE_STAT_TABLE, analytics.STAT_PARTITION)
     for _ in range(2):
         analytics.run_live_revenue(t.order_lines(e), t.programmes(e), table, AS_OF, mode)
     return plain(read_table(spark, table, schemas.LIVE_STAT))
@@ -196,6 +211,29 @@ def run_live_revenue_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_ticks(spark, sf_dir, "upsert")
 
 
+TODAY, YESTERDAY = viewers_tick("2024-01-15 12:00:00", "2024-01-15"), viewers_tick("2024-01-14 12:00:00", "2024-01-14")
+TICK_TABLES = t.with_sql("connection_log", "programmes", "frames")
+
+
+def _viewer_ticks(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """A tick of the day before, and today's twice."""
+    e, table = t.events(spark, sf_dir), new_folder(spark, "live-stat")
+    create_table(spark, table, schemas.LIVE_STAT_TABLE, analytics.STAT_PARTITION)
+    for at in (AS_OF - timedelta(days=1), AS_OF, AS_OF):
+        analytics.run_live_viewers(t.connection_log(e), t.frames(e), t.programmes(e), table, at, mode)
+    return plain(read_table(spark, table, schemas.LIVE_STAT))
+
+
+@query(f"{TICK_TABLES} {YESTERDAY} UNION ALL {TODAY} UNION ALL {TODAY}")
+def run_live_viewers_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _viewer_ticks(spark, sf_dir, "append")
+
+
+@query(f"{TICK_TABLES} {YESTERDAY} UNION ALL {TODAY}")
+def run_live_viewers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _viewer_ticks(spark, sf_dir, "upsert")
+
+
 @query(
     f"""{t.with_sql('session_log')}
     SELECT * FROM session_log

@@ -15,31 +15,31 @@ from slotwise.functions.timeops import event_time, wall_clock
 from slotwise.operators.live import active_from_minutes
 from slotwise.sources import schemas
 from slotwise.sources.scratch import new_folder
+from slotwise.sources.tables import read_table
 from slotwise.sources.writers import export_csv
 from slotwise.streaming import arrival, live
 
 EVERY = "10 minutes"
 
-# Ticks every ten minutes whose window has closed: the watermark is one minute behind the last
-# event.
+# Every tick of ten minutes that the watermark, a minute behind the last event, has passed: the users heard of in the
+# hour before it, without those who left in it and did not come back.
 TICKS_SQL = """
-    closed AS (SELECT max(ts) - INTERVAL 1 MINUTE AS mark FROM events),
-    spread AS (
-        SELECT c.*, unnest(range(
-                   time_bucket(INTERVAL 10 MINUTE, log_time) + INTERVAL 10 MINUTE,
-                   time_bucket(INTERVAL 10 MINUTE, log_time) + INTERVAL 70 MINUTE,
-                   INTERVAL 10 MINUTE)) AS as_of
-        FROM connection_log c),
-    latest AS (
-        SELECT as_of, pn AS media_code, uid,
-               max(CASE WHEN status = 'connect' THEN st END) AS last_connect,
-               max(CASE WHEN status = 'disconnect' THEN st END) AS last_disconnect
-        FROM spread WHERE as_of <= (SELECT mark FROM closed)
-        GROUP BY as_of, pn, uid),
+    ticks AS (
+        SELECT DISTINCT unnest(range(
+            time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE, time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 70 MINUTE,
+            INTERVAL 10 MINUTE)) AS as_of
+        FROM events),
+    heard AS (
+        SELECT as_of, c.* FROM ticks JOIN connection_log c
+          ON c.log_time < as_of AND c.log_time >= as_of - INTERVAL 1 HOUR
+        WHERE as_of + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events)),
+    gone AS (
+        SELECT as_of, pn, uid FROM heard d WHERE status = 'disconnect' AND NOT EXISTS (
+            SELECT 1 FROM heard k
+            WHERE k.as_of = d.as_of AND k.pn = d.pn AND k.uid = d.uid AND k.status = 'connect' AND k.st > d.st)),
     viewers AS (
-        SELECT as_of, media_code, count(DISTINCT uid) AS unique_viewers FROM latest
-        WHERE last_disconnect IS NULL OR last_connect > last_disconnect
-        GROUP BY as_of, media_code)"""
+        SELECT as_of, pn AS media_code, count(*) AS unique_viewers
+        FROM (SELECT as_of, pn, uid FROM heard EXCEPT SELECT as_of, pn, uid FROM gone) GROUP BY as_of, pn)"""
 
 
 def _viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,15 +120,15 @@ def stream_airing_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_airing_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t.order_lines(t.stream(spark, sf_dir)).withColumn("order_at", event_time("order_date"))
-    revenue = live.stream_revenue(orders, t.programmes(t.events(spark, sf_dir)))
-    out = new_folder(spark, "revenue")
+    programmes = t.programmes(t.events(spark, sf_dir))
+    store = new_folder(spark, "revenue")
     run = (
-        live.write_revenue(revenue, out, new_folder(spark, "revenue-checkpoint"))
+        live.write_revenue(live.stream_order_sums(orders), programmes, store, new_folder(spark, "revenue-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
     run.awaitTermination()
-    return plain(live.newest_totals(spark.read.parquet(out)))
+    return plain(read_table(spark, f"{store}/stats", schemas.LIVE_STAT))
 
 
 @query(RATINGS_SQL)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.functions.timeops import bound_for
-from slotwise.operators.sizing import broadcast_if_small
+from slotwise.operators.sizing import stored_side
 
 
 def delete_by_key(
@@ -21,13 +21,13 @@ def delete_by_key(
 ) -> DataFrame:
     """Target rows whose key is not in ``work``.
 
-    Only the distinct keys of ``work`` take part.  When they have been measured to fit they are
-    broadcast and the target is filtered in place, without a shuffle; beyond that the anti join
-    shuffles both sides, and adaptive execution splits a hot target key.
+    Only the distinct keys of ``work`` take part; they are stored once, and measured as they are written.  If
+    they fit they are broadcast and the target is filtered in place, without a shuffle; beyond that the
+    anti join shuffles both sides, and adaptive execution splits a hot target key.
     """
     key = [key] if isinstance(key, str) else list(key)
     keys = work.select(*key).dropna().distinct()
-    return target.join(broadcast_if_small(keys, broadcast_limit), on=key, how="left_anti")
+    return target.join(stored_side(keys, "upsert-keys", broadcast_limit), on=key, how="left_anti")
 
 
 def upsert_by_key(
@@ -63,11 +63,14 @@ def replace_range(
     """
     inside = in_range(target, column, low, high)
     kept = target.where(~inside | F.col(column).isNull())
-    fits = in_range(rows, column, low, high)
-    if refuse_outside:
-        refused = F.raise_error(F.lit(f"a row lies outside [{low}, {high}) of {column}")).cast("boolean")
-        fits = F.when(fits, F.lit(True)).otherwise(refused)
-    return kept.unionByName(rows.where(fits).select(*target.columns))
+    coming = refuse_rows_outside(rows, column, low, high) if refuse_outside else rows.where(in_range(rows, column, low, high))
+    return kept.unionByName(coming.select(*target.columns))
+
+
+def refuse_rows_outside(rows: DataFrame, column: str, low: datetime, high: datetime) -> DataFrame:
+    """``rows``, failing on one outside ``[low, high)`` or without a time."""
+    refused = F.raise_error(F.lit(f"a row lies outside [{low}, {high}) of {column}")).cast("boolean")
+    return rows.where(F.when(in_range(rows, column, low, high), F.lit(True)).otherwise(refused))
 
 
 def in_range(df: DataFrame, column: str, low: datetime, high: datetime) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from slotwise.operators.live import (
     STAT,
@@ -15,10 +16,12 @@ from slotwise.operators.live import (
     revenue_stats,
 )
 from slotwise.operators.sessions import order_time_histogram, view_time_histogram
-from slotwise.sources.schemas import LIVE_STAT
+from slotwise.sources.schemas import LIVE_STAT_TABLE
 from slotwise.sources.tables import append_table, replace_day_in_table, upsert_table
+from slotwise.sources.versions import Change
 
-STAT_PARTITION = "data_type"
+# A tick touches the rows of its own day only.
+STAT_PARTITION = ("data_type", "init_day")
 
 
 def run_view_times(log: DataFrame, schedule: DataFrame, seconds_dim: DataFrame, table: str, day: date) -> None:
@@ -49,14 +52,14 @@ def run_live_revenue(
     store_stats(revenue_stats(airing_revenue(orders, programmes, now)), table, mode)
 
 
-def store_stats(stats: DataFrame, table: str, mode: str = "append") -> None:
-    """All rows of a tick in one write."""
-    stats = stats.select(*STAT)
+def store_stats(stats: DataFrame, table: str, mode: str = "append", change: Change | None = None) -> None:
+    """All rows of a tick in one write, in a table of ``LIVE_STAT_TABLE`` partitioned by ``STAT_PARTITION``."""
+    stats = stats.select(*STAT, F.col("init_date").cast("date").alias("init_day"))
     if mode == "append":
-        append_table(stats, table, STAT_PARTITION)
+        append_table(stats, table, STAT_PARTITION, change)
     elif mode == "upsert":
         upsert_table(
-            stats.sparkSession, table, LIVE_STAT, stats, STAT_KEY, STAT_PARTITION, key_in_partition=True
+            stats.sparkSession, table, LIVE_STAT_TABLE, stats, STAT_KEY, STAT_PARTITION, key_in_partition=True, change=change
         )
     else:
         raise ValueError(f"unknown mode {mode!r}")

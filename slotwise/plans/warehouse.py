@@ -16,6 +16,7 @@ from slotwise.operators.extract import extract_snapshot, extract_window
 from slotwise.sources import schemas
 from slotwise.sources.readers import read_csv, read_day_folder, read_ratings
 from slotwise.sources.tables import append_table, overwrite_table, read_table, upsert_table
+from slotwise.sources.versions import locate, stores
 from slotwise.sources.writers import export_csv
 
 
@@ -54,26 +55,29 @@ GUIDE_SCHEDULE = LoadSpec(schemas.GUIDE_SCHEDULE, key="brd_dt", partition="brd_d
 def load_stage(
     spark: SparkSession, spec: LoadSpec, source: str, stage: str, day: date | None = None
 ) -> int:
-    """Empty the stage, load the files, return the number of staged rows.
-
-    The count comes from the footers of the staged files.
-    """
+    """Empty the stage, load the files, return the number of staged rows, counted as they are written."""
     if spec.source == "parquet":
         rows = read_day_folder(spark, source, day, spec.schema)
     else:
         rows = read_csv(spark, source, spec.schema, empty_as_null=spec.all_quoted)
-    overwrite_table(rows, stage)
-    return read_table(spark, stage, spec.schema).count()
+    return overwrite_table(rows, stage)
 
 
 def apply_stage(spark: SparkSession, spec: LoadSpec, stage: str, targets: Sequence[str]) -> None:
-    """Upsert one stage into every target table."""
+    """Upsert one stage into every target table.
+
+    Targets of one store appear together, once all are written; those of other stores one after another.
+    """
     work = read_table(spark, stage, spec.schema)
     where = None if spec.insert_where is None else F.expr(spec.insert_where)
+    changes = stores(spark, targets)
     for target in targets:
         upsert_table(
-            spark, target, spec.schema, work, spec.key, spec.partition, where, spec.key_in_partition
-        )
+            spark, target, spec.schema, work, spec.key, spec.partition, where, spec.key_in_partition,
+            changes[locate(spark, target)[0]],
+        )
+    for change in changes.values():
+        change.publish()
 
 
 def load(

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     DateType,
     DecimalType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -164,6 +165,15 @@ LIVE_STAT = _schema(
     "init_date tape_code data_type data_value bd_btime", data_value=MONEY, **_typed(CLOCK, "init_date bd_btime")
 )
 
+# Live statistics as stored: partitioned by type and by the day of ``init_date``.
+LIVE_STAT_TABLE = StructType([*LIVE_STAT.fields, StructField("init_day", DAY)])
+
+# Order amounts of a stream, per minute, stored by the hour they lie in.
+ORDER_SUMS = _schema(
+    "goods_code media_code minute price order_day order_hour",
+    price=MONEY, order_day=DAY, order_hour=IntegerType(), **_typed(CLOCK, "minute"),
+)
+
 
 def columns(schema: StructType) -> list[str]:
     return schema.fieldNames()

@@ -33,3 +33,9 @@ def _local_folder() -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/slotwise/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate rows that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

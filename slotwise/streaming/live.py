@@ -6,13 +6,21 @@ has passed their end, so the newest windows of a stream that stopped stay unpubl
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from slotwise.functions.fixed import CONNECT, DISCONNECT
-from slotwise.functions.timeops import minute_text, trunc_minute, wall_clock
+from slotwise.functions.timeops import minute_text, ntz, wall_clock
 from slotwise.operators.live import airing_start, airing_viewers_at, count_viewers, latest_events, revenue_stats
+from slotwise.operators.sizing import stored_side
+from slotwise.plans.analytics import STAT_PARTITION
+from slotwise.sources.schemas import LIVE_STAT_TABLE, ORDER_SUMS
+from slotwise.sources.scratch import remove_folder
+from slotwise.sources.tables import compact_table, upsert_table
+from slotwise.sources.versions import Change, create_store, expire
 
 
 def stream_active_viewers(
@@ -66,66 +74,125 @@ def write_airing_viewers(
 ) -> DataStreamWriter:
     """Stream of :func:`stream_active_viewers` to statistic rows of the tapes on air.
 
-    Every micro-batch joins its ticks with the schedule and replaces its own folder
-    ``batch_id=N``, so a batch that is run again after a failure leaves no duplicates.
+    Every micro-batch is stored, so the state behind it is read once, joined with the days of the schedule that its
+    ticks can meet, and replaces its own folder ``batch_id=N``: a batch that is run again after a failure leaves
+    no duplicates.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.withColumn("as_of", wall_clock("as_of"))
-        stats = airing_viewers_at(airing_start(counts, schedule), codes, counts)
-        stats.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark, held = batch.sparkSession, f"{path}-ticks/batch_id={batch_id}"
+        batch.withColumn("as_of", wall_clock("as_of")).write.mode("overwrite").parquet(held)
+        ticks = spark.read.parquet(held)
+        stats = airing_stats(ticks, codes, schedule)
+        if stats is not None:
+            stats.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        remove_folder(spark, held)
 
     return viewers.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
 
 
-def stream_revenue(
-    orders: DataFrame,
-    programmes: DataFrame,
-    air_back: str = "120 minutes",
-    air_ahead: str = "10 minutes",
-    delay: str = "1 minute",
-) -> DataFrame:
-    """Order amount per (programme start, tape, order minute), from a stream of orders.
+def airing_stats(counts: DataFrame, codes: DataFrame, schedule: DataFrame) -> DataFrame | None:
+    """Statistic rows of the stored ticks ``counts``; of both tables only the ticks' days and the days before
+    are read.  None without ticks."""
+    first, last = counts.agg(F.min("as_of"), F.max("as_of")).first()
+    if first is None:
+        return None
+    days = F.col("bd_date").between(F.lit(first.date() - timedelta(days=1)), F.lit(last.date()))
+    return airing_viewers_at(airing_start(counts, schedule.where(days)), codes.where(days), counts)
+
+
+SUM_KEY, SUM_PARTITION = ("goods_code", "media_code", "minute"), ("order_day", "order_hour")
+REVENUE_KEY = ("init_date", "data_type")
 
-    A polling job takes the programmes around its run time; here the order minute stands in for
-    it.  ``orders`` has the event time ``order_at`` besides ``order_date``.
+
+def stream_order_sums(orders: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """Order amount per (goods, media, order minute), from a stream with the event time ``order_at``.
+
+    Sums come before any join: goods that a third of all orders ask for are one state row a minute.
     """
-    airings = programmes.select("bd_btime", "tape_code", "goods_code", "media_code").distinct()
-    minute = trunc_minute("order_date")
-    on_air = F.col("bd_btime").between(
-        minute - F.expr(f"INTERVAL {air_back}"), minute + F.expr(f"INTERVAL {air_ahead}")
-    )
     return (
         orders.withWatermark("order_at", delay)
         .where(F.col("order_amt") > 0)
-        .join(airings, on=["goods_code", "media_code"])
-        .where(on_air)
-        .groupBy(F.window("order_at", "1 minute").alias("span"), "bd_btime", "tape_code")
-        .agg(F.sum("order_amt").alias("price"))
-        .select(
-            "bd_btime",
-            "tape_code",
-            minute_text(wall_clock("span.start")).alias("order_mi"),
-            "price",
-        )
+        .groupBy(F.window("order_at", "1 minute").alias("span"), "goods_code", "media_code")
+        .agg(F.sum("order_amt").cast("decimal(18,2)").alias("price"))
+        .select("goods_code", "media_code", wall_clock("span.start").alias("minute"), "price")
     )
 
 
-def write_revenue(revenue: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Updated totals, one folder per micro-batch; :func:`newest_totals` reads them.
+def write_revenue(
+    sums: DataFrame,
+    programmes: DataFrame,
+    store: str,
+    checkpoint: str,
+    air_back: timedelta = timedelta(minutes=120),
+    air_ahead: timedelta = timedelta(minutes=10),
+    compact_every: int = 32,
+    keep: timedelta = timedelta(days=1),
+) -> DataStreamWriter:
+    """Stream of :func:`stream_order_sums` to the tables ``store/sums`` and ``store/stats``.
 
-    Each batch writes only the totals it changed and overwrites its own folder when repeated.
+    A micro-batch brings the new totals of the minutes it changed.  They replace those stored by hour, and the
+    revenue statistics of just these minutes are computed again, from the programmes of their days.  A polling job
+    takes the programmes around its run time; here the order minute stands in for it.  Both tables appear
+    together, and a batch that is run again replaces what it wrote.  Many small writes are joined every
+    ``compact_every`` batches; versions older than ``keep`` go.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return revenue.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
-
-
-def newest_totals(written: DataFrame) -> DataFrame:
-    """The last total of every (programme start, tape, order minute) as statistic rows."""
-    last = written.groupBy("bd_btime", "tape_code", "order_mi").agg(
-        F.max_by("price", "batch_id").alias("price")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, held = batch.sparkSession, f"{store}-changed/batch_id={batch_id}"
+        create_store(spark, store)
+        batch.withColumns(
+            {"order_day": F.col("minute").cast("date"), "order_hour": F.hour("minute")}
+        ).write.mode("overwrite").parquet(held)
+        changed = spark.read.schema(ORDER_SUMS).parquet(held)
+        with Change(spark, store) as change:
+            stats = revenue_of(changed, change.read("sums", ORDER_SUMS), programmes, air_back, air_ahead)
+            if stats is not None:
+                upsert_table(
+                    spark, f"{store}/sums", ORDER_SUMS, changed, SUM_KEY, SUM_PARTITION, key_in_partition=True, change=change
+                )
+                stats = stats.withColumn("init_day", F.col("init_date").cast("date"))
+                upsert_table(
+                    spark, f"{store}/stats", LIVE_STAT_TABLE, stats, REVENUE_KEY, STAT_PARTITION, key_in_partition=True, change=change
+                )
+        remove_folder(spark, held)
+        if batch_id % compact_every == compact_every - 1:
+            compact_table(spark, f"{store}/sums", ORDER_SUMS)
+            compact_table(spark, f"{store}/stats", LIVE_STAT_TABLE)
+            expire(spark, f"{store}/sums", datetime.now(timezone.utc) - keep)
+
+    return sums.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
+def revenue_of(
+    changed: DataFrame, stored: DataFrame, programmes: DataFrame, air_back: timedelta, air_ahead: timedelta
+) -> DataFrame | None:
+    """Revenue statistics of the minutes in ``changed``, from its totals and the ``stored`` ones of these minutes.
+
+    The hours and days involved are literals, so both tables are read in part.  None without changes.
+    """
+    first, last = changed.agg(F.min("minute"), F.max("minute")).first()
+    if first is None:
+        return None
+    hours = [r[0] for r in changed.select("order_hour").distinct().collect()]
+    days = F.col("order_day").between(F.lit(first.date()), F.lit(last.date()))
+    others = (
+        stored.where(days & F.col("order_hour").isin(hours))
+        .join(stored_side(changed.select("minute").distinct(), "changed-minutes"), "minute", "left_semi")
+        .join(stored_side(changed.select(*SUM_KEY).distinct(), "changed-sums"), list(SUM_KEY), "left_anti")
+    )
+    sums = others.select(*SUM_KEY, "price").unionByName(changed.select(*SUM_KEY, "price"))
+    airings = programmes.where(F.col("bd_btime").between(ntz(first - air_back), ntz(last + air_ahead)))
+    if "bd_date" in programmes.columns:
+        # A broadcasting day may reach into the next.
+        low, high = (first - air_back).date() - timedelta(days=1), (last + air_ahead).date() + timedelta(days=1)
+        airings = airings.where(F.col("bd_date").between(F.lit(low), F.lit(high)))
+    airings = airings.select("bd_btime", "tape_code", "goods_code", "media_code").distinct()
+    on_air = F.col("bd_btime").between(F.col("minute") - F.lit(air_back), F.col("minute") + F.lit(air_ahead))
+    revenue = (
+        sums.join(stored_side(airings, "changed-airings"), ["goods_code", "media_code"])
+        .where(on_air)
+        .groupBy("bd_btime", "tape_code", minute_text("minute").alias("order_mi"))
+        .agg(F.sum("price").alias("price"))
     )
-    return revenue_stats(last)
+    return revenue_stats(revenue)

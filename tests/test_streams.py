@@ -7,6 +7,8 @@ from slotwise.functions.timeops import event_time, wall_clock
 from slotwise.operators import live as batch
 from slotwise.sources import schemas
 from slotwise.sources.readers import read_ratings
+from slotwise.sources.tables import read_table
+from slotwise.sources.versions import manifest
 from slotwise.streaming import arrival, live
 
 START = datetime(2024, 1, 15, 12, 0)
@@ -94,27 +96,104 @@ def test_airing_viewers_equal_the_batch_form(spark, frame, folder):
         assert rows(expected, "tape_code", "data_value") == [(row["tape_code"], row["data_value"])]
 
 
+ORDERS = "goods_code string, media_code string, order_date timestamp_ntz, order_amt decimal(18,2)"
+AIRED = "bd_btime timestamp_ntz, tape_code string, goods_code string, media_code string, bd_date date"
+
+
+def order(seconds, amount, goods="G"):
+    return goods, "TV0", START + timedelta(seconds=seconds), Decimal(amount)
+
+
 def test_revenue_totals_grow_over_deliveries(spark, frame, folder):
-    ddl = "goods_code string, media_code string, order_date timestamp_ntz, order_amt decimal(18,2)"
-    programmes = frame(
-        [(START, "A", "G", "TV0"), (START, "A", "G", "TV0"), (START + timedelta(minutes=11), "far", "G", "TV0")],
-        "bd_btime timestamp_ntz, tape_code string, goods_code string, media_code string",
+    far, minute = START + timedelta(minutes=11), START + timedelta(minutes=1)
+    aired = [(START, "A", "G", "TV0"), (START, "A", "G", "TV0"), (far, "far", "G", "TV0"), (START, "A", "H", "TV0")]
+    programmes = frame([(*p, p[0].date()) for p in aired], AIRED)
+    landing, store, checkpoint = folder(), folder(), folder()
+    schema = frame([], ORDERS).schema
+    deliveries = (
+        [order(5, "1.00"), order(20, "2.00")],
+        [order(50, "4.00"), order(55, "-1.00"), order(70, "8.00")],
+        [order(40, "16.00", "H")],
+        [order(30, "-5.00")],
     )
-    landing, out, checkpoint = folder(), folder(), folder()
-    order = lambda s, amount: ("G", "TV0", START + timedelta(seconds=s), Decimal(amount))
-    schema = frame([], ddl).schema
-    for delivery in ([order(5, "1.00"), order(20, "2.00")], [order(50, "4.00"), order(55, "-1.00"), order(70, "8.00")]):
-        deliver(frame(delivery, ddl), landing)
+    for delivery in deliveries:
+        deliver(frame(delivery, ORDERS), landing)
         orders = spark.readStream.schema(schema).parquet(landing).withColumn("order_at", event_time("order_date"))
-        run(live.write_revenue(live.stream_revenue(orders, programmes), out, checkpoint))
-    got = rows(live.newest_totals(spark.read.parquet(out)), "init_date", "tape_code", "data_value", "bd_btime")
-    far = START + timedelta(minutes=11)
-    minute = START + timedelta(minutes=1)
+        run(live.write_revenue(live.stream_order_sums(orders, "5 minutes"), programmes, store, checkpoint, compact_every=2))
+    got = rows(read_table(spark, f"{store}/stats", schemas.LIVE_STAT), "init_date", "tape_code", "data_value", "bd_btime")
     assert got == [
-        (START, "A", Decimal("7.00"), START),
+        (START, "A", Decimal("23.00"), START),
         (minute, "A", Decimal("8.00"), START),
         (minute, "far", Decimal("8.00"), far),
     ]
+    # What a reader opens is bounded by hours and the writes between two compactions.
+    held = manifest(spark, store).tables
+    assert sum(len(w or [1]) for t in ("sums", "stats") for w in held[t].writes.values()) <= 6
+
+
+def test_a_repeated_revenue_batch_changes_nothing(spark, frame, folder):
+    from slotwise.streaming.live import revenue_of
+
+    programmes = frame([(START, "A", "G", "TV0", START.date())], AIRED)
+    store, captured = folder(), []
+
+    class Caught:
+        def outputMode(self, _):
+            return self
+
+        def option(self, *_):
+            return self
+
+        def foreachBatch(self, function):
+            captured.append(function)
+
+    class Sums:
+        writeStream = Caught()
+
+    live.write_revenue(Sums(), programmes, store, folder())
+    sums = frame([("G", "TV0", START, Decimal("7.00"))], "goods_code string, media_code string, minute timestamp_ntz, price decimal(18,2)")
+    for batch_id in (0, 0, 1):
+        captured[0](sums if batch_id == 0 else sums.limit(0), batch_id)
+        assert rows(read_table(spark, f"{store}/stats", schemas.LIVE_STAT), "tape_code", "data_value") == [("A", Decimal("7.00"))]
+    assert revenue_of(schemas.conform(sums, schemas.ORDER_SUMS).limit(0), None, programmes, timedelta(0), timedelta(0)) is None
+
+
+def test_a_hot_goods_is_one_state_row_a_minute(spark, frame, folder):
+    landing, schema = folder(), frame([], ORDERS).schema
+    deliver(frame([order(i % 60, "1.00") for i in range(500)], ORDERS), landing)
+    orders = spark.readStream.schema(schema).parquet(landing).withColumn("order_at", event_time("order_date"))
+    query = live.write_revenue(live.stream_order_sums(orders), frame([], AIRED), folder(), folder()).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress][-1] == 1
+
+
+def test_ticks_are_joined_with_their_days_only(spark, frame, folder):
+    stored = folder()
+    days = [START + timedelta(days=d) for d in range(-5, 5)]
+    frame([(d.date(), d - timedelta(minutes=29), "TV0", "A") for d in days], SCHEDULE).write.partitionBy("bd_date").parquet(stored)
+    schedule = spark.read.parquet(stored)
+    counts = frame([(START, "TV0", 3)], "as_of timestamp_ntz, media_code string, unique_viewers long")
+    stats = live.airing_stats(counts, schedule, schedule)
+    assert rows(stats, "tape_code", "data_value") == [("A", Decimal("3.00"))]
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "bd_date" in line]
+    assert scans and all("PartitionFilters: [isnotnull(bd_date" in line for line in scans)
+    assert live.airing_stats(counts.limit(0), schedule, schedule) is None
+
+
+def test_the_state_behind_a_batch_is_evaluated_once(spark, frame, folder):
+    """What the join reads is the stored micro-batch, not the stream."""
+    landing, log = folder(), log_rows(50)
+    deliver(frame(log, LOG), landing)
+    codes = frame([(START.date(), START - timedelta(minutes=29), "TV0", "A")], SCHEDULE)
+    plans, real = [], live.airing_stats
+    live.airing_stats = lambda counts, *others: plans.append(counts._jdf.queryExecution().executedPlan().toString()) or real(counts, *others)
+    try:
+        out = folder()
+        run(live.write_airing_viewers(viewers_stream(spark, landing, frame(log[:1], LOG).schema, "20 minutes", "10 minutes"), codes, codes, out, folder()))
+    finally:
+        live.airing_stats = real
+    assert plans and all("StateStore" not in p and "FileScan parquet" in p for p in plans)
 
 
 def test_files_are_loaded_once_whatever_the_case(spark, folder, tmp_path):
