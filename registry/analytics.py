@@ -11,7 +11,7 @@ from registry.common import AS_OF, LOAD_AT, WIDE, plain, query
 from slotwise import testmap as t
 from slotwise.functions.timeops import ntz
 from slotwise.operators import live, sessions
-from slotwise.operators.dims import seconds_of_days
+from slotwise.operators.dims import runs_of_days, second_runs, seconds_of_days
 
 # A session comes with its first row and goes with its latest end, or its latest start where no row ends.
 # It watched every airing that it neither left before the start nor reached after the hour.
@@ -53,8 +53,8 @@ def log_and_schedule(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 
 def seconds_dim(schedule: DataFrame) -> DataFrame:
-    """The seconds of all schedule days, which are the days with events."""
-    return seconds_of_days(schedule.select(F.col("bd_date").alias("date")), ntz(LOAD_AT))
+    """The seconds of all schedule days, which are the days with events, as runs."""
+    return runs_of_days(schedule.select(F.col("bd_date").alias("date")))
 
 
 @query(f"{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES} {VIEW_TIMES}")
@@ -83,6 +83,44 @@ def order_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.order_time_histogram(log, schedule, seconds_dim(schedule))
 
 
+# A dimension with gaps, in which the seconds of some hours stand twice.
+HOLEY = """
+    holey_dim AS (
+        SELECT dhms FROM seconds_dim WHERE CAST(epoch(dhms) AS BIGINT) % 7 <> 3
+        UNION ALL SELECT dhms FROM seconds_dim WHERE extract(hour FROM dhms) IN (9, 12))"""
+
+
+def holey_runs(spark: SparkSession, schedule: DataFrame) -> DataFrame:
+    """Its stored seconds as stored runs."""
+    seconds = seconds_of_days(schedule.select(F.col("bd_date").alias("date")), ntz(LOAD_AT))
+    second = F.unix_seconds(F.col("dhms").cast("timestamp"))
+    listed = seconds.where(second % 7 != 3).unionByName(seconds.where(F.hour("dhms").isin(9, 12)))
+    return t.stored(spark, second_runs(t.stored(spark, listed, "holey-seconds")), "holey-runs")
+
+
+@query(
+    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES}, {HOLEY}
+    SELECT bd_date, bd_btime, tape_code, base_mi, label AS view_time_cd, count(*) AS view_cnt
+    FROM watched JOIN holey_dim ON dhms = came JOIN classes
+      ON epoch(date_trunc('second', went)) - epoch(date_trunc('second', came)) >= low
+     AND epoch(date_trunc('second', went)) - epoch(date_trunc('second', came)) < high
+    GROUP BY ALL"""
+)
+def view_time_histogram_by_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries in seconds that are missing do not count, those in seconds listed twice count twice."""
+    log, schedule = log_and_schedule(spark, sf_dir)
+    return sessions.view_time_histogram(log, schedule, holey_runs(spark, schedule))
+
+
+@query(
+    f"""{t.with_sql('session_log', 'programmes', 'seconds_dim')}, {WATCHED}, {CLASSES}, {HOLEY}, counted AS (
+        {ORDER_TIMES.replace("WHERE came IN (SELECT dhms FROM seconds_dim)", "JOIN holey_dim ON dhms = came")}) SELECT * FROM counted"""
+)
+def order_time_histogram_by_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, schedule = log_and_schedule(spark, sf_dir)
+    return sessions.order_time_histogram(log, schedule, holey_runs(spark, schedule))
+
+
 @query(
     f"""{t.with_sql('session_log', 'programmes')}, {WATCHED}
     SELECT bd_date, bd_btime, media_code, tape_code, count(DISTINCT viewer) AS viewers FROM watched GROUP BY ALL"""

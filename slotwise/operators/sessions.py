@@ -8,7 +8,8 @@ A daily histogram shuffles twice: the session fold, partially aggregated, so tha
 holding a third of the log reaches the reducer as one row per map task; and the counts, of which
 there are few.  Schedule and second dimension are broadcast when they have been measured to
 fit.  Beyond that, :func:`match_programmes` joins on hour cells, so that one busy media is spread
-over the day, and the dimension is joined with counts rather than sessions.
+over the day, and the dimension is joined with counts rather than sessions.  The dimension takes part as runs of
+consecutive seconds, a few rows a day; a table of single seconds is turned into them first.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.fixed import ORDER_EVENTS
 from slotwise.functions.timeops import duration_class, epoch_hours, minutes_between, ntz, seconds_between
-from slotwise.operators.sizing import broadcast_if_small, fits_broadcast
+from slotwise.operators.dims import hourly_runs, second_runs
+from slotwise.operators.sizing import broadcast_if_small, fits, stored_measured
 
 SESSION_KEY = ("log_dt", "pn", "sid")
 PROGRAMME = ("bd_date", "bd_btime", "media_code", "tape_code")
@@ -65,8 +67,8 @@ def match_programmes(
         & (F.col("enter_time") < F.col("reach_end"))
     )
     # The end of the reach is computed once per programme rather than once per candidate pair.
-    reaching = programmes.withColumn("reach_end", F.col("bd_btime") + F.expr(REACH))
-    if fits_broadcast(programmes, broadcast_limit):
+    reaching, size = stored_measured(programmes.withColumn("reach_end", F.col("bd_btime") + F.expr(REACH)), "programmes")
+    if fits(size, broadcast_limit):
         pairs = sessions.withColumn("n", F.lit(1).cast("bigint")).join(F.broadcast(reaching), overlaps)
     else:
         pairs = _match_by_hour_cell(sessions, reaching, overlaps)
@@ -113,9 +115,12 @@ def view_time_histogram(
     days: Iterable[date] | None = None,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
-    """Sessions per programme start, tape, minute of the programme and viewing-time class."""
+    """Sessions per programme start, tape, minute of the programme and viewing-time class.
+
+    ``seconds_dim`` has either single seconds (``dhms``) or runs of them, as ``second_runs`` makes.
+    """
     log, schedule = _for_days(log, schedule, days)
-    listed = _listed_seconds(log, seconds_dim, days is not None, broadcast_limit)
+    listed = _listed_runs(log, seconds_dim, days is not None)
     sessions = fold_sessions(log).withColumn(
         "view_time_cd", duration_class(seconds_between("enter_time", "exit_time"))
     )
@@ -136,7 +141,7 @@ def order_time_histogram(
     in their first second are left out.
     """
     log, schedule = _for_days(log, schedule, days)
-    listed = _listed_seconds(log, seconds_dim, days is not None, broadcast_limit)
+    listed = _listed_runs(log, seconds_dim, days is not None)
     waited = seconds_between("enter_time", F.coalesce("order_time", "enter_time"))
     sessions = (
         fold_sessions(log, order_events)
@@ -161,37 +166,41 @@ def _histogram(
     pairs = pairs.withColumn("base_mi", base_minute())
     # The second dimension only decides how often an entry second counts: not at all, once, or
     # more if it is listed more than once.
-    if fits_broadcast(listed, broadcast_limit):
+    listed, size = stored_measured(hourly_runs(listed), "listed-runs")
+    if fits(size, broadcast_limit):
         listed = F.broadcast(listed)
     else:
         # Counting per entry second first keeps a second in which a third of all viewers arrive
-        # from travelling as that many rows.  Sort-merge is named because Spark cannot size a
-        # generated dimension and would broadcast it.
+        # from travelling as that many rows.
         pairs = pairs.groupBy(*keys, "enter_time").agg(F.sum("n").alias("n"))
         listed = listed.hint("merge")
-    counted = pairs.join(listed, pairs["enter_time"] == listed["dhms"])
-    return counted.groupBy(*keys).agg(F.sum("n").alias(count_column))
+    inside = (epoch_hours("enter_time") == F.col("cell")) & F.col("enter_time").between(F.col("first_second"), F.col("last_second"))
+    # The dimension lists whole seconds.
+    inside = inside & (F.date_trunc("second", "enter_time").cast("timestamp_ntz") == F.col("enter_time"))
+    counted = pairs.join(listed, inside)
+    return counted.groupBy(*keys).agg(F.sum(F.col("n") * F.col("copies")).alias(count_column))
 
 
-def _listed_seconds(
-    log: DataFrame, seconds_dim: DataFrame, few_days: bool, broadcast_limit: int | None
-) -> DataFrame:
-    """The seconds of the dimension that can matter.
+def _listed_runs(log: DataFrame, seconds_dim: DataFrame, few_days: bool) -> DataFrame:
+    """The runs of the dimension that can matter.
 
-    A year has 31.5 million of them.  A run over few days therefore first asks the log for its
-    earliest and latest start, which bound every entry, and keeps the seconds in between.
+    A run over few days first asks the log for its earliest and latest start, which bound every entry; other
+    days of the dimension are not read.
     """
-    listed = seconds_dim.select("dhms")
-    if few_days and not fits_broadcast(listed, broadcast_limit):
-        span = log.agg(F.min("start_time").alias("first"), F.max("start_time").alias("last")).first()
-        if span["first"] is None:
-            return listed.where(F.lit(False))
+    single = "dhms" in seconds_dim.columns
+    if few_days:
+        first, last = log.agg(F.min("start_time"), F.max("start_time")).first()
+        if first is None:
+            return second_runs(seconds_dim.where(F.lit(False))) if single else seconds_dim.where(F.lit(False))
         if "date" in seconds_dim.columns:
-            # The day of ``dhms``, by which a stored dimension is partitioned: other days are not read.
-            days = F.col("date").between(F.lit(span["first"].date()), F.lit(span["last"].date()))
-            listed = seconds_dim.where(days).select("dhms")
-        listed = listed.where(F.col("dhms").between(ntz(span["first"]), ntz(span["last"])))
-    return listed
+            # The day of the seconds, by which a stored dimension is partitioned.
+            days = F.col("date").between(F.lit(first.date()), F.lit(last.date()))
+            seconds_dim = seconds_dim.where(days)
+        if single:
+            seconds_dim = seconds_dim.where(F.col("dhms").between(ntz(first), ntz(last)))
+        else:
+            seconds_dim = seconds_dim.where((F.col("first_second") <= ntz(last)) & (F.col("last_second") >= ntz(first)))
+    return second_runs(seconds_dim.select("dhms")) if single else seconds_dim
 
 
 def programme_viewers(

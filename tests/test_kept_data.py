@@ -50,16 +50,56 @@ def test_rows_outside_a_range_are_refused(spark):
         replace_range(target, late, "at", datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 10), refuse_outside=True).collect()
 
 
+def seconds(spark, low, high):
+    """Seconds number ``low`` to ``high`` of 2024."""
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))
+    return spark.range(low, high).select(at.alias("dhms")).withColumn("date", F.to_date("dhms"))
+
+
 def test_a_stored_second_dimension_is_pruned_by_day(spark, folder):
-    from slotwise.operators.sessions import _listed_seconds
+    from slotwise.operators.sessions import _listed_runs
 
     path = folder("seconds")
-    spark.range(4 * 86400).select(
-        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("dhms")
-    ).withColumn("date", F.to_date("dhms")).write.partitionBy("date").parquet(path)
+    seconds(spark, 0, 4 * 86400).write.partitionBy("date").parquet(path)
     log = spark.createDataFrame([(datetime(2024, 1, 2, 3),)], "start_time timestamp_ntz")
-    listed = _listed_seconds(log, spark.read.parquet(path), True, 0)
+    listed = _listed_runs(log, spark.read.parquet(path), True)
     plan = listed._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
-    assert rows(listed) == [(datetime(2024, 1, 2, 3),)]
-    assert date(2024, 1, 2)
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(date" in plan
+    assert rows(listed) == [(date(2024, 1, 2), datetime(2024, 1, 2, 3), datetime(2024, 1, 2, 3), 1)]
+
+
+def test_runs_of_seconds_with_gaps_and_copies(spark):
+    from slotwise.operators.dims import hourly_runs, runs_of_days, second_runs
+
+    at = lambda text: datetime.fromisoformat(f"2024-01-{text}")
+    listed = seconds(spark, 0, 10).unionByName(seconds(spark, 4, 6)).unionByName(seconds(spark, 20, 21))
+    listed = listed.unionByName(seconds(spark, 86398, 86402)).unionByName(seconds(spark, 0, 1).select(F.lit(None).cast("timestamp_ntz").alias("dhms"), "date"))
+    got = second_runs(listed)
+    assert rows(got, "first_second", "last_second", "copies") == [
+        (at("01 00:00:00"), at("01 00:00:03"), 1), (at("01 00:00:04"), at("01 00:00:05"), 2),
+        (at("01 00:00:06"), at("01 00:00:09"), 1), (at("01 00:00:20"), at("01 00:00:20"), 1),
+        (at("01 23:59:58"), at("01 23:59:59"), 1), (at("02 00:00:00"), at("02 00:00:01"), 1),
+    ]
+    whole = runs_of_days(seconds(spark, 0, 86401))
+    assert rows(whole, "first_second", "last_second") == [(at("01 00:00:00"), at("01 23:59:59")), (at("02 00:00:00"), at("02 23:59:59"))]
+    cut = hourly_runs(whole)
+    assert cut.count() == 48 and cut.where("hour(first_second) <> hour(last_second)").count() == 0
+    assert cut.agg(F.sum(F.unix_seconds(F.col("last_second").cast("timestamp")) - F.unix_seconds(F.col("first_second").cast("timestamp")) + 1)).first()[0] == 2 * 86400
+
+
+def test_histograms_by_runs_read_no_single_seconds(spark, folder):
+    from slotwise.operators.dims import runs_of_days
+    from slotwise.operators.sessions import view_time_histogram
+
+    log = spark.createDataFrame(
+        [(date(2024, 1, 2), "TV", "s", datetime(2024, 1, 2, 3), None, "page")],
+        "log_dt date, pn string, sid string, start_time timestamp_ntz, end_time timestamp_ntz, ec_type string",
+    )
+    schedule = spark.createDataFrame(
+        [(date(2024, 1, 2), datetime(2024, 1, 2, 3), "TV", "T")], "bd_date date, bd_btime timestamp_ntz, media_code string, tape_code string"
+    )
+    days = runs_of_days(seconds(spark, 0, 4 * 86400))
+    for limit in (None, 0):
+        got = view_time_histogram(log, schedule, days, [date(2024, 1, 2)], limit)
+        assert rows(got, "view_cnt") == [(1,)]
+        assert "Range" not in got._jdf.queryExecution().executedPlan().toString()
