@@ -44,6 +44,56 @@ def _judge(one_row: DataFrame, last_date: Column, as_of: date, day_off: int) ->
     )
 
 
+def page_gaps(pages: DataFrame, page_rows: int = 1000, number: str = r"(\d+)\D*$") -> DataFrame:
+    """What is wrong with a paged delivery: ``dataset``, ``problem``, ``page``, ``expected``, ``found``.
+
+    ``pages`` comes from ``read_pages``; ``number`` finds a page's number, counted from 1, in its file name or folder.
+    A dataset of ``list_total_count`` rows has that many pages of ``page_rows`` rows, the last one shorter.  Problems:
+
+    * ``missing``: an expected page did not come (rows expected, none found);
+    * ``doubled``: a page came more than once (once expected, so often found);
+    * ``short`` or ``long``: a page holds other than its rows;
+    * ``unexpected``: a page behind the last;
+    * ``total``: pages disagree on the total; the largest counts (as expected, the smallest as found).
+
+    Pages without rows, as error answers are, do not count as delivered.
+    """
+    delivered = pages.where(F.col("rows").isNotNull()).select(
+        "dataset",
+        F.regexp_extract(F.regexp_replace("page", "/[^/]*\\.(txt|json)[^/]*$", ""), number, 1).cast("long").alias("page"),
+        "total",
+        F.size("rows").cast("long").alias("found"),
+    )
+    totals = delivered.groupBy("dataset").agg(F.max("total").alias("total"), F.min("total").alias("least"))
+    came = delivered.groupBy("dataset", "page").agg(F.count(F.lit(1)).alias("times"), F.min("found").alias("low"), F.max("found").alias("high"))
+    count = F.ceil(F.col("total") / page_rows).cast("long")
+    # Page numbers by set difference: a row per expected page, never per row of the data.
+    wanted = totals.where("total > 0").select(
+        "dataset", F.explode(F.sequence(F.lit(1).cast("long"), count)).alias("page"), "total", count.alias("pages")
+    )
+    rows = F.when(F.col("page") < F.col("pages"), F.lit(page_rows)).otherwise(F.col("total") - (F.col("pages") - 1) * page_rows)
+    both = wanted.withColumn("expected", rows.cast("long")).join(came, ["dataset", "page"], "full")
+
+    def problem(name: str, where: Column, expected: Column, found: Column) -> Column:
+        return F.when(where, F.struct(F.lit(name).alias("problem"), expected.cast("long").alias("expected"), found.cast("long").alias("found")))
+
+    known = F.col("expected").isNotNull()
+    found = F.array_compact(
+        F.array(
+            problem("missing", F.col("times").isNull(), F.col("expected"), F.lit(0)),
+            problem("doubled", F.col("times") > 1, F.lit(1), F.col("times")),
+            problem("short", known & (F.col("low") < F.col("expected")), F.col("expected"), F.col("low")),
+            problem("long", known & (F.col("high") > F.col("expected")), F.col("expected"), F.col("high")),
+            problem("unexpected", ~known, F.lit(0), F.col("high")),
+        )
+    )
+    of_pages = both.select("dataset", "page", F.explode(found).alias("p")).select("dataset", "p.problem", "page", "p.expected", "p.found")
+    of_totals = totals.where("least < total").select(
+        "dataset", F.lit("total").alias("problem"), F.lit(None).cast("long").alias("page"), F.col("total").alias("expected"), F.col("least").alias("found")
+    )
+    return of_pages.unionByName(of_totals)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 

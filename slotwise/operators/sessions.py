@@ -27,6 +27,7 @@ from slotwise.operators.dims import hourly_runs, second_runs
 from slotwise.operators.sizing import broadcast_if_small, fits, stored_measured
 
 SESSION_KEY = ("log_dt", "pn", "sid")
+SPAN = ("log_dt", "pn", "enter_time", "exit_time")
 PROGRAMME = ("bd_date", "bd_btime", "media_code", "tape_code")
 # A programme without a trusted end is taken to collect viewers for this long.
 REACH = "INTERVAL 1 HOUR"
@@ -46,6 +47,28 @@ def fold_sessions(log: DataFrame, order_events: Sequence[str] = ORDER_EVENTS) ->
     )
 
 
+def session_marks(log: DataFrame) -> DataFrame:
+    """One row per session with what its entry and exit are taken from.
+
+    Least of least and latest of latest are again that: marks of some rows can be stored, and
+    :func:`merge_marks` of any of them, also of rows that both have seen, equals the marks of all rows.
+    """
+    return log.groupBy(*SESSION_KEY).agg(
+        F.min("start_time").alias("enter_time"), F.max("start_time").alias("last_start"), F.max("end_time").alias("last_end")
+    )
+
+
+def merge_marks(marks: DataFrame) -> DataFrame:
+    return marks.groupBy(*SESSION_KEY).agg(
+        F.min("enter_time").alias("enter_time"), F.max("last_start").alias("last_start"), F.max("last_end").alias("last_end")
+    )
+
+
+def sessions_of(marks: DataFrame) -> DataFrame:
+    """Sessions as :func:`fold_sessions` makes them, without orders."""
+    return marks.select(*SESSION_KEY, "enter_time", F.coalesce("last_end", "last_start").alias("exit_time"))
+
+
 def distinct_programmes(schedule: DataFrame) -> DataFrame:
     return schedule.select(*PROGRAMME).distinct()
 
@@ -215,8 +238,12 @@ def programme_viewers(
     distinct sessions.
     """
     log, schedule = _for_days(log, schedule, days)
-    sessions = fold_sessions(log).select("log_dt", "pn", "enter_time", "exit_time")
-    pairs = match_programmes(sessions, distinct_programmes(schedule), broadcast_limit)
+    return programme_viewers_of(fold_sessions(log), distinct_programmes(schedule), broadcast_limit)
+
+
+def programme_viewers_of(sessions: DataFrame, programmes: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
+    """The same from folded sessions and distinct programmes."""
+    pairs = match_programmes(sessions.select(*SPAN), programmes, broadcast_limit)
     return pairs.groupBy(*PROGRAMME).agg(F.sum("n").alias("viewers"))
 
 
@@ -233,8 +260,12 @@ def minute_viewers(
     most) gives the viewers.
     """
     log, schedule = _for_days(log, schedule, days)
-    sessions = fold_sessions(log).select("log_dt", "pn", "enter_time", "exit_time")
-    pairs = match_programmes(sessions, distinct_programmes(schedule), broadcast_limit)
+    return minute_viewers_of(fold_sessions(log), distinct_programmes(schedule), broadcast_limit)
+
+
+def minute_viewers_of(sessions: DataFrame, programmes: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
+    """The same from folded sessions and distinct programmes."""
+    pairs = match_programmes(sessions.select(*SPAN), programmes, broadcast_limit)
     final_second = F.col("bd_btime") + F.expr(REACH) - F.expr("INTERVAL 1 SECOND")
     left = F.least(
         minutes_between("bd_btime", "exit_time"), minutes_between("bd_btime", final_second)

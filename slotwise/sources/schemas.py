@@ -165,6 +165,17 @@ LIVE_STAT = _schema(
     "init_date tape_code data_type data_value bd_btime", data_value=MONEY, **_typed(CLOCK, "init_date bd_btime")
 )
 
+# Session marks, and viewers per programme and per minute of it, as windows of the log keep them.
+SESSION_MARKS = _schema(
+    "log_dt pn sid enter_time last_start last_end", log_dt=DAY, **_typed(CLOCK, "enter_time last_start last_end")
+)
+PROGRAMME_VIEWERS = _schema(
+    "bd_date bd_btime media_code tape_code viewers", bd_date=DAY, bd_btime=CLOCK, viewers=LongType()
+)
+MINUTE_VIEWERS = _schema(
+    "bd_date bd_btime media_code tape_code base_mi viewers", bd_date=DAY, bd_btime=CLOCK, base_mi=LongType(), viewers=LongType()
+)
+
 # Live statistics as stored: partitioned by type and by the day of ``init_date``.
 LIVE_STAT_TABLE = StructType([*LIVE_STAT.fields, StructField("init_day", DAY)])
 
