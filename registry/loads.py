@@ -515,8 +515,8 @@ GAP_ROWS = 200
         SELECT page, least({GAP_ROWS}, n - (page - 1) * {GAP_ROWS}) AS rows_ FROM whole, (
             SELECT unnest(range(1, CAST(ceil(n / {GAP_ROWS}.0) AS BIGINT) + 1)) AS page FROM whole)),
     delivered AS (
-        SELECT (c_custkey - 1) // {GAP_ROWS} + 1 AS page, count(*) AS found FROM customer
-        WHERE (c_custkey - 1) // {GAP_ROWS} <> 2 AND c_custkey % 977 <> 5 GROUP BY 1)
+        SELECT c_custkey // {GAP_ROWS} + 1 AS page, count(*) AS found FROM customer
+        WHERE c_custkey // {GAP_ROWS} <> 2 AND c_custkey % 977 <> 5 GROUP BY 1)
     SELECT 'CustomerStatus' AS dataset, 'missing' AS problem, page, CAST(rows_ AS BIGINT) AS expected, CAST(0 AS BIGINT) AS found
     FROM expected WHERE page NOT IN (SELECT page FROM delivered)
     UNION ALL SELECT 'CustomerStatus', 'short', page, rows_, found FROM expected JOIN delivered USING (page) WHERE found < rows_
@@ -526,14 +526,14 @@ def page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbered pages of which one is missing, one came twice and some lack rows."""
     customers = t.table(spark, sf_dir, "customer")
     total = customers.count()
-    number = F.floor((F.col("c_custkey") - 1) / GAP_ROWS) + 1
+    number = F.floor(F.col("c_custkey") / GAP_ROWS) + 1
     kept = customers.where((number != 3) & (F.col("c_custkey") % 977 != 5)).select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name")
     body = F.struct(
         F.lit(total).alias("list_total_count"),
         F.struct(F.lit("INFO-000").alias("CODE"), F.lit("ok").alias("MESSAGE")).alias("RESULT"),
         F.collect_list(F.struct("c_custkey", "c_name")).alias("row"),
     )
-    page = F.floor((F.col("c_custkey").cast("bigint") - 1) / GAP_ROWS) + 1
+    page = F.floor(F.col("c_custkey").cast("bigint") / GAP_ROWS) + 1
     pages = kept.groupBy(page.alias("page")).agg(F.to_json(F.struct(body.alias("CustomerStatus"))).alias("value"))
     landed = new_folder(spark, "gaps")
     _write_pages(pages, f"{landed}/first")

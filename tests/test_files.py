@@ -265,3 +265,27 @@ def test_cluster_without_a_shared_folder_is_an_error():
 def test_local_session_without_a_shared_folder_gets_its_own():
     session = SessionWithoutFolder("local[2]")
     assert scratch.shared_folder(session) == scratch.shared_folder(session)
+
+
+def test_gaps_of_paged_deliveries(spark, folder):
+    from slotwise.operators.quality import page_gaps
+    from slotwise.sources.readers import read_pages
+
+    def page(folder_, number, rows_, total, name="set"):
+        listed = ", ".join('{"A": "%d"}' % i for i in range(rows_))
+        text = '{"%s": {"list_total_count": %d, "row": [%s]}}' % (name, total, listed)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder_}/{name}-page={number}")
+
+    first, second = folder("pages"), folder("pages")
+    for number, count in ((1, 10), (2, 9), (4, 10), (6, 4), (7, 1)):
+        page(first, number, count, 53)
+    page(second, 1, 10, 54)
+    page(second, 1, 3, 3, "other")
+    spark.createDataFrame([('{"RESULT": {"CODE": "E", "MESSAGE": "x"}}',)], "value string").write.text(f"{first}/set-page=3")
+    delivered = read_pages(spark, f"{first}/*", ["A"]).unionByName(read_pages(spark, f"{second}/*", ["A"]))
+    got = {(r.dataset, r.problem, r.page, r.expected, r.found) for r in page_gaps(delivered, 10).collect()}
+    assert got == {
+        ("set", "doubled", 1, 1, 2), ("set", "short", 2, 10, 9), ("set", "missing", 3, 10, 0), ("set", "missing", 5, 10, 0),
+        ("set", "unexpected", 7, 0, 1), ("set", "total", None, 54, 53),
+    }
+    assert page_gaps(delivered.limit(0), 10).count() == 0
