@@ -1,10 +1,11 @@
 """Exact repeats of 200 bytes and more, by sorting suffixes in two stages.
 
 Two equal strings of LENGTH bytes have the same minimiser (the least hash of SEED_BYTES bytes in them), at the
-same place.  So every document names its minimisers, and only those that occur again bring the bytes around
-them together.  Equal surroundings are counted, not moved.  Different ones are joined to one text per task,
-whose suffixes are sorted in two stages: those smaller than their successor directly, the others induced from
-them by scanning the buckets in order.  Adjacent suffixes with a common prefix of LENGTH bytes are repeats.
+same place.  So every window of LENGTH bytes belongs to one minimiser, and neighbouring windows to the same: a
+document is cut into runs of windows, and runs of one minimiser that occurs again are brought together.  Equal runs
+are counted, not moved.  Different ones are joined to one text per task, whose suffixes are sorted in two stages: those
+smaller than their successor directly, the others induced from them by scanning the buckets in order.  Adjacent
+suffixes with a common prefix of LENGTH bytes are repeats; prefixes are compared by fingerprints of 128 bits.
 """
 
 from __future__ import annotations
@@ -26,15 +27,16 @@ REACH = LENGTH - SEED_BYTES
 # Bytes of a document hashed at once, and bytes whose suffixes are sorted in one task, about.
 CHUNK = 1 << 20
 TASK_BYTES = 1 << 20
-# Different surroundings of one minimiser that may meet in one task; of more, windows are compared by digest.
-MOST = 1_500
+# Different runs of one minimiser that may meet in one task; of more, windows are compared by digest.
+MOST = 20_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)  # fixed values: splitmix64
 
 
-def minimisers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of the minimisers of all windows of LENGTH bytes; the leftmost of equal ones."""
-    positions, hashes = [], []
+def minimisers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, position, first, last): every minimiser, the leftmost of equal ones, and the windows of LENGTH
+    bytes that it is the minimiser of.  At the edge of a chunk a run of windows may be in two parts."""
+    parts = []
     for low in range(0, max(1, len(data) - LENGTH + 1), CHUNK):
         part = data[low : low + CHUNK + LENGTH - 1]
         if len(part) < LENGTH:
@@ -43,7 +45,7 @@ def minimisers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         width = 1
         while width < SEED_BYTES:
             h = h[:-width] * factor + h[width:]
-            factor = factor * factor
+            factor = np.uint64(int(factor) ** 2 & 0xFFFFFFFFFFFFFFFF)
             width *= 2
         h = (h ^ (h >> np.uint64(30))) * _MIX
         h ^= h >> np.uint64(27)
@@ -55,53 +57,111 @@ def minimisers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             span *= 2
         if span < need:
             key = np.minimum(key[: len(key) - (need - span)], key[need - span :])
-        at = np.unique((key & np.uint64(0xFFFFFF)).astype(np.int64))
-        positions.append(at + low)
-        hashes.append(h[at])
-    if not positions:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    at, first = np.unique(np.concatenate(positions), return_index=True)
-    return np.concatenate(hashes)[first], at
+        place = (key & np.uint64(0xFFFFFF)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        last = np.r_[first[1:], len(place)] - 1
+        parts.append((h[place[first]], place[first] + low, first + low, last + low))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
-_ANCHOR = "h long, region long, rid long, at long, l int, r int"
+_ANCHOR = "h long, region long, rid long, start long, size long, copies long"
 _ROW = "rid long, doc_id long, n_bytes long, sha string"
 
 
+def joined_spans(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that touch or overlap as one."""
+    if not len(low):
+        return low, high
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    heads = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+    return low[heads], high[np.r_[heads[1:], len(low)] - 1]
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per minimiser: its hash, the digest of its surroundings, where it is, and how far they reach."""
+    """One row per different run of windows: the hash of its minimiser, the digest of its bytes, where it starts and how
+    long it is, and how often the document has it.  Where that is more than once the spans follow, with no hash."""
     for batch in batches:
         out: list[tuple[np.ndarray, ...]] = []
         for rid, text in zip(*batch.columns, strict=True):
             raw = (text.as_py() or "").encode()
-            hashes, at = minimisers(np.frombuffer(raw, np.uint8))
-            left, right = np.minimum(at, REACH), np.minimum(len(raw) - at, LENGTH)
+            hashes, at, first, last = minimisers(np.frombuffer(raw, np.uint8))
+            end = last + LENGTH
             region = np.fromiter(
-                (xxhash.xxh3_64_intdigest(raw[a - x : a + y], x) for a, x, y in zip(at.tolist(), left.tolist(), right.tolist(), strict=True)),
+                (xxhash.xxh3_64_intdigest(raw[a:b], c) for a, b, c in zip(first.tolist(), end.tolist(), (at - first).tolist(), strict=True)),
                 np.uint64,
                 len(at),
             )
-            out.append((hashes.view(np.int64), region.view(np.int64), np.full(len(at), rid.as_py()), at, left, right))
-        joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64)] * 6
-        types = [pa.int64()] * 4 + [pa.int32()] * 2
+            _, one, which, copies = np.unique(region ^ (hashes * _BASE), return_index=True, return_inverse=True, return_counts=True)
+            again = copies[which] > 1
+            low, high = joined_spans(first[again], end[again])
+            row, marks = rid.as_py(), np.r_[np.ones(len(one), bool), np.zeros(len(low), bool)]
+            none = np.zeros(len(low), np.int64)
+            out.append(
+                (
+                    marks, np.r_[hashes[one].view(np.int64), none], np.r_[region[one].view(np.int64), none], np.full(len(marks), row),
+                    np.r_[first[one], low], np.r_[(end - first)[one], high - low], np.r_[copies, none + 1],
+                )
+            )
+        joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, bool)] + [np.zeros(0, np.int64)] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()).cast(t) for c, t in zip(joined, types, strict=True)],
-            names=["h", "region", "rid", "at", "l", "r"],
+            [pa.array(joined[1], pa.int64(), mask=~joined[0]), *[pa.array(c, pa.int64()) for c in joined[2:]]],
+            names=["h", "region", "rid", "start", "size", "copies"],
         )
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+_PRINTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def fingerprints(text: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Two hashes of the ``depth`` bytes at every position; behind the end there are zeros."""
+    n, padded = len(text), np.r_[text, np.zeros(depth, np.uint8)].astype(np.uint64) + np.uint64(1)
+    out = []
+    for base in _PRINTS:
+        powers = np.cumprod(np.full(n + depth, np.uint64(base)), dtype=np.uint64)
+        sums = np.r_[np.uint64(0), np.cumsum(padded * powers, dtype=np.uint64)]
+        back = np.cumprod(np.full(n, np.uint64(pow(base, -1, 1 << 64))), dtype=np.uint64)
+        out.append((sums[depth : depth + n] - sums[:n]) * back)
+    return out
+
+
+def _same(prints: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (prints[0][x] == prints[0][y]) & (prints[1][x] == prints[1][y])
+
+
+def directly_sorted(text: np.ndarray, order: np.ndarray, depth: int, prints: list[np.ndarray]) -> np.ndarray:
+    """Suffixes by their first ``depth`` bytes, eight at a time; groups that are equal throughout are done."""
+    padded = np.r_[text, np.zeros(depth + 16, np.uint8)]
+    words = np.ndarray(len(padded) - 7, ">u8", padded.data, strides=(1,))
+    pending, group = np.arange(len(order)), np.zeros(len(order), np.int64)
+    for step in range(0, depth, 8):
+        key = words[order[pending] + step].astype(np.uint64)
+        by = np.argsort(key) if step == 0 else np.lexsort((key, group))
+        order[pending], key, group = order[pending][by], key[by], group[by]
+        heads = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])])
+        sizes = np.diff(np.r_[heads, len(key)])
+        equal = _same(prints, order[pending], np.repeat(order[pending[heads]], sizes))
+        open_ = np.repeat(~np.logical_and.reduceat(equal, heads), sizes)
+        pending, group = pending[open_], np.repeat(np.arange(len(heads)), sizes)[open_]
+        if not len(pending):
+            break
+    return order
+
+
+def suffix_array(text: np.ndarray, depth: int = LENGTH, prints: list[np.ndarray] | None = None) -> np.ndarray:
     """The positions of ``text`` ordered by their suffixes, to ``depth`` bytes at least; 0 ends the text."""
     n = len(text)
     t = np.r_[text, np.uint8(0)].astype(np.int16)
     # Smaller than its successor: decided by the next byte that differs.
-    differs = np.flatnonzero(t[1:] != t[:-1])
-    following = differs[np.minimum(np.searchsorted(differs, np.arange(n)), len(differs) - 1)] if len(differs) else np.zeros(n, int)
+    differs = np.where(t[1:] != t[:-1], np.arange(n, dtype=np.int32), np.int32(n))
+    following = np.minimum.accumulate(differs[::-1])[::-1] if n else differs
     smaller = t[:n] < t[np.minimum(following + 1, n)]
     direct = np.flatnonzero(smaller)
-    padded = np.r_[text, np.zeros(depth, np.uint8)]
-    windows = np.lib.stride_tricks.sliding_window_view(padded, depth)[direct]
-    direct = direct[np.argsort(np.ascontiguousarray(windows).view(f"S{depth}").ravel(), kind="stable")]
+    if len(direct):
+        direct = directly_sorted(text, direct, depth, fingerprints(text, depth) if prints is None else prints)
     first = np.bincount(t[direct], minlength=256)
     sorted_direct = np.split(direct, np.cumsum(first)[:-1])
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -138,30 +198,17 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def common(text: np.ndarray, order: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Whether each suffix shares ``length`` bytes with the next in order: words of eight bytes at a time."""
-    padded = np.r_[text, np.zeros(length + 8, np.uint8)]
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    words = np.ascontiguousarray(words).view(np.uint64).ravel()
-    alive = np.arange(len(order) - 1) if len(order) else np.zeros(0, np.int64)
-    for step in range(0, length, 8):
-        at = min(step, length - 8)
-        alive = alive[words[order[alive] + at] == words[order[alive + 1] + at]]
-    out = np.zeros(max(0, len(order) - 1), bool)
-    out[alive] = True
-    return out
-
-
 def repeats(regions: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(region, offset, class) of all windows of LENGTH bytes that may be compared; equal windows have one class."""
-    sizes = np.array([len(r) for r in regions])
+    """(region, offset, class) of all windows of LENGTH bytes; equal windows have one class, classes ascend."""
+    sizes = np.array([len(r) for r in regions], np.int64)
     text = np.frombuffer(b"\0".join(regions), np.uint8)
-    starts = np.r_[0, np.cumsum(sizes + 1)[:-1]]
-    order = suffix_array(text)
-    region = np.searchsorted(starts, order, "right") - 1
-    whole = starts[region] + sizes[region] - order >= LENGTH
-    order, region = order[whole], region[whole]
-    new = np.r_[True, ~common(text, order)] if len(order) else np.zeros(0, bool)
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    prints = fingerprints(text, LENGTH)
+    order = suffix_array(text, LENGTH, prints)
+    owner = np.repeat(np.arange(len(regions), dtype=np.int32), sizes + 1)
+    order = order[order <= (starts + sizes - LENGTH)[owner[order]]]
+    new = np.r_[True, ~_same(prints, order[:-1], order[1:])][: len(order)]
+    region = owner[order]
     return region, order - starts[region], np.cumsum(new) - 1
 
 
@@ -171,18 +218,23 @@ _FOUND = "rid long, low long, high long, window binary, alone boolean"
 def _sorted(table: pa.Table) -> pa.Table:
     """Repeated windows of one task as spans (rid, low, high).
 
-    For surroundings of split minimisers every class of windows is named by its digest too, so that those
-    alone in this task can be found in another.
+    For runs of split minimisers every class of windows is named by its digest too, so that those alone in
+    this task can be found in another.
     """
     regions = table["bytes"].to_pylist()
     rid, base = table["rid"].to_numpy(), table["start"].to_numpy()
     copies, split = table["copies"].to_numpy(), table["split"].to_numpy()
     region, offset, group = repeats(regions)
-    n = int(group.max()) + 1 if len(group) else 0
+    n = int(group[-1]) + 1 if len(group) else 0
     where = base[region] + offset
-    # A class is repeated if it holds two places, or surroundings that occur more than once.
-    place = np.unique(np.stack([group, rid[region], where]), axis=1) if n else np.zeros((3, 0), np.int64)
-    several = np.bincount(place[0], minlength=n) > 1
+    # A class is repeated if it holds two places, or runs that occur more than once.
+    places = group
+    by = np.lexsort((base, rid))
+    ends = base + np.array([len(r) for r in regions], np.int64) - LENGTH
+    if ((rid[by][1:] == rid[by][:-1]) & (base[by][1:] <= ends[by][:-1])).any():
+        # Some place was handed over twice.
+        places = np.unique(np.stack([group, rid[region], where]), axis=1)[0]
+    several = np.bincount(places, minlength=n) > 1
     np.logical_or.at(several, group, copies[region] > 1)
     hit = several[group] & (copies[region] == 1)
     spans = (rid[region[hit]], where[hit])
@@ -195,7 +247,7 @@ def _sorted(table: pa.Table) -> pa.Table:
         "rid": [r[heads]], "low": [w[heads]], "high": [w[tails] + LENGTH],
         "window": [None] * len(heads), "alone": [False] * len(heads),
     }
-    # Of the surroundings a class was seen through, any may be of a split minimiser.
+    # Of the runs a class was seen in, any may be of a split minimiser.
     entries = np.flatnonzero(split[region])
     for i in entries[np.unique(group[entries], return_index=True)[1]].tolist():
         a = int(offset[i])
@@ -214,14 +266,14 @@ def _sorted(table: pa.Table) -> pa.Table:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around the minimisers asked for, one row each."""
+    """The bytes of the runs asked for, one row each."""
     names = ["rid", "start", "copies", "task", "split", "bytes"]
     types = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
     for batch in batches:
         for i in range(batch.num_rows):
             rid, raw = batch.column(0)[i].as_py(), (batch.column(1)[i].as_py() or "").encode()
             wanted = batch.column(2)[i].as_py()
-            rows = [(rid, w["at"] - w["l"], w["copies"], w["task"], w["split"], raw[w["at"] - w["l"] : w["at"] + w["r"]]) for w in wanted]
+            rows = [(rid, w["start"], w["copies"], w["task"], w["split"], raw[w["start"] : w["start"] + w["size"]]) for w in wanted]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
@@ -256,27 +308,28 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def spans(rows: DataFrame) -> DataFrame:
     """(rid, low, high) of repeated strings in (rid, text): byte spans, ends exclusive, perhaps overlapping."""
     anchors = stored(rows.select("rid", "text").mapInArrow(_anchors, _ANCHOR), "suffix-anchors")
-    again = (
-        anchors.groupBy("h")
-        .agg(F.count("*").alias("n"), F.min("region").alias("x"), F.max("region").alias("y"))
+    # Stored, so that a join with a minimiser of very many runs can be split.
+    again = stored(
+        anchors.where("h is not null")
+        .groupBy("h")
+        .agg(F.sum("copies").alias("n"), F.min("region").alias("x"), F.max("region").alias("y"))
         .where("n > 1")
-        .select("h", (F.col("x") != F.col("y")).alias("diverse"))
+        .select("h", (F.col("x") != F.col("y")).alias("diverse")),
+        "suffix-again",
     )
     shared = stored(anchors.join(again.hint("merge"), "h"), "suffix-shared")
-    one = F.min(F.struct("rid", "at", "l", "r")).alias("one")
+    one = F.min(F.struct("rid", "start", "size")).alias("one")
     kinds = stored(
-        shared.groupBy("h", "region", "diverse").agg(F.count("*").alias("copies"), one), "suffix-kinds"
-    )
-    # Equal surroundings: all their windows are repeats.
-    equal = (
-        shared.join(kinds.where("copies > 1").select("h", "region").hint("merge"), ["h", "region"])
-        .where(F.col("l") + F.col("r") >= LENGTH)
-        .select("rid", (F.col("at") - F.col("l")).alias("low"), (F.col("at") + F.col("r")).alias("high"))
+        shared.groupBy("h", "region", "diverse").agg(F.sum("copies").alias("copies"), one), "suffix-kinds"
     )
-    # Different surroundings of one minimiser: one of each kind goes to the minimiser's task.
+    # Equal runs: all their windows are repeats.
+    span = ["rid", F.col("start").alias("low"), (F.col("start") + F.col("size")).alias("high")]
+    equal = shared.join(kinds.where("copies > 1").select("h", "region").hint("merge"), ["h", "region"]).select(*span)
+    equal = equal.unionByName(anchors.where("h is null").select(*span))
+    # Different runs of one minimiser: one of each kind goes to the minimiser's task.
     diverse = kinds.where("diverse")
-    many = diverse.groupBy("h").agg(F.count("*").alias("kinds"))
-    size = diverse.agg(F.coalesce(F.sum(F.col("one.l") + F.col("one.r")), F.lit(0))).first()[0]
+    many = stored(diverse.groupBy("h").agg(F.count("*").alias("kinds")), "suffix-many")
+    size = diverse.agg(F.coalesce(F.sum("one.size"), F.lit(0))).first()[0]
     tasks = max(1, -(-int(size) // TASK_BYTES))
     salt = F.when(F.col("kinds") > MOST, F.pmod(F.xxhash64("region"), F.ceil(F.col("kinds") / MOST))).otherwise(0)
     wanted = (
@@ -284,7 +337,7 @@ def spans(rows: DataFrame) -> DataFrame:
         .select(
             F.col("one.rid").alias("rid"),
             F.struct(
-                F.col("one.at").alias("at"), F.col("one.l").alias("l"), F.col("one.r").alias("r"), "copies",
+                F.col("one.start").alias("start"), F.col("one.size").alias("size"), "copies",
                 F.pmod(F.xxhash64("h", salt), F.lit(tasks)).alias("task"), (F.col("kinds") > MOST).alias("split"),
             ).alias("w"),
         )
@@ -303,7 +356,6 @@ def spans(rows: DataFrame) -> DataFrame:
         found.where("window is not null")
         .groupBy("window")
         .agg(F.min(F.struct("rid", "low")).alias("x"), F.max(F.struct("rid", "low")).alias("y"), F.every("alone").alias("alone"))
-        # One place may be seen by several tasks, through the surroundings of several minimisers.
         .where("x != y or not alone")
         .select("window")
     )
