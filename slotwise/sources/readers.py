@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from slotwise.functions.text import strip_newlines
+from slotwise.operators.sizing import stored_side
 
 
 def csv_options(
@@ -42,14 +43,37 @@ def multi_line_schema(schema: StructType) -> StructType:
     return StructType([*others, StructField(last.name, StringType())])
 
 
-def finish_multi_line(df: DataFrame, schema: StructType) -> DataFrame:
-    """Take the ``\\r`` of a ``\\r\\n`` row end off the last column and give it its type."""
+def finish_multi_line(df: DataFrame, schema: StructType, ends: Column | None = None) -> DataFrame:
+    """Take the ``\\r`` of a ``\\r\\n`` row end off the last column and give it its type.
+
+    ``ends`` tells for a row whether its file has such row ends; by default all files are taken to, so a last value
+    that ends in ``\\r`` loses it.
+    """
     *others, last = schema.fields
     text = F.col(f"`{last.name}`")
     cut = F.when(text != "\r", F.regexp_replace(text, "\r$", ""))
+    if ends is not None:
+        cut = F.when(ends, cut).otherwise(text)
     return df.select(*[f"`{f.name}`" for f in others], cut.cast(last.dataType).alias(last.name))
 
 
+def _by_row_end(spark: SparkSession, path: str | Sequence[str], rows: DataFrame, schema: StructType) -> DataFrame:
+    """Multi-line rows finished file by file.
+
+    A file has ``\\r\\n`` row ends if its first line does; where that stops inside quotes, the last line tells.
+    There is one row per file to know this by.
+    """
+    file = F.col("_metadata.file_path").alias("_file")
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        file, "value", F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("_at")
+    )
+    first, last = F.min_by("value", "_at"), F.max_by("value", "_at")
+    quotes = F.length(first) - F.length(F.replace(first, F.lit('"'), F.lit("")))
+    ends = lines.groupBy("_file").agg(F.when(quotes % 2 == 0, first).otherwise(last).endswith("\r").alias("_ends"))
+    named = rows.select("*", file)
+    return finish_multi_line(named.join(stored_side(ends, "row-ends"), "_file"), schema, F.col("_ends"))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -66,11 +90,13 @@ def read_csv(
     unchanged.  Files in which *every* value is quoted cannot tell the two apart; read them with
     ``empty_as_null``.  A malformed row fails the read instead of turning into nulls.
     ``multi_line`` is needed only for line breaks inside quotes; it stops Spark from splitting a
-    file, so large inputs should arrive as many files.
+    file, so large inputs should arrive as many files.  Whether rows end in ``\\r\\n`` is found out file by file, so a
+    last value that ends in ``\\r`` keeps it.  A file without header cannot be told from one with those row ends if its
+    first row ends in such a value, or holds a line break while the last row ends in such a value.
     """
     reader = spark.read.options(**csv_options(sep, header, multi_line, empty_as_null))
     if multi_line:
-        return finish_multi_line(reader.schema(multi_line_schema(schema)).csv(path), schema)
+        return _by_row_end(spark, path, reader.schema(multi_line_schema(schema)).csv(path), schema)
     return reader.schema(schema).csv(path)
 
 

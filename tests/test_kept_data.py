@@ -103,3 +103,34 @@ def test_histograms_by_runs_read_no_single_seconds(spark, folder):
         got = view_time_histogram(log, schedule, days, [date(2024, 1, 2)], limit)
         assert rows(got, "view_cnt") == [(1,)]
         assert "Range" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_carriage_returns_at_the_end_of_a_row_are_kept(spark, folder):
+    schema = "n int, t string"
+    given = spark.createDataFrame([(1, "a\r"), (2, "\r"), (3, "x\r\ny"), (4, "x\r\n"), (5, None), (6, ""), (7, "b")], schema)
+    # Without a header line the first row tells, so it ends plainly here.
+    given = given.where("n > 2").unionByName(given.where("n <= 2"))
+    for header in (True, False):
+        for compress in (True, False):
+            path = folder("returns")
+            export_csv(given.coalesce(1), path, header=header, compress=compress)
+            assert rows(read_csv(spark, path, given.schema, header=header, multi_line=True), "n", "t") == rows(given, "n", "t")
+    probe = spark.createDataFrame([(1, "a\r"), (2, "\r")], schema)
+    path = folder("returns")
+    export_csv(probe, path)
+    assert rows(read_csv(spark, path, probe.schema, multi_line=True)) == [(1, "a\r"), (2, "\r")]
+
+
+def test_both_row_ends_side_by_side(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField
+
+    schema = StructType([StructField("n", IntegerType()), StructField("t", StringType())])
+    (tmp_path / "crlf.csv").write_bytes(b'n,t\r\n1,a\r\n2,"b\r\nc"\r\n3,\r\n')
+    (tmp_path / "lf.csv").write_bytes(b'n,t\n4,a\r\n5,"b\r\nc"\n6,\n')
+    got = read_csv(spark, str(tmp_path), schema, multi_line=True)
+    assert rows(got, "n", "t") == [(1, "a"), (2, "b\r\nc"), (3, None), (4, "a\r"), (5, "b\r\nc"), (6, None)]
+    (tmp_path / "bare").mkdir()
+    (tmp_path / "bare" / "crlf.csv").write_bytes(b'1,"x\r\ny"\r\n2,b\r\n')
+    (tmp_path / "bare" / "lf.csv").write_bytes(b'3,"x\r\ny"\n4,b\r\n5,c\n')
+    bare = read_csv(spark, str(tmp_path / "bare"), schema, header=False, multi_line=True)
+    assert rows(bare, "n", "t") == [(1, "x\r\ny"), (2, "b"), (3, "x\r\ny"), (4, "b\r"), (5, "c")]
