@@ -32,6 +32,8 @@ LEAST_RUN = 13
 # Window hashes of the benchmark looked up in one pass over the documents (16 bytes each).
 BLOCK = 2_000_000
 MEMO = 500_000
+# Characters of documents whose windows are made at once.
+CHUNK = 200_000
 
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*%?|[^\W\d_]+|[.!?\n]")
 # Units of measure and money, in the languages covered.
@@ -78,21 +80,31 @@ class Canonical:
 
     def words(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(hash, kind) of every word of the text, sentence ends left out."""
-        found = TOKEN.findall(text or "")
+        hashes, kinds, _ = self.many([text])
+        return hashes, kinds
+
+    def many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of several texts one behind the other, and where each begins and the last ends."""
+        found, sizes = [], []
+        for text in texts:
+            before = len(found)
+            found += TOKEN.findall(text or "")
+            # A text ends like a sentence.
+            found.append("\n")
+            sizes.append(len(found) - before)
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         for token in set(found).difference(memo):
             memo[token] = _packed(token)
         packed = np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
-        if not len(packed):
-            return packed, packed
         kinds = packed & _KIND
         before = np.r_[np.uint64(STOP), kinds[:-1]]
         kinds = np.where((kinds == NAME) & (before == STOP), np.uint64(WORD), kinds)
         kinds = np.where((packed & _IS_UNIT > 0) & (before == NUMBER), np.uint64(UNIT), kinds)
         keep = kinds != STOP
-        return packed[keep] & _HASH, kinds[keep]
+        edges = np.r_[0, np.cumsum(keep)][np.r_[0, np.cumsum(np.array(sizes, np.int64))]]
+        return packed[keep] & _HASH, kinds[keep], edges
 
 
 def template(hashes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -124,20 +136,30 @@ def _forms(hashes: np.ndarray, kinds: np.ndarray, size: int) -> Iterator[tuple[n
 _BACK = np.uint64(pow(int(_STEP), -1, 2**64))
 
 
-def longer(words: np.ndarray, fixed: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def longer(
+    words: np.ndarray, fixed: np.ndarray, most: int, text_of: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of the windows of up to ``most`` words that are read on, from a start or back from an
-    end, until LEAST_WORDS fixed words are inside, where WINDOW words hold fewer."""
+    end, until LEAST_WORDS fixed words are inside, where WINDOW words hold fewer.
+
+    ``text_of`` numbers the texts the words are of, if several: no window leaves its text."""
     n = len(words)
+    text_of = np.zeros(n, np.int64) if text_of is None else text_of
     total, where = np.r_[0, np.cumsum(fixed)], np.flatnonzero(fixed)
     few = np.flatnonzero(total[WINDOW:] - total[:-WINDOW] < LEAST_WORDS) if n > WINDOW else np.zeros(0, np.int64)
     few = few if len(where) >= LEAST_WORDS else few[:0]
+    # A text of WINDOW words or fewer has no such window.
+    few = few[(text_of[few] == text_of[few + WINDOW - 1]) & (np.bincount(text_of)[text_of[few]] > WINDOW)] if len(few) else few
     if not len(few):
         return np.zeros(0, np.uint64), few, few
     on = few[total[few] + LEAST_WORDS <= len(where)]
     back = few[total[few + WINDOW] >= LEAST_WORDS] + WINDOW
     start = np.r_[on, where[total[back] - LEAST_WORDS]]
     end = np.r_[where[total[on] + LEAST_WORDS - 1] + 1, back]
-    start, end = np.unique(np.stack([start, end])[:, end - start <= most], axis=1)
+    both = np.stack([start, end])[:, (end - start <= most) & (text_of[start] == text_of[end - 1])]
+    if not both.shape[1]:
+        return np.zeros(0, np.uint64), few[:0], few[:0]
+    start, end = np.unique(both, axis=1)
     # Sums over powers: any window is a difference, brought to the power of its start.
     mixed = (words ^ (words >> np.uint64(31))) * _MIX
     sums = np.r_[np.uint64(0), np.cumsum(mixed * np.cumprod(np.full(n, _STEP)))]
@@ -177,6 +199,20 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str | None]]]:
+    """Ids and texts of a batch, about CHUNK characters at a time: short texts share the cost of a step."""
+    rows, texts, size = [], [], 0
+    for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        rows.append(row)
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if size > CHUNK:
+            yield rows, texts
+            rows, texts, size = [], [], 0
+    if rows:
+        yield rows, texts
+
+
 def text_key(text: str) -> bytes:
     """What names a text, as :func:`key_of` does in Spark: an id may be missing or stand for several rows."""
     return hashlib.sha256(text.encode()).digest()
@@ -198,34 +234,34 @@ def _lookup(index: np.ndarray, sizes: list[int], most: int):
         table = np.zeros(1 << bits, bool)
         shift = np.uint64(64 - bits)
         table[(index.view(np.uint64) >> shift).astype(np.int64)] = True
+        def known(values: np.ndarray, fit: np.ndarray) -> np.ndarray:
+            """Which of the hashes are in the index, of those that fit."""
+            maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)] & fit)
+            signed = values[maybe].view(np.int64)
+            return maybe[index[np.minimum(np.searchsorted(index, signed), len(index) - 1)] == signed]
+
         for batch in batches:
             out: list[tuple] = []
-            for row, text in zip(*batch.columns, strict=True):
-                hashes, kinds = canonical.words(text.as_py())
-                begun = len(out)
+            for rows, texts in _chunks(batch):
+                hashes, kinds, edges = canonical.many(texts)
+                text_of = np.repeat(np.arange(len(texts)), np.diff(edges))
+                # (text, hash, size, at, slots)
+                found: list[tuple] = []
                 if most > WINDOW:
-                    values, start, end = longer(template(hashes, kinds), kinds == WORD, most)
-                    maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)])
-                    signed = values[maybe].view(np.int64)
-                    place = np.minimum(np.searchsorted(index, signed), len(index) - 1)
-                    for i in maybe[index[place] == signed].tolist():
+                    values, start, end = longer(template(hashes, kinds), kinds == WORD, most, text_of)
+                    for i in known(values, np.ones(len(values), bool)).tolist():
                         at, to = int(start[i]), int(end[i])
                         slots = hashes[at:to][kinds[at:to] != WORD].view(np.int64).tolist()
-                        out.append((int(values[i].view(np.int64)), to - at, at, slots))
+                        found.append((int(text_of[at]), int(values[i].view(np.int64)), to - at, at, slots))
                 for size in sizes:
+                    within = text_of[: len(hashes) - size + 1] == text_of[size - 1 :]
                     for values, enough, slot in _forms(hashes, kinds, size):
-                        maybe = np.flatnonzero(table[(values >> shift).astype(np.int64)] & enough)
-                        if not len(maybe):
-                            continue
-                        signed = values[maybe].view(np.int64)
-                        place = np.minimum(np.searchsorted(index, signed), len(index) - 1)
-                        for at in maybe[index[place] == signed].tolist():
+                        for at in known(values, enough & within[: len(enough)]).tolist():
                             inside = slice(at, at + size)
                             slots = hashes[inside][slot[inside]].view(np.int64).tolist()
-                            out.append((int(values[at].view(np.int64)), size, at, slots))
-                if len(out) > begun:
-                    named = (row.as_py(), text_key(text.as_py()))
-                    out[begun:] = [(*named, *found) for found in out[begun:]]
+                            found.append((int(text_of[at]), int(values[at].view(np.int64)), size, at, slots))
+                named = {i: (rows[i], text_key(texts[i])) for i in {f[0] for f in found}}
+                out += [(*named[i], value, size, at - int(edges[i]), slots) for i, value, size, at, slots in found]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
