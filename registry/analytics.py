@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry.common import AS_OF, LOAD_AT, WIDE, plain, query
 from slotwise import testmap as t
-from slotwise.functions.timeops import ntz
+from slotwise.functions.timeops import instant_in, ntz, wall_clock_in
 from slotwise.operators import live, sessions
 from slotwise.operators.dims import runs_of_days, second_runs, seconds_of_days
+from slotwise.plans import folds
+from slotwise.sources.scratch import new_folder
+from slotwise.sources.tables import overwrite_table, read_table
 
 # A session comes with its first row and goes with its latest end, or its latest start where no row ends.
 # It watched every airing that it neither left before the start nor reached after the hour.
@@ -170,8 +173,31 @@ def active_viewers_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def active_viewers_from_daily_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history form from one stored fold per day instead of the raw log."""
     log = t.connection_log(t.events(spark, sf_dir)).where(F.col("log_time") < ntz(AS_OF))
-    folds = t.stored(spark, live.latest_events(log, F.col("log_time").cast("date").alias("log_dt")), "folds")
-    return live.active_from_latest(live.merge_latest(folds), AS_OF, timedelta(hours=24))
+    daily = t.stored(spark, live.latest_events(log, F.col("log_time").cast("date").alias("log_dt")), "folds")
+    return live.active_from_latest(live.merge_latest(daily), AS_OF, timedelta(hours=24))
+
+
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format('')} SELECT * FROM viewers")
+def active_viewers_from_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history form from sets of 1, 2, 4, ... days, kept in steps; the last step brings days again."""
+    log, table = t.connection_log(t.events(spark, sf_dir)), new_folder(spark, "fold-sets")
+    first = log.agg(F.min("log_time")).first()[0].date()
+    for since, until in ((first, date(2024, 1, 9)), (date(2024, 1, 9), date(2024, 1, 14)), (date(2024, 1, 12), date(2024, 1, 15))):
+        folds.add_days(spark, table, log, since, until)
+    return folds.active_viewers_from_folds(spark, table, log, AS_OF, timedelta(hours=24))
+
+
+@query(f"{t.with_sql('connection_log')}, {CONNECTED.format(LAST_DAY)} SELECT * FROM viewers")
+def active_viewers_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of instants, stored by their day in UTC, looked at on the business clock."""
+    log = t.connection_log(t.events(spark, sf_dir))
+    log = log.withColumns({c: instant_in(c) for c in ("log_time", "st")})
+    log = log.withColumn("log_day", wall_clock_in("log_time", "UTC").cast("date"))
+    table = new_folder(spark, "instants")
+    overwrite_table(log, table, "log_day")
+    return live.active_viewers(
+        read_table(spark, table, log.schema), AS_OF, lookback=timedelta(hours=24), day="log_day", day_zone="UTC"
+    )
 
 
 @query(

@@ -155,6 +155,18 @@ def wall_clock_in(ts: Column | str, tz: str = TIME_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), wall_clock(ts))
 
 
+def instant_in(ts: Column | str, tz: str = TIME_ZONE) -> Column:
+    """The instant at which the wall clock of ``tz`` shows ``ts``; of a wall clock that is shown twice, the earlier."""
+    return event_time(F.convert_timezone(F.lit(tz), F.lit("UTC"), _col(ts)))
+
+
+def days_between(low: datetime, high: datetime, tz: str = TIME_ZONE, day_zone: str = TIME_ZONE) -> tuple[date, date]:
+    """First and last day, in ``day_zone``, of the instants between two wall clocks of ``tz``."""
+    there = ZoneInfo(day_zone)
+    first, last = (v.replace(tzinfo=ZoneInfo(tz)).astimezone(there).date() for v in (low, high))
+    return first, last
+
+
 # ---- duration classes ------------------------------------------------------------
 
 

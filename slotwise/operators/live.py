@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.fixed import CONNECT, DISCONNECT, REVENUE_STAT, TIME_ZONE, VIEWERS_STAT
-from slotwise.functions.timeops import bound_for, minute_text, ntz, parse_minute, trunc_minute
+from slotwise.functions.timeops import bound_for, days_between, minute_text, ntz, parse_minute, trunc_minute
 
 HOUR = timedelta(hours=1)
 STAT = ("init_date", "tape_code", "data_type", "data_value", "bd_btime")
@@ -55,6 +55,8 @@ def active_viewers(
     lookback: timedelta | None = HOUR,
     timeout: timedelta = HOUR,
     tz: str = TIME_ZONE,
+    day: str | None = None,
+    day_zone: str = TIME_ZONE,
 ) -> DataFrame:
     """Distinct connected users per media just before ``as_of``.
 
@@ -62,8 +64,15 @@ def active_viewers(
     disconnect is forgotten.  With ``lookback=None`` connects and disconnects come from the
     whole history and users without activity in ``[as_of - timeout, as_of)`` are left out.  The
     two give different answers.  ``as_of`` is a wall clock of ``tz``.
+
+    A log partitioned by ``day``, the date of ``log_time`` in ``day_zone``, is read in the days of the look-back
+    only: the days are literals, whatever the zones of the log, the business and the session.
     """
     kind = log.schema["log_time"].dataType
+    if day is not None:
+        first, last = days_between(as_of - lookback if lookback is not None else as_of, as_of, tz, day_zone)
+        in_days = F.col(day) <= F.lit(last)
+        log = log.where(in_days if lookback is None else in_days & (F.col(day) >= F.lit(first)))
     seen = log.where(F.col("log_time") < bound_for(kind, as_of, tz))
     if lookback is not None:
         return count_viewers(

@@ -176,6 +176,12 @@ MINUTE_VIEWERS = _schema(
     "bd_date bd_btime media_code tape_code base_mi viewers", bd_date=DAY, bd_btime=CLOCK, base_mi=LongType(), viewers=LongType()
 )
 
+# Folds of the connection log, in sets of 1, 2, 4, ... days.
+CONNECTION_FOLDS = _schema(
+    "media_code user_id last_activity last_connect last_disconnect level first_day",
+    level=IntegerType(), first_day=DAY, **_typed(CLOCK, "last_activity last_connect last_disconnect"),
+)
+
 # Live statistics as stored: partitioned by type and by the day of ``init_date``.
 LIVE_STAT_TABLE = StructType([*LIVE_STAT.fields, StructField("init_day", DAY)])
 
