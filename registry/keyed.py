@@ -317,61 +317,72 @@ def second_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _replace_three_days(spark: SparkSession, rows: DataFrame, schema: StructType, mark: str) -> DataFrame:
+def _replace_three_days(spark: SparkSession, rows: DataFrame, schema: StructType, mark: str, key: str) -> DataFrame:
     """A stored schedule marked old, after three days of it came again in a CSV of all rows."""
     landed, stage, table = (new_folder(spark, f"schedule-{n}") for n in ("csv", "stage", "table"))
-    rows = schemas.conform(rows, schema)
+    rows = t.filled(rows, schema, key)
     export_csv(rows.withColumn(mark, F.lit("new")), landed)
     overwrite_table(rows.withColumn(mark, F.lit("old")), table, "bd_date")
     low, high = datetime(2024, 1, 14), datetime(2024, 1, 17)
     reaimed.run_range_load(spark, landed, stage, table, schema, "bd_date", low, high, "bd_date")
-    return read_table(spark, table, schema)
+    return plain(read_table(spark, table, schema))
 
 
 NEW_OR_OLD = "CASE WHEN bd_date >= DATE '2024-01-14' AND bd_date < DATE '2024-01-17' THEN 'new' ELSE 'old' END"
+FRAMES_HAVE, AIRING_HAVE = "bd_date bd_btime media_code tape_code", "bd_date bd_btime media_code tape_code goods_code"
 
 
 @query(
-    f"""{t.with_sql('frames')}
-    SELECT CAST(bd_date AS VARCHAR) || '/' || tape_code || '/' || media_code AS seq_frame_no,
-           bd_date, bd_btime, media_code, tape_code, {NEW_OR_OLD} AS etc
-    FROM frames"""
+    f"""{t.with_sql('frames')}, numbered AS (
+        SELECT *, CAST(bd_date AS VARCHAR) || '/' || tape_code || '/' || media_code AS seq_frame_no FROM frames)
+    SELECT * REPLACE ({NEW_OR_OLD} AS etc) FROM (
+        SELECT {t.filled_sql(schemas.SCHEDULE_FRAME, FRAMES_HAVE + " seq_frame_no", "tape_code")} FROM numbered)"""
 )
 def replace_range_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-aimed: schedule frames of three days."""
     frames = t.frames(t.events(spark, sf_dir))
     rows = frames.withColumn("seq_frame_no", F.concat_ws("/", "bd_date", "tape_code", "media_code"))
-    stored = _replace_three_days(spark, rows, schemas.SCHEDULE_FRAME, "etc")
-    return stored.select("seq_frame_no", "bd_date", "bd_btime", "media_code", "tape_code", "etc")
+    return _replace_three_days(spark, rows, schemas.SCHEDULE_FRAME, "etc", "tape_code")
 
 
 @query(
-    f"""{t.with_sql('programmes')}
-    SELECT bd_date, bd_btime, media_code, goods_code, {NEW_OR_OLD} AS bd_flag FROM programmes"""
+    f"""{t.with_sql('programmes')} SELECT * REPLACE ({NEW_OR_OLD} AS bd_flag) FROM (
+        SELECT {t.filled_sql(schemas.BROADCAST_GOODS, AIRING_HAVE, "goods_code")} FROM programmes)"""
 )
 def replace_range_broadcast_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-aimed: broadcast goods of three days."""
-    stored = _replace_three_days(
-        spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_GOODS, "bd_flag"
-    )
-    return stored.select("bd_date", "bd_btime", "media_code", "goods_code", "bd_flag")
+    return _replace_three_days(spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_GOODS, "bd_flag", "goods_code")
 
 
 @query(
-    f"""{t.with_sql('programmes')}
-    SELECT bd_date, bd_btime, media_code, tape_code, goods_code, {NEW_OR_OLD} AS insert_id FROM programmes"""
+    f"""{t.with_sql('programmes')} SELECT * REPLACE ({NEW_OR_OLD} AS insert_id) FROM (
+        SELECT {t.filled_sql(schemas.BROADCAST_NO_GOODS, AIRING_HAVE, "goods_code")} FROM programmes)"""
 )
 def replace_range_broadcast_no_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-aimed: the second broadcast goods table, three days."""
-    stored = _replace_three_days(
-        spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_NO_GOODS, "insert_id"
+    return _replace_three_days(
+        spark, t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_NO_GOODS, "insert_id", "goods_code"
     )
-    return stored.select("bd_date", "bd_btime", "media_code", "tape_code", "goods_code", "insert_id")
+
+
+@query(
+    f"""{t.with_sql('session_log')}
+    SELECT * REPLACE (CASE WHEN log_dt >= TIMESTAMP '2024-01-14 23:45:00' AND log_dt < TIMESTAMP '2024-01-15 00:15:00'
+                           THEN ec_type ELSE 'old' END AS ec_type) FROM session_log"""
+)
+def replace_range_over_midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-aimed: half an hour around midnight, on a column of days."""
+    log, table = t.session_log(t.events(spark, sf_dir)), new_folder(spark, "midnight")
+    overwrite_table(log.withColumn("ec_type", F.lit("old")), table, "log_dt")
+    reaimed.run_history_days(
+        spark, log, table, schemas.SESSION_LOG, datetime(2024, 1, 14, 23, 45), datetime(2024, 1, 15, 0, 15)
+    )
+    return read_table(spark, table, schemas.SESSION_LOG)
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t.table(spark, sf_dir, "orders")
-    return schemas.conform(
+    return t.filled(
         orders.select(
             F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("seq"),
             F.col("o_custkey").cast("string").alias("promo_no"),
@@ -380,21 +391,23 @@ def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").alias("insert_date"),
         ),
         schemas.ORDER_PROMOTION,
+        "seq",
     )
 
 
-PROMOTIONS_SQL = """
+PROMOTIONS_SQL = f"""
+    SELECT {t.filled_sql(schemas.ORDER_PROMOTION, "seq promo_no proc_amt cancel_yn insert_date", "seq")} FROM (
     SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS seq, CAST(o_custkey AS VARCHAR) AS promo_no,
-           CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS proc_amt,
-           {0} AS cancel_yn, o_orderdate AS insert_date
-    FROM orders"""
-PROMOTION_COLUMNS = ("seq", "promo_no", "proc_amt", "cancel_yn", "insert_date")
+           CAST(o_totalprice AS DECIMAL(18, 2)) AS proc_amt,
+           {{0}} AS cancel_yn, o_orderdate AS insert_date
+    FROM orders {{1}})"""
 
 
 @query(
     PROMOTIONS_SQL.format(
         """CASE WHEN o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-06-15'
-                THEN (CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END) ELSE 'old' END"""
+                THEN (CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END) ELSE 'old' END""",
+        "",
     )
 )
 def replace_range_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,5 +419,4 @@ def replace_range_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     overwrite_table(old, table, "insert_month")
     low, high = since_previous_month(datetime(1997, 6, 15, 7, 0))
     reaimed.run_promotion_load(spark, landed, stage, table, low, high)
-    stored = read_table(spark, table, schemas.ORDER_PROMOTION_TABLE)
-    return plain(stored.select(*PROMOTION_COLUMNS))
+    return plain(read_table(spark, table, schemas.ORDER_PROMOTION_TABLE).drop("insert_month"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from registry.common import LOAD_AT, RUN, plain, query
-from registry.keyed import PROMOTION_COLUMNS, PROMOTIONS_SQL, promotions
+from registry.keyed import PROMOTIONS_SQL, promotions
 from slotwise import testmap as t
 from slotwise.functions.timeops import day_text, ntz
 from slotwise.operators import quality
@@ -114,12 +114,12 @@ def export_second_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("date", "hh").agg(F.count("dhms").alias("seconds"), F.max("hms").alias("last_hms"))
 
 
-CALENDAR_COLUMNS = ("date_id", "date", "year", "month", "day", "quarter", "month_id", "weekend_flag", "holiday_flag", "day_no")
+CALENDAR_HAVE = "date_id date year month day quarter month_id weekend_flag holiday_flag day_no"
 
 
 def calendar(days: DataFrame, holiday: str) -> DataFrame:
     d = F.col("date")
-    return schemas.conform(
+    return t.filled(
         days.select(
             day_text("date").alias("date_id"),
             d,
@@ -133,15 +133,17 @@ def calendar(days: DataFrame, holiday: str) -> DataFrame:
             F.dayofyear(d).alias("day_no"),
         ),
         schemas.CALENDAR,
+        "date_id",
     )
 
 
-CALENDAR_SQL = """
+CALENDAR_SQL = f"""
+    SELECT {t.filled_sql(schemas.CALENDAR, CALENDAR_HAVE, "date_id")}, {{1}} FROM (
     SELECT strftime(date, '%Y%m%d') AS date_id, date, CAST(year(date) AS VARCHAR) AS year,
            CAST(month(date) AS VARCHAR) AS month, CAST(day(date) AS VARCHAR) AS day,
            CAST(quarter(date) AS VARCHAR) AS quarter, strftime(date, '%Y%m') AS month_id,
            CASE WHEN dayofweek(date) IN (0, 6) THEN 'Y' ELSE 'N' END AS weekend_flag,
-           {0} AS holiday_flag, CAST(dayofyear(date) AS VARCHAR) AS day_no"""
+           {{0}} AS holiday_flag, CAST(dayofyear(date) AS VARCHAR) AS day_no FROM ({{2}}))"""
 ORDER_DAYS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders"
 SHIP_DAYS = "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem"
 
@@ -155,9 +157,9 @@ def ship_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{CALENDAR_SQL.format("'N'")}, 1 AS target FROM ({ORDER_DAYS}) WHERE date NOT IN ({SHIP_DAYS})
-    UNION ALL {CALENDAR_SQL.format("'S'")}, 1 AS target FROM ({SHIP_DAYS})
-    UNION ALL {CALENDAR_SQL.format("'S'")}, 2 AS target FROM ({SHIP_DAYS})"""
+    f"""{CALENDAR_SQL.format("'N'", "1 AS target", f"SELECT date FROM ({ORDER_DAYS}) WHERE date NOT IN ({SHIP_DAYS})")}
+    UNION ALL {CALENDAR_SQL.format("'S'", "1 AS target", SHIP_DAYS)}
+    UNION ALL {CALENDAR_SQL.format("'S'", "2 AS target", SHIP_DAYS)}"""
 )
 def load_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = warehouse.CALENDAR
@@ -166,14 +168,14 @@ def load_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     overwrite_table(calendar(order_days(spark, sf_dir), "N"), first)
     create_table(spark, second, spec.schema)
     warehouse.load(spark, spec, landed, stage, [first, second])
-    return both(spark, spec, [first, second]).select(*CALENDAR_COLUMNS, "target")
+    return plain(both(spark, spec, [first, second]))
 
 
-@query(f"{CALENDAR_SQL.format(chr(39) + 'N' + chr(39))} FROM ({ORDER_DAYS})")
+@query(f"SELECT * EXCLUDE (target) FROM ({CALENDAR_SQL.format(chr(39) + 'N' + chr(39), '1 AS target', ORDER_DAYS)})")
 def export_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = new_folder(spark, "calendar")
     warehouse.export_snapshot(calendar(order_days(spark, sf_dir), "N"), schemas.CALENDAR, landed)
-    return read_csv(spark, landed, schemas.CALENDAR).select(*CALENDAR_COLUMNS)
+    return plain(read_csv(spark, landed, schemas.CALENDAR))
 
 
 def _export_dim(spark: SparkSession, sf_dir: str, schema: StructType, part: Column) -> DataFrame:
@@ -210,7 +212,7 @@ def export_sec_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def programme_rows(e: DataFrame, days_later: int = 0) -> DataFrame:
     """One programme per event; its name holds a comma and quotes."""
-    return schemas.conform(
+    return t.filled(
         e.select(
             F.lpad(F.col("event_id").cast("string"), 10, "0").alias("seq_frame_no"),
             F.date_add(F.col("ts").cast("date"), days_later).alias("bd_date"),
@@ -223,24 +225,25 @@ def programme_rows(e: DataFrame, days_later: int = 0) -> DataFrame:
             (F.col("value").cast("decimal(18,2)") + days_later).alias("sale_price"),
         ),
         schemas.PROGRAMME,
+        "seq_frame_no",
     )
 
 
-PROGRAMME_COLUMNS = ("seq_frame_no", "bd_date", "media_code", "tape_name", "bd_btime", "bd_etime", "tape_code", "goods_code", "sale_price", "dc_price", "md_kind")
-PROGRAMME_SQL = """
-    SELECT lpad(CAST(event_id AS VARCHAR), 10, '0') AS seq_frame_no, CAST(ts AS DATE) + {0} AS bd_date,
+PROGRAMME_HAVE = "seq_frame_no bd_date media_code tape_name bd_btime bd_etime tape_code goods_code sale_price"
+PROGRAMME_SQL = f"""
+    SELECT {t.filled_sql(schemas.PROGRAMME, PROGRAMME_HAVE, "seq_frame_no")} FROM (
+    SELECT lpad(CAST(event_id AS VARCHAR), 10, '0') AS seq_frame_no, CAST(ts AS DATE) + {{0}} AS bd_date,
            'TV' || lpad(CAST(user_id % 5 AS VARCHAR), 2, '0') AS media_code,
            'The "' || event_type || '", live' AS tape_name, ts AS bd_btime, ts + INTERVAL 40 MINUTE AS bd_etime,
            'T' || CAST(extract(hour FROM ts) AS VARCHAR) AS tape_code,
            regexp_extract(props, '[0-9]+') AS goods_code,
-           CAST(CAST(value AS DECIMAL(18, 2)) + {0} AS DOUBLE) AS sale_price,
-           CAST(NULL AS DOUBLE) AS dc_price, CAST(NULL AS VARCHAR) AS md_kind
-    FROM events"""
+           CAST(value AS DECIMAL(18, 2)) + {{0}} AS sale_price
+    FROM events {{1}})"""
 
 
 @query(
-    f"""{PROGRAMME_SQL.format(0)} WHERE event_type <> 'purchase'
-    UNION ALL {PROGRAMME_SQL.format(1)} WHERE event_type = 'purchase'"""
+    f"""{PROGRAMME_SQL.format(0, "WHERE event_type <> 'purchase'")}
+    UNION ALL {PROGRAMME_SQL.format(1, "WHERE event_type = 'purchase'")}"""
 )
 def load_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fully quoted CSV over a stored table; the reloaded programmes have moved to the next day."""
@@ -250,21 +253,21 @@ def load_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = programme_rows(e.where(F.col("event_type") == "purchase"), days_later=1)
     warehouse.export_snapshot(moved, spec.schema, landed, quote_all=True)
     warehouse.load(spark, spec, landed, stage, [table])
-    return plain(read_table(spark, table, spec.schema).select(*PROGRAMME_COLUMNS))
+    return plain(read_table(spark, table, spec.schema))
 
 
-@query(PROGRAMME_SQL.format(0))
+@query(PROGRAMME_SQL.format(0, ""))
 def export_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole programme table as fully quoted gzip CSV, read back."""
     landed = new_folder(spark, "programmes")
     rows = programme_rows(t.events(spark, sf_dir))
     warehouse.export_snapshot(rows, schemas.PROGRAMME, landed, quote_all=True)
     back = read_csv(spark, landed, schemas.PROGRAMME, empty_as_null=True)
-    return plain(back.select(*PROGRAMME_COLUMNS))
+    return plain(back)
 
 
 def competitor_rows(e: DataFrame, title: str) -> DataFrame:
-    return schemas.conform(
+    return t.filled(
         e.select(
             F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("brdcomp_cd"),
             day_text("ts").alias("brd_dt"),
@@ -274,15 +277,17 @@ def competitor_rows(e: DataFrame, title: str) -> DataFrame:
             F.col("ts").alias("inst_dttm"),
         ),
         schemas.COMPETITOR_SCHEDULE,
+        "brdcomp_cd",
     )
 
 
-COMPETITOR_COLUMNS = ("brdcomp_cd", "brd_dt", "brd_stt_tslot_cd", "brd_titl", "sale_prc", "inst_dttm")
-COMPETITOR_SQL = """
+COMPETITOR_HAVE = "brdcomp_cd brd_dt brd_stt_tslot_cd brd_titl sale_prc inst_dttm"
+COMPETITOR_SQL = f"""
+    SELECT {t.filled_sql(schemas.COMPETITOR_SCHEDULE, COMPETITOR_HAVE, "brdcomp_cd")} FROM (
     SELECT 'C' || CAST(user_id AS VARCHAR) AS brdcomp_cd, strftime(ts, '%Y%m%d') AS brd_dt,
-           lpad(regexp_extract(props, '[0-9]+'), 2, '0') AS brd_stt_tslot_cd, '{0}' AS brd_titl,
-           CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) AS sale_prc, ts AS inst_dttm
-    FROM events WHERE {1}"""
+           lpad(regexp_extract(props, '[0-9]+'), 2, '0') AS brd_stt_tslot_cd, '{{0}}' AS brd_titl,
+           CAST(value AS DECIMAL(18, 2)) AS sale_prc, ts AS inst_dttm
+    FROM events WHERE {{1}})"""
 RELOADED = "ts >= TIMESTAMP '2024-01-20'"
 
 
@@ -298,11 +303,11 @@ def load_competitor_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     since = e.where(F.col("ts") >= ntz(datetime(2024, 1, 20)))
     overwrite_table(competitor_rows(since, "new"), day_folder(landed, RUN.date()))
     warehouse.load(spark, spec, landed, stage, [table], RUN.date())
-    return plain(read_table(spark, table, spec.schema).select(*COMPETITOR_COLUMNS))
+    return plain(read_table(spark, table, spec.schema))
 
 
 def guide_rows(e: DataFrame, name: str) -> DataFrame:
-    return schemas.conform(
+    return t.filled(
         e.select(
             F.concat(day_text("ts"), F.lpad(F.hour("ts").cast("string"), 2, "0")).alias("brd_stt_dhm"),
             F.lit(name).alias("pgm_nm"),
@@ -311,13 +316,15 @@ def guide_rows(e: DataFrame, name: str) -> DataFrame:
             F.col("user_id").cast("string").alias("chnl_no"),
         ),
         schemas.GUIDE_SCHEDULE,
+        "chnl_no",
     )
 
 
-GUIDE_SQL = """
-    SELECT strftime(ts, '%Y%m%d%H') AS brd_stt_dhm, '{0}' AS pgm_nm, strftime(ts, '%Y%m%d') AS brd_dt,
+GUIDE_SQL = f"""
+    SELECT {t.filled_sql(schemas.GUIDE_SCHEDULE, "brd_stt_dhm pgm_nm brd_dt brd_stt_tslot_cd chnl_no", "chnl_no")} FROM (
+    SELECT strftime(ts, '%Y%m%d%H') AS brd_stt_dhm, '{{0}}' AS pgm_nm, strftime(ts, '%Y%m%d') AS brd_dt,
            strftime(ts, '%H') AS brd_stt_tslot_cd, CAST(user_id AS VARCHAR) AS chnl_no
-    FROM events WHERE {1}"""
+    FROM events WHERE {{1}})"""
 
 
 @query(f"{GUIDE_SQL.format('old', 'NOT ' + RELOADED)} UNION ALL {GUIDE_SQL.format('new', RELOADED)}")
@@ -328,48 +335,53 @@ def load_guide_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     since = e.where(F.col("ts") >= ntz(datetime(2024, 1, 20)))
     overwrite_table(guide_rows(since, "new"), day_folder(landed, RUN.date()))
     warehouse.load(spark, spec, landed, stage, [table], RUN.date())
-    stored = read_table(spark, table, spec.schema)
-    return stored.select("brd_stt_dhm", "pgm_nm", "brd_dt", "brd_stt_tslot_cd", "chnl_no")
+    return plain(read_table(spark, table, spec.schema))
 
 
 # ---- extracts --------------------------------------------------------------------
 
 
-def _extracted(table: DataFrame, schema: StructType) -> DataFrame:
-    return warehouse.extract_schedule(schemas.conform(table, schema), schema, RUN)
+def _extracted(table: DataFrame, schema: StructType, key: str) -> DataFrame:
+    return plain(warehouse.extract_schedule(t.filled(table, schema, key), schema, RUN))
 
 
 IN_DAYS = "bd_date >= DATE '2024-01-19' AND bd_date < DATE '2024-01-22'"
+AIRING_HAVE = "bd_date bd_btime media_code tape_code goods_code"
 
 
-@query(f"{t.with_sql('frames')} SELECT bd_date, bd_btime, media_code, tape_code FROM frames WHERE {IN_DAYS}")
+@query(
+    f"""{t.with_sql('frames')} SELECT {t.filled_sql(schemas.SCHEDULE_FRAME, "bd_date bd_btime media_code tape_code", "tape_code")}
+    FROM frames WHERE {IN_DAYS}"""
+)
 def extract_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = _extracted(t.frames(t.events(spark, sf_dir)), schemas.SCHEDULE_FRAME)
-    return frames.select("bd_date", "bd_btime", "media_code", "tape_code")
+    return _extracted(t.frames(t.events(spark, sf_dir)), schemas.SCHEDULE_FRAME, "tape_code")
 
 
-@query(f"{t.with_sql('programmes')} SELECT bd_date, bd_btime, media_code, goods_code FROM programmes WHERE {IN_DAYS}")
+@query(
+    f"""{t.with_sql('programmes')} SELECT {t.filled_sql(schemas.BROADCAST_GOODS, AIRING_HAVE, "goods_code")}
+    FROM programmes WHERE {IN_DAYS}"""
+)
 def extract_broadcast_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    goods = _extracted(t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_GOODS)
-    return goods.select("bd_date", "bd_btime", "media_code", "goods_code")
+    return _extracted(t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_GOODS, "goods_code")
 
 
 @query(
-    f"""{t.with_sql('programmes')}
-    SELECT bd_date, bd_btime, media_code, goods_code, tape_code FROM programmes WHERE {IN_DAYS}"""
+    f"""{t.with_sql('programmes')} SELECT {t.filled_sql(schemas.BROADCAST_NO_GOODS, AIRING_HAVE, "goods_code")}
+    FROM programmes WHERE {IN_DAYS}"""
 )
 def extract_broadcast_no_goods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _extracted(t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_NO_GOODS)
-    return rows.select("bd_date", "bd_btime", "media_code", "goods_code", "tape_code")
+    return _extracted(t.programmes(t.events(spark, sf_dir)), schemas.BROADCAST_NO_GOODS, "goods_code")
 
 
 @query(
-    PROMOTIONS_SQL.format("CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END")
-    + " WHERE o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-06-15'"
+    PROMOTIONS_SQL.format(
+        "CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END",
+        "WHERE o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-06-15'",
+    )
 )
 def extract_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warehouse.extract_promotions(promotions(spark, sf_dir), datetime(1997, 6, 15, 7, 0))
-    return plain(rows.select(*PROMOTION_COLUMNS))
+    return plain(rows)
 
 
 # ---- plain files -----------------------------------------------------------------

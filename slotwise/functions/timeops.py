@@ -45,7 +45,8 @@ def instant(value: datetime, tz: str = TIME_ZONE) -> Column:
 def bound_for(data_type, value: datetime, tz: str = TIME_ZONE) -> Column:
     """``value`` as a literal comparable with a column of ``data_type`` without casting it.
 
-    Keeping the cast off the column is what lets the comparison reach the Parquet reader.
+    Keeping the cast off the column is what lets the comparison reach the Parquet reader.  A date stands for its
+    midnight, so a bound later in the day lies before the next date: true of ``>=`` and ``<``, which ranges use.
     """
     kind = data_type.typeName()
     if kind == "timestamp_ntz":
@@ -53,9 +54,8 @@ def bound_for(data_type, value: datetime, tz: str = TIME_ZONE) -> Column:
     if kind == "timestamp":
         return instant(value, tz)
     if kind == "date":
-        if value.time() != datetime.min.time():
-            raise ValueError("a date column needs a bound at midnight")
-        return F.lit(value.date())
+        later = value.time() != datetime.min.time()
+        return F.lit(value.date() + timedelta(days=int(later)))
     raise TypeError(f"no time bound for {kind}")
 
 

@@ -76,8 +76,10 @@ def run_range_load(
     """
     overwrite_table(read_csv(spark, source, schema), stage)
     staged = read_table(spark, stage, schema)
+    # Counted before anything is published.
+    outside = rows_outside(staged, column, low, high)
     replace_range_in_table(spark, table, schema, staged, column, low, high, partition)
-    return rows_outside(staged, column, low, high)
+    return outside
 
 
 def run_promotion_load(
@@ -86,10 +88,11 @@ def run_promotion_load(
     """Stage promotions, then replace those inserted in ``[low, high)``; returns how many were left out."""
     overwrite_table(read_csv(spark, source, ORDER_PROMOTION), stage)
     staged = promotion_rows(read_table(spark, stage, ORDER_PROMOTION))
+    outside = rows_outside(staged, "insert_date", low, high)
     replace_range_in_table(
         spark, table, ORDER_PROMOTION_TABLE, staged, "insert_date", low, high, "insert_month"
     )
-    return rows_outside(staged, "insert_date", low, high)
+    return outside
 
 
 def rows_outside(rows: DataFrame, column: str, low: datetime, high: datetime) -> int:

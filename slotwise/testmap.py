@@ -6,8 +6,11 @@ comparison queries of ``__spark_entry__`` start from.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slotwise.functions.timeops import event_time, trunc_hour, trunc_second
 from slotwise.sources.scratch import new_folder
@@ -107,6 +110,54 @@ def event_days(e: DataFrame) -> DataFrame:
     return e.select(F.col("ts").cast("date").alias("date")).distinct()
 
 
+def filled(df: DataFrame, schema: StructType, key: str) -> DataFrame:
+    """``df`` with all columns of a schema: those it lacks get values of their own, so that none can be mistaken.
+
+    Every third of them is null where the text of ``key`` ends in 7.
+    """
+    text, have = F.col(key).cast("string"), set(df.columns)
+    columns = []
+    for i, field in enumerate(schema.fields):
+        kind = field.dataType.typeName()
+        if field.name in have:
+            value = F.col(f"`{field.name}`")
+        elif kind == "string":
+            value = F.concat(F.lit(f"{field.name}/"), text)
+        elif kind == "timestamp_ntz":
+            value = F.expr(f"TIMESTAMP_NTZ'2024-03-01 00:00:00' + INTERVAL '{i}' MINUTE")
+        elif kind == "date":
+            value = F.date_add(F.lit(date(2024, 3, 1)), i)
+        else:
+            value = F.lit(i) + F.length(text) + F.lit(0.25 if kind in ("decimal", "double") else 0)
+        if field.name not in have and i % 3 == 0:
+            value = F.when(~text.endswith("7"), value)
+        columns.append(value.cast(field.dataType).alias(field.name))
+    return df.select(columns)
+
+
+def filled_sql(schema: StructType, have: str, key: str) -> str:
+    """The same columns as a select list over a relation with the columns ``have``."""
+    listed, columns = set(have.split()), []
+    for i, field in enumerate(schema.fields):
+        kind, text = field.dataType.typeName(), f"CAST({key} AS VARCHAR)"
+        if field.name in listed:
+            value = f'CAST("{field.name}" AS DOUBLE)' if kind == "decimal" else f'"{field.name}"'
+        elif kind == "string":
+            value = f"'{field.name}/' || {text}"
+        elif kind == "timestamp_ntz":
+            value = f"TIMESTAMP '2024-03-01 00:00:00' + INTERVAL {i} MINUTE"
+        elif kind == "date":
+            value = f"DATE '2024-03-01' + {i}"
+        elif kind in ("decimal", "double"):
+            value = f"CAST({i} + length({text}) + 0.25 AS DOUBLE)"
+        else:
+            value = f"CAST({i} + length({text}) AS BIGINT)"
+        if field.name not in listed and i % 3 == 0:
+            value = f"CASE WHEN {text} NOT LIKE '%7' THEN {value} END"
+        columns.append(f'{value} AS "{field.name}"')
+    return ", ".join(columns)
+
+
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream with the event time ``at``."""
     schema = events(spark, sf_dir).schema

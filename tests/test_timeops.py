@@ -114,8 +114,6 @@ def test_unknown_duration_has_no_class(frame):
 
 def test_bounds_match_the_column_type():
     noon = datetime(2024, 1, 15, 12, 0)
-    with pytest.raises(ValueError):
-        timeops.bound_for(T.DateType(), noon)
     with pytest.raises(TypeError):
         timeops.bound_for(T.StringType(), noon)
     with pytest.raises(ValueError):
@@ -155,3 +153,14 @@ def test_clean_date(frame, raw, with_parentheses_dropped, with_cut_first):
 def test_strip_newlines_only_pairs_and_only_text(frame):
     df = frame([("a\r\nb\nc", Decimal("1.50"), date(2024, 1, 1))], "`20s x` string, n decimal(18,2), d date")
     assert tuple(text.strip_newlines(df).first()) == ("ab\nc", Decimal("1.50"), date(2024, 1, 1))
+
+
+@pytest.mark.parametrize("low, high, inside", [((14, 23, 45), (15, 0, 15), [15]), ((15, 11, 30), (15, 12, 0), []), ((14, 0, 0), (16, 0, 0), [14, 15])])
+def test_a_day_is_its_midnight_to_bounds_within_days(frame, low, high, inside):
+    low, high = (datetime(2024, 1, d, h, m) for d, h, m in (low, high))
+    days = frame([(date(2024, 1, d),) for d in range(13, 18)], "day date")
+    kind = days.schema["day"].dataType
+    got = days.where((days.day >= timeops.bound_for(kind, low)) & (days.day < timeops.bound_for(kind, high)))
+    assert [r.day.day for r in got.orderBy("day").collect()] == inside
+    as_sql = days.where((days.day.cast("timestamp_ntz") >= timeops.ntz(low)) & (days.day.cast("timestamp_ntz") < timeops.ntz(high)))
+    assert as_sql.count() == len(inside)
