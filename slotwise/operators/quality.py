@@ -20,10 +20,13 @@ def freshness_of_pages(
     """Whether the first row of the first landed page is dated ``as_of + day_off`` or later.
 
     ``pages`` comes from ``read_pages``.  As the source lists its newest row first, only row 0
-    counts.  The comparison is a text comparison; ``is_valid`` tells whether the text was a date.
+    counts; of deliveries in folders of days (``yyyymmdd``), that of the newest day.  The comparison is a
+    text comparison; ``is_valid`` tells whether the text was a date.
     """
+    day = F.regexp_extract("page", r"/(\d{8})/", 1)
+    newest_first = F.struct(-F.coalesce(day.try_cast("long"), F.lit(0)), "page")
     first = pages.where(F.size("rows") > 0).agg(
-        F.min_by(F.col("rows")[0][date_column], F.col("page")).alias("last_text")
+        F.min_by(F.col("rows")[0][date_column], newest_first).alias("last_text")
     )
     return _judge(first, clean_date(F.col("last_text"), drop_parentheses), as_of, day_off)
 

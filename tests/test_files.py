@@ -289,3 +289,17 @@ def test_gaps_of_paged_deliveries(spark, folder):
         ("set", "unexpected", 7, 0, 1), ("set", "total", None, 54, 53),
     }
     assert page_gaps(delivered.limit(0), 10).count() == 0
+
+
+def test_freshness_looks_at_the_newest_day_folder(spark, folder):
+    from slotwise.operators.quality import freshness_of_pages
+    from slotwise.sources.readers import read_pages
+
+    root = folder("days")
+    for day in ("20231231", "20240102", "20240101"):
+        for page in (1, 2):
+            shown = f"{day[:4]}.{day[4:6]}.{day[6:]}" if page == 1 else "2030.01.01"
+            text = '{"set": {"list_total_count": 1, "row": [{"D": "%s"}]}}' % shown
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/{day}/page={page}")
+    row = freshness_of_pages(read_pages(spark, f"{root}/*/*", ["D"]), "D", date(2024, 1, 2)).first()
+    assert (row.last_date, row.is_fresh) == ("2024-01-02", True)
