@@ -74,7 +74,7 @@ def test_a_programme_that_loses_its_viewer_goes(spark, frame, folder):
 
 def test_a_failed_run_leaves_marks_and_viewers_as_they_were(spark, frame, folder, monkeypatch):
     log, schedule = made(1)
-    shown, store, window = frame(schedule, SCHEDULE), folder("viewers"), (at(DAYS[0], 0), at(DAYS[1], 600))
+    shown, store, window = frame(schedule, SCHEDULE), folder("viewers"), (at(DAYS[0], 0), at(DAYS[1], 24 * 60))
     viewers.run_programme_viewers(spark, store, frame(log[:20], LOG), shown, *window)
     before, add = rows(viewers.programme_viewers_table(spark, store)), Change.add
     with monkeypatch.context() as patch:
