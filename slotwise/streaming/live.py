@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from slotwise.functions.fixed import CONNECT, DISCONNECT
-from slotwise.functions.timeops import minute_text, ntz, wall_clock
+from slotwise.functions.timeops import epoch_minutes, minute_text, ntz, wall_clock
 from slotwise.operators.live import airing_start, airing_viewers_at, count_viewers, latest_events, revenue_stats
 from slotwise.operators.sizing import stored_side
 from slotwise.plans.analytics import STAT_PARTITION
@@ -80,7 +80,8 @@ def write_airing_viewers(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark, held = batch.sparkSession, f"{path}-ticks/batch_id={batch_id}"
+        # Spark runs the session of a batch without adaptive execution; all but storing it is done in that of the tables.
+        spark, held = schedule.sparkSession, f"{path}-ticks/batch_id={batch_id}"
         batch.withColumn("as_of", wall_clock("as_of")).write.mode("overwrite").parquet(held)
         ticks = spark.read.parquet(held)
         stats = airing_stats(ticks, codes, schedule)
@@ -139,7 +140,10 @@ def write_revenue(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, held = batch.sparkSession, f"{store}-changed/batch_id={batch_id}"
+        # Spark runs the session of a batch without adaptive execution, where writes are not rebalanced by partition and
+        # every task adds a file to every folder: all but storing the batch is done in the session of the programmes.
+        spark, held = programmes.sparkSession, f"{store}-changed/batch_id={batch_id}"
+        counted = f"{store}-counted/batch_id={batch_id}"
         create_store(spark, store)
         batch.withColumns(
             {"order_day": F.col("minute").cast("date"), "order_hour": F.hour("minute")}
@@ -151,11 +155,14 @@ def write_revenue(
                 upsert_table(
                     spark, f"{store}/sums", ORDER_SUMS, changed, SUM_KEY, SUM_PARTITION, key_in_partition=True, change=change
                 )
-                stats = stats.withColumn("init_day", F.col("init_date").cast("date"))
+                # Stored, since its keys are read before its rows.
+                stats.withColumn("init_day", F.col("init_date").cast("date")).write.mode("overwrite").parquet(counted)
+                stats = spark.read.schema(LIVE_STAT_TABLE).parquet(counted)
                 upsert_table(
                     spark, f"{store}/stats", LIVE_STAT_TABLE, stats, REVENUE_KEY, STAT_PARTITION, key_in_partition=True, change=change
                 )
         remove_folder(spark, held)
+        remove_folder(spark, counted)
         if batch_id % compact_every == compact_every - 1:
             compact_table(spark, f"{store}/sums", ORDER_SUMS)
             compact_table(spark, f"{store}/stats", LIVE_STAT_TABLE)
@@ -169,7 +176,8 @@ def revenue_of(
 ) -> DataFrame | None:
     """Revenue statistics of the minutes in ``changed``, from its totals and the ``stored`` ones of these minutes.
 
-    The hours and days involved are literals, so both tables are read in part.  None without changes.
+    The hours and days involved are literals, so both tables are read in part.  Minutes and airings meet by cells as
+    long as the range of a minute, which reaches into two of them; an airing lies in one.  None without changes.
     """
     first, last = changed.agg(F.min("minute"), F.max("minute")).first()
     if first is None:
@@ -188,11 +196,19 @@ def revenue_of(
         low, high = (first - air_back).date() - timedelta(days=1), (last + air_ahead).date() + timedelta(days=1)
         airings = airings.where(F.col("bd_date").between(F.lit(low), F.lit(high)))
     airings = airings.select("bd_btime", "tape_code", "goods_code", "media_code").distinct()
-    on_air = F.col("bd_btime").between(F.col("minute") - F.lit(air_back), F.col("minute") + F.lit(air_ahead))
+    airings = airings.withColumn("cell", _cell("bd_btime", air_back + air_ahead))
+    low, high = F.col("minute") - F.lit(air_back), F.col("minute") + F.lit(air_ahead)
+    cells = F.sequence(_cell(low, air_back + air_ahead), _cell(high, air_back + air_ahead))
     revenue = (
-        sums.join(stored_side(airings, "changed-airings"), ["goods_code", "media_code"])
-        .where(on_air)
+        sums.withColumn("cell", F.explode(cells))
+        .join(stored_side(airings, "changed-airings"), ["goods_code", "media_code", "cell"])
+        .where(F.col("bd_btime").between(low, high))
         .groupBy("bd_btime", "tape_code", minute_text("minute").alias("order_mi"))
         .agg(F.sum("price").alias("price"))
     )
     return revenue_stats(revenue)
+
+
+def _cell(at: Column | str, length: timedelta) -> Column:
+    """The number of the cell of ``length``, a minute at least, that a wall clock lies in."""
+    return F.floor(epoch_minutes(at) / F.lit(max(1, length // timedelta(minutes=1)))).cast("bigint")

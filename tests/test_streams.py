@@ -1,6 +1,7 @@
 from collections import defaultdict
 from datetime import datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 from conftest import rows
 from slotwise.functions.timeops import event_time, wall_clock
@@ -131,6 +132,28 @@ def test_revenue_totals_grow_over_deliveries(spark, frame, folder):
     assert sum(len(w or [1]) for t in ("sums", "stats") for w in held[t].writes.values()) <= 6
 
 
+def test_a_long_revenue_batch_writes_a_file_a_folder(spark, frame, folder):
+    """Orders of three days in one batch, against brute force over all pairs of minutes and airings."""
+    orders = [order(i * 611, "1.50", f"G{i % 3}") for i in range(400)]
+    aired = [(START + timedelta(minutes=37 * i), f"T{i}", f"G{i % 3}", "TV0") for i in range(-5, 120)]
+    programmes = frame([(*a, a[0].date()) for a in aired], AIRED)
+    landing, store = folder(), folder()
+    deliver(frame(orders, ORDERS), landing)
+    stream = spark.readStream.schema(frame([], ORDERS).schema).parquet(landing).withColumn("order_at", event_time("order_date"))
+    run(live.write_revenue(live.stream_order_sums(stream), programmes, store, folder()))
+    totals = defaultdict(Decimal)
+    for goods, media, at, amount in orders:
+        minute = at.replace(second=0)
+        for start, tape, of, on in aired:
+            if (goods, media) == (of, on) and minute - timedelta(minutes=120) <= start <= minute + timedelta(minutes=10):
+                totals[minute, tape, start] += amount
+    got = read_table(spark, f"{store}/stats", schemas.LIVE_STAT).select("init_date", "tape_code", "bd_btime", "data_value").collect()
+    assert sorted(map(tuple, got)) == sorted((*k, v) for k, v in totals.items())
+    for table in ("sums", "stats"):
+        files = [p.parent for p in Path(store, "rows", table).rglob("*.parquet")]
+        assert len(files) == len(set(files)) > 2
+
+
 def test_a_repeated_revenue_batch_changes_nothing(spark, frame, folder):
     from slotwise.streaming.live import revenue_of
 
