@@ -7,7 +7,8 @@ reach may lie in.  Pairs that meet are verified on the whole vectors in double p
 qualifies in several blocks counts in the first of them only.
 
 Cells of any size are worked off in tiles of bounded size, and a tile returns a count per vector and the
-tile's connected groups, never its pairs.
+tile's connected groups, never its pairs.  A tile rules out the pairs beyond its block's share in single
+precision, with room for its rounding, and verifies those left one by one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,12 @@ BLOCK = 32
 CELL = 6_000
 PIVOTS = 256
 # Vectors of either side of a tile, about.
-TILE = 3_000
+TILE = 6_000
 # Rows of a tile compared at once, and pairs verified at once.
 SLAB, PAIRS = 256, 100_000
 SLACK = 1e-9
+# Room for the rounding of single precision, a factor of the product.
+ROUGH = 1e-6
 SEED = 5
 
 
@@ -61,23 +65,22 @@ def unit(values: list[float] | None) -> np.ndarray | None:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(vec_id, node, unit): node names the direction, null for vectors that link with nothing."""
+    """(vec_id, node, unit): node names the direction, null for vectors that link with nothing; unit holds doubles."""
     for batch in batches:
         ids, nodes, units = batch.column(0).to_pylist(), [], []
         for values in batch.column(1).to_pylist():
             x = unit(values)
             nodes.append(None if x is None else hashlib.sha256(x.tobytes()).digest()[:16])
-            units.append(None if x is None else x.tolist())
+            units.append(None if x is None else x.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(units, pa.list_(pa.float64()))],
+            [pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), pa.array(units, pa.binary())],
             names=["vec_id", "node", "unit"],
         )
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dimensions: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions)
+    """The vectors of a column of bytes, all of them of ``dimensions`` doubles."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dimensions)
 
 
 def shares(dimensions: int, cosine: float) -> list[float]:
@@ -93,7 +96,7 @@ def _cells(pivots: dict[int, np.ndarray], cosine: float):
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            widths = batch.column(2).value_lengths().to_numpy()
+            widths = pc.binary_length(batch.column(2)).to_numpy() // 8
             for dimensions in np.unique(widths).tolist():
                 part = batch.filter(pa.array(widths == dimensions))
                 rotated = matrix(part.column(2), dimensions) @ rotation(dimensions)
@@ -142,6 +145,13 @@ def groups(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) ->
         label = new
 
 
+def _lifted(block: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Two forms of a block's vectors in single precision: the product of one's first with another's second is half of
+    what their squared distance leaves of ``share``."""
+    half, one = (block**2).sum(1, keepdims=True) / 2, np.ones((len(block), 1))
+    return np.hstack([block, share / 2 - half, one]).astype(np.float32), np.hstack([block, one, -half]).astype(np.float32)
+
+
 def _tile(cosine: float):
     """(node, links, root) of one tile: rows of ``side`` 0 against those of 1, or 0 against itself if alone."""
 
@@ -156,27 +166,29 @@ def _tile(cosine: float):
         right = left if alone else np.flatnonzero(side == 1)
         close = np.zeros((len(left), len(right)), bool)
         links = np.zeros(n, np.int64)
+        near_by, others = _lifted(turned[:, spans[block]], budget[block])
+        near_by, others = near_by[left], np.ascontiguousarray(others[right].T)
         for low in range(0, len(left), SLAB):
-            mine = left[low : low + SLAB]
-            part = units[mine] @ units[right].T >= cosine
-            part &= mine[:, None] != right[None, :]
-            close[low : low + SLAB] = part
-            i, j = np.nonzero(part)
-            i, j = mine[i], right[j]
+            i, j = np.nonzero(near_by[low : low + SLAB] @ others >= -ROUGH * len(others))
             for at in range(0, len(i), PAIRS):
-                x, y = i[at : at + PAIRS], j[at : at + PAIRS]
-                square = lambda b: ((turned[x, spans[b]] - turned[y, spans[b]]) ** 2).sum(1) <= budget[b]
+                a, b = low + i[at : at + PAIRS], j[at : at + PAIRS]
+                x, y = left[a], right[b]
+                linked = (np.einsum("ij,ij->i", units[x], units[y]) >= cosine) & (x != y)
+                a, b, x, y = a[linked], b[linked], x[linked], y[linked]
+                close[a, b] = True
+                square = lambda k: ((turned[x, spans[k]] - turned[y, spans[k]]) ** 2).sum(1) <= budget[k]
                 counted = square(block)
-                for b in range(block):
-                    counted &= ~square(b)
+                for k in range(block):
+                    counted &= ~square(k)
                 x, y = x[counted], y[counted]
                 links += np.bincount(x, copies[y], n).astype(np.int64)
                 if not alone:
                     links += np.bincount(y, copies[x], n).astype(np.int64)
-        label = groups(close, left, right, n)
+        linked_left, linked_right = close.any(axis=1), close.any(axis=0)
+        label = groups(close[np.ix_(linked_left, linked_right)], left[linked_left], right[linked_right], n)
         hit = np.zeros(n, bool)
-        hit[left[close.any(axis=1)]] = True
-        hit[right[close.any(axis=0)]] = True
+        hit[left[linked_left]] = True
+        hit[right[linked_right]] = True
         nodes = tile["node"].combine_chunks()
         return pa.table(
             {
@@ -201,7 +213,7 @@ def near(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         F.col("vec_id").cast("long"),
         F.when(F.col("vec_id").isNotNull(), F.col("embedding").cast("array<double>")).alias("embedding"),
     )
-    rows = stored(given.mapInArrow(_units, "vec_id long, node binary, unit array<double>"), "embedding-units")
+    rows = stored(given.mapInArrow(_units, "vec_id long, node binary, unit binary"), "embedding-units")
     # Equal directions are one node, collapsed on the map side.
     nodes = stored(
         rows.where("node is not null")
@@ -209,7 +221,8 @@ def near(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.first("unit").alias("unit")),
         "embedding-nodes",
     )
-    sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("unit").alias("d")).agg(F.count("*").alias("n")).collect()}
+    width = (F.octet_length("unit") / 8).cast("int")
+    sizes = {r["d"]: r["n"] for r in nodes.groupBy(width.alias("d")).agg(F.count("*").alias("n")).collect()}
     linked = _linked(nodes, sizes, cosine) if sizes else None
     if linked is None:
         found = nodes.select("node", "copies", "first", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))
@@ -239,9 +252,9 @@ def _linked(nodes: DataFrame, sizes: dict[int, int], cosine: float) -> DataFrame
     pivots = {}
     for dimensions, n in sizes.items():
         most = max(1, min(PIVOTS, n // CELL))
-        sample = nodes.where(F.size("unit") == dimensions).orderBy(F.xxhash64("node"), "node").limit(most)
-        pivots[dimensions] = np.array([r["unit"] for r in sample.select("unit").collect()], np.float64)
-    shape = "dimensions int, block int, cell int, home boolean, node binary, copies long, unit array<double>"
+        sample = nodes.where(F.octet_length("unit") == 8 * dimensions).orderBy(F.xxhash64("node"), "node").limit(most)
+        pivots[dimensions] = np.array([np.frombuffer(r["unit"]) for r in sample.select("unit").collect()])
+    shape = "dimensions int, block int, cell int, home boolean, node binary, copies long, unit binary"
     placed = nodes.select("node", "copies", "unit").mapInArrow(_cells(pivots, cosine), shape)
     cell = ["dimensions", "block", "cell"]
     # One row per cell: at most PIVOTS of them in each block.

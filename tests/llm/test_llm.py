@@ -382,6 +382,18 @@ def test_bound_of_the_overlap_is_never_below_it():
 # ---- 10 embeddings ----
 
 
+def test_single_precision_rules_out_most_pairs_and_no_near_one():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 64))
+    x[300:] = x[:300] + rng.normal(size=(300, 64)) * np.linspace(0, 0.5, 300)[:, None]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cut, share = embedding.blocks_of(64)[0], embedding.shares(64, 0.9)[0]
+    first, second = embedding._lifted(x[:, cut], share)
+    left = first @ second.T >= -embedding.ROUGH * first.shape[1]
+    near = ((x[:, None, cut] - x[None, :, cut]) ** 2).sum(2) <= share
+    assert first.dtype == np.float32 and left[near].all() and left.mean() < 0.02
+
+
 @pytest.mark.parametrize("sizes", [(6_000, 3_000), (40, 25)])
 def test_links_against_brute_force(spark, monkeypatch, sizes):
     monkeypatch.setattr(embedding, "CELL", sizes[0])
