@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import html
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -416,6 +417,81 @@ def test_links_against_brute_force(spark, monkeypatch, sizes):
     assert got[None].kept and got[len(vectors) - 1].n_links == 0
 
 
+def near_by_brute_force(rows):
+    """(n_links, component_id) by id, for rows of vectors that all can link and ids that differ."""
+    unit = {i: np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64)) for i, v in rows}
+    tied = {i: {j for j in unit if j != i and len(unit[j]) == len(unit[i]) and unit[i] @ unit[j] >= 0.9} for i in unit}
+    least = {i: i for i in unit}
+    while (new := {i: min([least[i], *(least[j] for j in tied[i])]) for i in unit}) != least:
+        least = new
+    return {i: (len(tied[i]), least[i]) for i in unit}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_cells_chunks_and_tasks_against_brute_force(spark, monkeypatch, kind):
+    for name, value in {"CELL": 30, "TILE": 20, "PART_BYTES": 4_000, "SLAB": 7, "PAIRS": 50}.items():
+        monkeypatch.setattr(embedding, name, value)
+    rng, batch = np.random.default_rng(8), spark.conf.get(embedding.BATCH)
+    vectors = []
+    for dimensions, centres, spread in ((40, 9, 0.15), (100, 2, 0.05), (3, 30, 0.3), (1, 3, 0.2)):
+        hearts = rng.normal(size=(centres, dimensions))
+        vectors += (hearts[rng.integers(centres, size=120)] + rng.normal(size=(120, dimensions)) * spread).astype(np.float32).tolist()
+    # Copies within a chunk, over batches, and of other lengths.
+    vectors += [vectors[0]] * 60 + [[4 * c for c in vectors[0]], [3 * c for c in vectors[0]], [0.0] * 39 + [1.0]]
+    rows = [(1_000 - i, v) for i, v in enumerate(vectors)]
+    given = spark.createDataFrame([*rows, (2_000, [0.0] * 40), (None, vectors[0])], f"vec_id long, embedding array<{kind}>").repartition(5)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding.near(given).collect()}
+    assert spark.conf.get(embedding.BATCH) == batch
+    assert got.pop(None) == (0, None, True) and got.pop(2_000) == (0, 2_000, True)
+    assert got == {i: (n, c, i == c) for i, (n, c) in near_by_brute_force(rows).items()}
+
+
+def test_disk_does_not_grow_with_the_pairs_of_cells(spark, monkeypatch, folder):
+    """Vectors were copied for every tile they met in: 27 times the input at 20 MB, and more the more cells."""
+    from slotwise.sources.scratch import shared_folder
+
+    monkeypatch.setattr(embedding, "CELL", 100)
+    monkeypatch.setattr(embedding, "TILE", 100)
+    x = np.random.default_rng(9).normal(size=(6_000, 64)).astype(np.float32)
+    given = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    given.write.parquet(path := folder("embeddings"))
+    places = [Path(shared_folder(spark)), *map(Path, spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())]
+    used = lambda: sum(f.stat().st_size for p in places for f in p.rglob("*") if f.is_file())
+    before = used()
+    assert embedding.near(spark.read.parquet(path)).where("n_links = 0").count() == len(x)
+    grown = used() - before
+    assert grown < 4 * x.nbytes, grown / x.nbytes
+
+
+def test_links_merge_into_the_smallest_member():
+    rng = np.random.default_rng(6)
+    label, links = np.arange(300), rng.integers(300, size=(400, 2))
+    for part in np.split(links, 8):
+        embedding.merged(label, part[:, 0], part[:, 1])
+    plain = np.arange(300)
+    for _ in range(300):
+        for a, b in links:
+            plain[a] = plain[b] = min(plain[a], plain[b])
+    assert label.tolist() == plain.tolist()
+
+
+def test_far_chunks_and_vectors_are_not_compared_and_near_ones_are():
+    rng = np.random.default_rng(7)
+    pivots = np.linalg.qr(rng.normal(size=(64, 2)))[0].T
+    x = np.r_[pivots[0] + rng.normal(size=(60, 64)) * 0.02, pivots[1] + rng.normal(size=(60, 64)) * 0.02, pivots.sum(0) + rng.normal(size=(40, 64)) * 0.01]
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    home = (x @ pivots.T).argmax(1)
+    one, two = (embedding.Chunk(x[home == k].tobytes(), "<f8", embedding._leading(x), 0.9) for k in (0, 1))
+    plane = (pivots[0] - pivots[1]) / np.linalg.norm(pivots[0] - pivots[1])
+    near = one.units @ two.units.T >= 0.9
+    found = np.zeros_like(near)
+    for a, b in embedding.linked(one, two, 0.9, plane):
+        found[a, b] = True
+    assert near.any() and (found == near).all()
+    only = [embedding.Chunk(x[k : k + 60].tobytes(), "<f8", embedding._leading(x), 0.9) for k in (0, 60)]
+    assert not list(embedding.linked(*only, 0.9, plane))
+
+
 # ---- pipeline ----
 
 
